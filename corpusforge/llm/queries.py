@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import lookalike
+from corpusforge.llm import leakage, lookalike
 from corpusforge.sources.tables import table
 
 
@@ -18,5 +18,15 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.form_classes(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p8_found, p8_forms)}
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the evaluation items they hold."""
+    return leakage.leaked_pairs(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p7_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Evaluation items that leaked."""
+    return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+QUERIES = {f.__name__: f for f in (p7_found, p7_leaked_items, p8_found, p8_forms)}
 ORACLE: dict[str, str] = {}
