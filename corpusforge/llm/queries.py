@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import leakage, lookalike
+from corpusforge.llm import leakage, lookalike, truncation
 from corpusforge.sources.tables import table
 
 
@@ -28,5 +28,15 @@ def p7_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_leaked_items, p8_found, p8_forms)}
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates whose abstract breaks off."""
+    return truncation.truncated(table(spark, folder, "candidates")).where("cut").select("cand_id").distinct()
+
+
+def p5_share_by_source(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of cut abstracts of each source."""
+    return truncation.cut_share(table(spark, folder, "candidates"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
 ORACLE: dict[str, str] = {}
