@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import leakage, lookalike, truncation
+from corpusforge.llm import leakage, lookalike, packing, truncation
 from corpusforge.sources.tables import table
 
 
@@ -38,5 +38,15 @@ def p5_share_by_source(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.cut_share(table(spark, folder, "candidates"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
+def p6_assignment(spark: SparkSession, folder: str) -> DataFrame:
+    """The sequence of every document for every capacity."""
+    return packing.packed(table(spark, folder, "documents"), table(spark, folder, "pack_limits"))
+
+
+def p6_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequences, share of space used and spread of cost for every capacity."""
+    return packing.packing_report(p6_assignment(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (p6_assignment, p6_report, p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
 ORACLE: dict[str, str] = {}
