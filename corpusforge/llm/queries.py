@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import leakage, lookalike, packing, truncation
+from corpusforge.llm import consensus, leakage, lookalike, packing, truncation
 from corpusforge.sources.tables import table
 
 
@@ -48,5 +48,27 @@ def p6_report(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_report(p6_assignment(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p6_assignment, p6_report, p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
+ITEM = ["query_id", "feedback_item_id"]
+
+
+def _consensus(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return consensus.consensus(consensus.label_edges(table(spark, folder, "human_feedback"), ITEM), ITEM)
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The label of every item."""
+    return _consensus(spark, folder)[0].select(*ITEM, "judgement")
+
+
+def p4_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Label, confidence and agreement of every item."""
+    return _consensus(spark, folder)[0]
+
+
+def p4_reviewers(spark: SparkSession, folder: str) -> DataFrame:
+    """Reliability of every reviewer."""
+    return _consensus(spark, folder)[1]
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_items, p4_reviewers, p6_assignment, p6_report, p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
 ORACLE: dict[str, str] = {}
