@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import consensus, leakage, lookalike, packing, truncation
+from corpusforge.llm import consensus, leakage, lookalike, names, packing, truncation
 from corpusforge.sources.tables import table
 
 
@@ -48,6 +48,20 @@ def p6_report(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_report(p6_assignment(spark, folder))
 
 
+def _names(spark: SparkSession, folder: str) -> DataFrame:
+    return names.entries((table(spark, folder, "candidates"), "authors"), (table(spark, folder, "papers"), "authors"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of spellings of one name."""
+    return names.spelling_pairs(_names(spark, folder))
+
+
+def p2_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every spelling with the set it belongs to."""
+    return names.spelling_sets(_names(spark, folder))
+
+
 ITEM = ["query_id", "feedback_item_id"]
 
 
@@ -70,5 +84,5 @@ def p4_reviewers(spark: SparkSession, folder: str) -> DataFrame:
     return _consensus(spark, folder)[1]
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_items, p4_reviewers, p6_assignment, p6_report, p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_sets, p4_found, p4_items, p4_reviewers, p6_assignment, p6_report, p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
 ORACLE: dict[str, str] = {}
