@@ -113,7 +113,7 @@ def first_letters(given: str, initials: str) -> set[str]:
 @lru_cache(maxsize=100_000)
 def own_part(surname: str) -> str:
     """The surname without a particle written into it."""
-    for particle in ("vonder", "vander", "van", "von", "al"):
+    for particle in ("vonder", "vander", "van", "von", "der", "de", "al"):
         if surname.startswith(particle) and len(surname) - len(particle) >= 5:
             return surname[len(particle) :]
     return surname
@@ -139,10 +139,9 @@ def read_name(entry: str) -> tuple | None:
         if not topic:
             return None
         own = topic[0]  # a topic after it may be shortened to three letters
-        kinds = sorted(w for w in plain if w in GROUP_WORDS)
-        return "group", True, "", "", "", own, ",".join(sorted(w[:3] for w in topic if w != own)), "".join(k[0] for k in kinds)
-    if len(plain) == 3 and plain[1] in GROUP_TOPICS and len(plain[2]) == 1:
-        return "group", True, "", "", "", plain[0], plain[1][:3], plain[2]
+        return "group", True, "", "", "", own, ",".join(sorted(w[:3] for w in topic if w != own)), "".join(sorted(w[0] for w in plain if w in GROUP_WORDS))
+    if len(plain) == 3 and plain[1] in GROUP_TOPICS and len(plain[2]) <= 2:
+        return "group", True, "", "", "", plain[0], plain[1][:3], "".join(sorted(plain[2]))
     comma = text.split(",", 1)
     shout = text.isupper()
     # Two capitals in an entry that is not written in capitals are initials, whatever word they resemble.
@@ -240,6 +239,12 @@ def one_edit(a: str, b: str) -> bool:
     return a[i:] == b[i + 1 :] if len(a) < len(b) else a[i + 1 :] == b[i:]
 
 
+def _initials_agree(rest1: str, rest2: str) -> bool:
+    """The letters after the first: one is the start of the other, or all of it but the second part of a double given name."""
+    short, long = sorted((rest1, rest2), key=len)
+    return long.startswith(short) or (len(long) == 2 and short == long[1:])
+
+
 def agrees(kind: str, s1: str, g1: str, i1: str, n1: int, s2: str, g2: str, i2: str, n2: int) -> bool:
     """False where two readings exclude each other. n: readings that share the surname."""
     same = s1 == s2 or (kind == "person" and own_part(s1) == own_part(s2))
@@ -255,9 +260,8 @@ def agrees(kind: str, s1: str, g1: str, i1: str, n1: int, s2: str, g2: str, i2:
             return False
         if not alike and not same:
             return False
-        rest1, rest2 = i1[1:], i2[1:]
-        return (rest1.startswith(rest2) or rest2.startswith(rest1)) and (same or min(n1, n2) <= 3)
-    if not (i1 and i2) or not first_letters(g1, i1) & first_letters(g2, i2) or not (i1[1:].startswith(i2[1:]) or i2[1:].startswith(i1[1:])):
+        return _initials_agree(i1[1:], i2[1:]) and (same or min(n1, n2) <= 3)
+    if not (i1 and i2) or not first_letters(g1, i1) & first_letters(g2, i2) or not _initials_agree(i1[1:], i2[1:]):
         return False
     # Bare initials go with a slipped surname only if that surname is hardly used otherwise.
     return same or (min(n1, n2) <= 2 and min(len(s1), len(s2)) >= (5 if min(len(i1), len(i2)) >= 2 else 6))
