@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import consensus, leakage, lookalike, names, packing, truncation
+from corpusforge.llm import consensus, leakage, linkage, lookalike, names, packing, truncation
 from corpusforge.sources.tables import table
 
 
@@ -48,6 +48,16 @@ def p6_report(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_report(p6_assignment(spark, folder))
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Found works that are known papers."""
+    return linkage.linked(table(spark, folder, "candidates"), table(spark, folder, "papers")).select("cand_id", "paper_id")
+
+
+def p1_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """The links with their confidence."""
+    return linkage.linked(table(spark, folder, "candidates"), table(spark, folder, "papers"))
+
+
 def _names(spark: SparkSession, folder: str) -> DataFrame:
     return names.entries((table(spark, folder, "candidates"), "authors"), (table(spark, folder, "papers"), "authors"))
 
@@ -84,5 +94,5 @@ def p4_reviewers(spark: SparkSession, folder: str) -> DataFrame:
     return _consensus(spark, folder)[1]
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_sets, p4_found, p4_items, p4_reviewers, p6_assignment, p6_report, p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_confidence, p2_found, p2_sets, p4_found, p4_items, p4_reviewers, p6_assignment, p6_report, p5_found, p5_share_by_source, p7_found, p7_leaked_items, p8_found, p8_forms)}
 ORACLE: dict[str, str] = {}
