@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.plans import nested_queries
+from corpusforge.plans import nested_queries, text_queries
 
-MODULES = (nested_queries,)
+MODULES = (text_queries, nested_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return nested_queries.p3_counts(spark, folder)
+    return text_queries.rule_filter_funnel(spark, folder)
