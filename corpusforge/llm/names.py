@@ -76,6 +76,8 @@ READING = "name string, kind string, certain boolean, surname string, given stri
 
 @lru_cache(maxsize=200_000)
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     text = unicodedata.normalize("NFKD", text)
     text = "".join(c for c in text if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
     return text.lower().translate(PLAIN)
@@ -126,9 +128,13 @@ def _surname(words: list[str]) -> str:
 
 def read_name(entry: str) -> tuple | None:
     """READING without the name itself, or None for entries that are no names."""
-    text = unicodedata.normalize("NFKC", entry).translate(_HYPHENS)
-    text = "".join(" " if unicodedata.category(c)[0] == "Z" else c for c in text if unicodedata.category(c) != "Cf")
-    text = _PAREN.sub(" ", text).strip(" *†‡§.·;")
+    text = entry
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text).translate(_HYPHENS)
+        text = "".join(" " if unicodedata.category(c)[0] == "Z" else c for c in text if unicodedata.category(c) != "Cf")
+    if "(" in text or "[" in text:
+        text = _PAREN.sub(" ", text)
+    text = text.strip(" *†‡§.·;")
     folded = fold(text)
     letters = re.sub(r"[^a-z]", "", folded)
     if not any(c.isalpha() for c in text) or letters in NO_NAMES or folded.strip(" .") in NO_NAMES or "@" in text or re.search(r"\d", text):
