@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from corpusforge.session import is_small, materialize
 
 CLASSES = ("Yes", "No", "Unsure")
+HONEST = 8.0
 
 #: Spellings, compared in lower case without outer blanks and marks.
 YES = ("yes", "y", "yeah", "yep", "yup", "ja", "si", "oui", "true", "t", "1", "ok", "agree", "agreed", "correct", "positive", "accept", "✓", "✔", "+")
@@ -71,6 +72,7 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
     if not totals["m"]:
         return edges.select("*", *[F.array(*[F.lit(0.0)] * n).alias(x) for x in ("p", "v", "s", "odds")])
     prior = [min(0.999, max(0.001, totals[f"k{c}"] / totals["m"])) for c in range(n)]
+    share = list(prior)
     start = edges.join(item_votes, item)
     state = materialize(start.select(*edges.columns, *[((F.col(f"k{c}") - is_class(c) + prior[c]) / F.col("m")).alias(f"p{c}") for c in range(n)]), "votes")
     for turn in range(rounds):
@@ -82,8 +84,9 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
         at = _joined(state, worth, ["annotator"], broadcast_rows)
         votes = []
         for c in range(n):
-            mean_hit = min(0.99, max(0.01, pooled[f"h{c}"] / max(pooled[f"t{c}"], 1e-9)))
-            mean_alarm = min(0.99, max(0.01, pooled[f"a{c}"] / max(pooled["m"] - pooled[f"t{c}"], 1e-9)))
+            # The common rates, started from honest annotators: HONEST votes that any real number of them outweighs.
+            mean_hit = (pooled[f"h{c}"] + 0.8 * HONEST) / (pooled[f"t{c}"] + HONEST)
+            mean_alarm = (pooled[f"a{c}"] + 0.15 * HONEST) / (pooled["m"] - pooled[f"t{c}"] + HONEST)
             p, own = F.col(f"p{c}"), is_class(c)
             rate_hit = (F.col(f"h{c}") - p * own + weight * mean_hit) / (F.col(f"t{c}") - p + weight)
             rate_alarm = (F.col(f"a{c}") - (1 - p) * own + weight * mean_alarm) / (F.col("m") - F.col(f"t{c}") - (1 - p) + weight)
@@ -94,7 +97,7 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
         sent = materialize(at.select(*keep, *votes), "messages")
         sums = sent.groupBy(*item).agg(*[F.sum(f"v{c}").alias(f"s{c}") for c in range(n)])
         back = _joined(sent, sums, item, broadcast_rows)
-        prior = [min(0.999, max(0.001, pooled[f"t{c}"] / pooled["m"])) for c in range(n)]
+        prior = [min(0.999, max(0.001, (pooled[f"t{c}"] + HONEST * share[c]) / (pooled["m"] + HONEST))) for c in range(n)]
         logit = [math.log(q / (1 - q)) for q in prior]
         new = [(1 / (1 + F.exp(-(F.lit(logit[c]) + F.col(f"s{c}") - F.col(f"v{c}"))))).alias(f"q{c}") for c in range(n)]
         done = materialize(back.select(*keep, *[f"v{c}" for c in range(n)], *[f"s{c}" for c in range(n)], *new), "beliefs")

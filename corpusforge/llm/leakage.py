@@ -150,7 +150,7 @@ def _verify(words: list[str], ids: np.ndarray, items: Items, least_run: int) ->
         edge = np.diff(same)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
         keep = [(a, b) for a, b in zip(starts.tolist(), ends.tolist()) if b - a + 1 >= least_run or len(own) < 14]
-        if not keep or sum(b - a + 1 for a, b in keep) < 6:
+        if sum(b - a + 1 for a, b in keep) < min(6, len(own)):
             continue
         runs = [(a, b, _context(words[max(0, a + d - 3) : a + d] + ["|"] + words[b + d + 1 : b + d + 4])) for a, b in keep]
         theirs = items.words[k][1]

@@ -135,8 +135,8 @@ def _read(df: DataFrame, key: str, text: str, source: str, least_words: int) ->
                 final[which, :LEVELS] = table[:, last].T.view(np.int64)
                 final[which, LEVELS] = table[4, np.maximum(last - 1, 0)].view(np.int64)  # the same kind of context one word earlier
             yield pd.DataFrame({
-                "key": b["key"], "source": b["source"], "bare": bare, "length": [len(t.strip()) for t in b["text"]], "marked": [m for _, m, _ in ends],
-                "is_open": open_, "dangling": [bool(_DANGLING.search(x)) for x in bare], "place": place, "contexts": [list(x) if o else None for x, o in zip(final, open_)],
+                "key": b["key"], "source": b["source"], "bare": pd.Series(bare, index=b.index, dtype=object), "length": [len(t.strip()) for t in b["text"]], "marked": [m for _, m, _ in ends],
+                "is_open": open_, "dangling": [bool(_DANGLING.search(x)) for x in bare], "place": place, "contexts": pd.Series([list(x) if o else None for x, o in zip(final, open_)], index=b.index, dtype=object),
             })
 
     kind = df.schema[key].dataType.simpleString()

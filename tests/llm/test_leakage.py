@@ -41,7 +41,7 @@ def test_passages_against_brute_force(spark):
         own, body = words, docs[-1][1]
         if any(body[p : p + 14] == own[q : q + 14] for p in range(len(body) - 13) for q in range(len(own) - 13)):
             want.add((d, item))
-    got = found(spark, [(i, " ".join(w)) for i, w in docs], [(i, " ".join(w)) for i, w in items])
+    got = found(spark, [(i, " ".join(w)) for i, w in docs], [(i, " ".join(w)) for i, w in items], stock_share=1.0)
     assert set(got) == want and want
 
 
