@@ -91,7 +91,8 @@ def _contexts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     owner = np.repeat(np.arange(len(words)), lens)
     last = np.zeros(len(flat), bool)
     last[np.cumsum(lens)[lens > 0] - 1] = True
-    ends = stop_at & (np.append(upper_at[1:], True) | last)
+    number_at = np.array([x == "<num>" for x in norm])[codes]
+    ends = stop_at & (np.append(upper_at[1:], True) | last) & ~(number_at & last)  # a number's dot at the very end proves nothing
     start = np.append(True, ends[:-1] | last[:-1])
     begin = np.maximum.accumulate(np.where(start, np.arange(len(flat)), 0))
     at = np.arange(len(flat)) - begin
