@@ -22,6 +22,7 @@ than `least_words` words are held only as a whole; a document may hold many item
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -31,10 +32,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.llm.lookalike import _BASE, visual_form
+from corpusforge.llm.lookalike import LOOKALIKE, ODD, visual_form
 from corpusforge.session import materialize
 
 MASKS = ("111010011", "1111011")
+_ACCENT = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+")
 _WORD = re.compile(r"[^\W_]+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,8 +54,8 @@ RUN_SCHEMA = "doc_id bigint, item_id bigint, diagonal int, runs array<struct<lo:
 def fold_words(text: str) -> list[str]:
     """The words of a text as they are compared."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", visual_form(text)).translate(_BASE)
-        text = "".join(c for c in text if not unicodedata.combining(c))
+        text = _ACCENT.sub("", unicodedata.normalize("NFKD", visual_form(text)))
+        text = ODD.sub(lambda m: LOOKALIKE.get(m[0], m[0]), text)
     return _WORD.findall(text.lower())
 
 
@@ -91,6 +93,10 @@ class Items:
                 seeds.append(s + np.uint64(m))
                 owner.append(np.full(len(s), k, np.int32))
                 place.append(np.arange(len(s), dtype=np.int32))
+        self.lengths = np.array([len(x) for x in self.ids], np.int64)
+        self.matrix = np.zeros((len(self.ids), int(self.lengths.max(initial=0))), np.uint64)  # items as rows, 0 beyond their end
+        for k, ids in enumerate(self.ids):
+            self.matrix[k, : len(ids)] = ids
         self.short = [k for k, ids in enumerate(self.ids) if len(ids) < max(map(len, MASKS))]
         self.seeds = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         order = np.argsort(self.seeds, kind="stable")
@@ -138,15 +144,23 @@ def _swap_kind(a: str, b: str) -> int:
 
 
 def _context(words: list[str]) -> int:
-    return int(pd.util.hash_array(np.array([" ".join(words)], object))[0].astype(np.int64))
+    return int.from_bytes(hashlib.blake2b(" ".join(words).encode(), digest_size=8).digest(), "little", signed=True)
 
 
 def _verify(words: list[str], ids: np.ndarray, items: Items, least_run: int) -> Iterator[tuple]:
-    for k, d in items.diagonals(ids):
+    hits = sorted(items.diagonals(ids))
+    if not hits:
+        return
+    ks, ds = (np.array(x, np.int64) for x in zip(*hits))
+    at = ds[:, None] + np.arange(items.matrix.shape[1])
+    own_rows = items.matrix[ks]
+    equal = (ids[np.clip(at, 0, len(ids) - 1)] == own_rows) & (at >= 0) & (at < len(ids)) & (own_rows != 0)
+    # A passage of 14 words with two replaced agrees in 12; all diagonals are counted at once, few are left.
+    for row in np.flatnonzero(equal.sum(1) >= np.minimum(12, items.lengths[ks])):
+        k, d = int(ks[row]), int(ds[row])
         own = items.ids[k]
-        lo, hi = max(0, -d), min(len(own), len(ids) - d)
         same = np.zeros(len(own) + 2, np.int8)
-        same[lo + 1 : hi + 1] = ids[lo + d : hi + d] == own[lo:hi]
+        same[1:-1] = equal[row, : len(own)]
         edge = np.diff(same)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
         keep = [(a, b) for a, b in zip(starts.tolist(), ends.tolist()) if b - a + 1 >= least_run or len(own) < 14]

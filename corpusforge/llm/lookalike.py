@@ -66,17 +66,24 @@ def _visible_table() -> dict[int, str | None]:
 
 _TABLE = _visible_table()
 _LINE = re.compile("\r\n?")
+#: Signs that may have another visible form; the rest of a text is left as it is.
+ODD = re.compile("[^\n -~]")
 _TOKEN = regex.compile(r"[\p{L}\p{M}]+")
 _FOREIGN = regex.compile("[" + "".join(LOOKALIKE) + "]")
 _LATIN = regex.compile(r"\p{Latin}")
 _BASE = str.maketrans(LOOKALIKE)
 
 
+def _visible(match: re.Match) -> str:
+    char = match[0]
+    return _TABLE.get(ord(char), char) or ""
+
+
 def visual_form(text: str) -> str:
     """The text without differences that no reader can see; look-alike letters are left."""
     if text.isascii() and text.isprintable():
         return text
-    return unicodedata.normalize("NFC", _LINE.sub("\n", text).translate(_TABLE))
+    return unicodedata.normalize("NFC", ODD.sub(_visible, _LINE.sub("\n", text)))
 
 
 def substituted(token: str) -> str | None:
