@@ -66,3 +66,36 @@ def rendered(notes: DataFrame, thread: str, kind_column: str, note_id: str, text
 def document_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, pos, line): the lines of every text, counted from 0."""
     return df.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))
+
+
+def parsed_ref(ref: Column) -> tuple[Column, Column, Column]:
+    """Section, entry number and field of 'Section/Entry 3/field'; what is missing is null."""
+    part = lambda i: F.get(F.split(ref, "/"), F.lit(i))
+    return F.lower(F.nullif(F.trim(part(0)), F.lit(""))), F.regexp_extract(part(1), r"(\d+)", 1).try_cast("int"), F.nullif(F.trim(part(2)), F.lit(""))
+
+
+def referenced(refs: DataFrame, notes: DataFrame, thread: str, section: str, entry: str, kind_column: str, number: str, wanted: str) -> DataFrame:
+    """refs with `wanted` of the note that a reference names: by its number in the thread, else by its place among the notes of the section.
+
+    Both looks are equi-joins on (thread, section, entry); a decision takes the first whatever entry is given.
+    """
+    order = W.partitionBy(thread, kind_column).orderBy(F.col(number).asc_nulls_last(), wanted)
+    placed = notes.where(F.col(thread).isNotNull()).withColumn("_place", F.row_number().over(order))
+    by_number = placed.where(F.col(number).isNotNull()).groupBy(thread, F.col(kind_column).alias(section), F.col(number).cast("int").alias(entry)).agg(F.min_by(wanted, "_place").alias("_a"))
+    by_place = placed.select(thread, F.col(kind_column).alias(section), F.col("_place").alias(entry), F.col(wanted).alias("_b"))
+    first = placed.where((F.col("_place") == 1) & (F.col(kind_column) == "decision")).select(thread, F.col(kind_column).alias(section), F.col(wanted).alias("_c"))
+    keys = [thread, section, entry]
+    return refs.join(by_number, keys, "left").join(by_place, keys, "left").join(first, [thread, section], "left").withColumn(wanted, F.coalesce("_c", "_a", "_b")).drop("_a", "_b", "_c")
+
+
+#: Older names of the field that gives a bullet's number, the newest first.
+BULLET_NUMBER = ("related_bullet_indice", "related_bullet_indices", "bullet_indice", "bullet_indices", "related_bullet_index", "bullet_index")
+
+
+def bullet_number(fields: Column, names: tuple[str, ...] = BULLET_NUMBER) -> Column:
+    """The first positive whole number under one of the names; a list counts by its first such element."""
+    def of(name: str) -> Column:
+        pieces = F.regexp_extract_all(fields[name], F.lit(r"(?:^|[\[,\s\"])(\d+)(?=$|[\],\s\".])"), F.lit(1))
+        return F.get(F.filter(F.transform(pieces, lambda x: x.try_cast("int")), lambda n: n > 0), F.lit(0))
+
+    return F.coalesce(*[of(n) for n in names])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.operators import nested
+from corpusforge.operators import nested, notes
 from corpusforge.sources.tables import table
 
 
@@ -56,5 +56,11 @@ def p3_counts(spark: SparkSession, folder: str) -> DataFrame:
     return nodes.groupBy("path").agg(F.count("*").alias("n_records"), F.countDistinct("doc_key").alias("n_artifacts"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_papers, p3_queries, p3_hard_negatives, p3_positives, p3_keywords, p3_analyses, p3_counts)}
+def legacy_alias_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries of all artifacts with the number of their bullet, under whichever name it stands."""
+    queries = _nodes(spark, folder).where("path = 'papers.queries'")
+    return queries.select("doc_key", F.col("dewey").alias("node"), notes.bullet_number(F.col("fields")).alias("bullet")).distinct()
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_papers, p3_queries, p3_hard_negatives, p3_positives, p3_keywords, p3_analyses, p3_counts, legacy_alias_resolution)}
 ORACLE: dict[str, str] = {}

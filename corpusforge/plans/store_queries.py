@@ -235,6 +235,21 @@ def thread_render(spark, folder):
     return notes.rendered(d, "paper_id", "kind", "doc_id", "text").select("paper_id", F.md5("thread").alias("digest"), "n")
 
 
+@query("""with p as (select paper_id, note_kind, doc_id, text, n_chars % 7 as num, row_number() over (partition by paper_id, note_kind order by n_chars % 7 nulls last, doc_id) as place from documents where paper_id is not null),
+r as (select paper_id, qpos, case qpos % 3 when 0 then 'review' when 1 then 'comment' else 'decision' end as sec, coalesce(related_bullet_indice, 1) as entry from queries),
+a as (select paper_id, note_kind, num, arg_min(doc_id, place) as doc_id from p where num is not null group by 1, 2, 3)
+select r.paper_id, r.qpos, coalesce(c.doc_id, a.doc_id, b.doc_id) as doc_id from r left join a on a.paper_id = r.paper_id and a.note_kind = r.sec and a.num = r.entry
+left join p b on b.paper_id = r.paper_id and b.note_kind = r.sec and b.place = r.entry left join p c on c.paper_id = r.paper_id and c.note_kind = r.sec and r.sec = 'decision' and c.place = 1""")
+def source_ref_lookup(spark, folder):
+    """Notes that references of the form section/entry name, by number or else by place."""
+    q = table(spark, folder, "queries")
+    ref = F.concat(F.when(F.col("qpos") % 3 == 0, "Review").when(F.col("qpos") % 3 == 1, "Comment").otherwise("Decision"), F.lit("/Entry "), F.coalesce("related_bullet_indice", F.lit(1)).cast("string"), F.lit("/text"))
+    section, entry, _ = notes.parsed_ref(ref)
+    d = table(spark, folder, "documents").select("paper_id", "note_kind", "doc_id", (F.col("n_chars") % 7).alias("number"))
+    refs = q.select("paper_id", "qpos", section.alias("section"), entry.alias("entry"))
+    return notes.referenced(refs, d, "paper_id", "section", "entry", "note_kind", "number", "doc_id").select("paper_id", "qpos", "doc_id")
+
+
 _LINES = "(select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as pos from documents)"
 
 

@@ -44,6 +44,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _TEST_DIRS[0]
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/corpusforge-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application wrote with materialize(); results that were not written elsewhere can't be read after it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write df once to the shared folder and read it back.
 
@@ -51,7 +61,7 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     running twice when the result is used twice, and gives the optimizer true sizes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusforge/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -195,3 +195,23 @@ def test_registry_without_the_optional_subpackage():
 
     names = registry.queries()
     assert "p3_found" in names and set(registry.oracle_sql()) <= set(names)
+
+
+def test_references_and_bullet_numbers(spark):
+    n = spark.createDataFrame([("t", "review", 7, "a"), ("t", "review", 9, "b"), ("t", "decision", None, "d"), (None, "review", 1, "x")], "t string, k string, n int, v string")
+    r = spark.createDataFrame([(1, "Review/Entry 9/text", "t"), (2, "Review/Entry 1/text", "t"), (3, "Decision/Entry 5/x", "t"), (4, "Review", "t"), (5, None, "t")], "i int, ref string, t string")
+    section, entry, _ = notes.parsed_ref(F.col("ref"))
+    out = notes.referenced(r.select("i", "t", section.alias("s"), entry.alias("e")), n, "t", "s", "e", "k", "n", "v")
+    assert {x.i: x.v for x in out.collect()} == {1: "b", 2: "a", 3: "d", 4: None, 5: None}
+    f = spark.sql("select explode(array(map('bullet_indice', '[0, 3]'), map('related_bullet_indice', '[null]', 'bullet_index', '4'), map('related_bullet_indice', '2.0'), map('x', '1'), cast(null as map<string,string>))) f")
+    assert [x[0] for x in f.select(notes.bullet_number(F.col("f"))).collect()] == [3, 4, 2, None, None]
+
+
+def test_materialized_tables_can_be_released(spark):
+    from corpusforge.session import is_small, materialize, release
+
+    kept = materialize(spark.range(5))
+    assert kept.count() == 5 and is_small(kept, 5) and not is_small(kept, 4)
+    release(spark)
+    with pytest.raises(Exception, match=r"(?i)not.exist|not found|file"):
+        kept.collect()
