@@ -79,7 +79,7 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
         hit = [F.sum(F.col(f"p{c}") * is_class(c)).alias(f"h{c}") for c in range(n)]
         of = [F.sum(f"p{c}").alias(f"t{c}") for c in range(n)]
         alarm = [F.sum((1 - F.col(f"p{c}")) * is_class(c)).alias(f"a{c}") for c in range(n)]
-        worth = state.groupBy("annotator").agg(F.count("*").alias("m"), *hit, *of, *alarm)
+        worth = materialize(state.groupBy("annotator").agg(F.count("*").alias("m"), *hit, *of, *alarm), "worth")  # read three times
         pooled = worth.agg(*[F.sum(x).alias(x) for x in ["m"] + [f"{k}{c}" for k in "hta" for c in range(n)]]).first()
         at = _joined(state, worth, ["annotator"], broadcast_rows)
         votes = []
@@ -95,7 +95,7 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
             votes.append(F.when(F.col("label") == c, F.log(rate_hit / rate_alarm)).otherwise(F.log((1 - rate_hit) / (1 - rate_alarm))).alias(f"v{c}"))
         keep = [*edges.columns, *[f"p{c}" for c in range(n)]]
         sent = materialize(at.select(*keep, *votes), "messages")
-        sums = sent.groupBy(*item).agg(*[F.sum(f"v{c}").alias(f"s{c}") for c in range(n)])
+        sums = materialize(sent.groupBy(*item).agg(*[F.sum(f"v{c}").alias(f"s{c}") for c in range(n)]), "sums")
         back = _joined(sent, sums, item, broadcast_rows)
         prior = [min(0.999, max(0.001, (pooled[f"t{c}"] + HONEST * share[c]) / (pooled["m"] + HONEST))) for c in range(n)]
         logit = [math.log(q / (1 - q)) for q in prior]
