@@ -9,7 +9,7 @@ letter. A sparse cosine join finds neighbours: posting lists are kept for the ra
 only, the gapped surname n-grams taken with a letter of the given name, so lists stay short and any
 two surnames within one edit meet; frequent dimensions count in the cosine alone. The cosine of a
 pair is 0 where the readings exclude each other (other initials, other given names, surnames
-further apart than a slip). No neighbour is dropped: the top-n is all partners above the threshold.
+further apart than a slip, or a slip that the use of both surnames does not bear out). No neighbour is dropped: the top-n is all partners above the threshold.
 Links form components, and each is cut by average linkage on its links.
 
 Defined cases: null, empty and blank entries, marks of omission ("et al.", "others") and entries
@@ -251,9 +251,13 @@ def _initials_agree(rest1: str, rest2: str) -> bool:
     return long.startswith(short) or (len(long) == 2 and short == long[1:])
 
 
-def agrees(kind: str, s1: str, g1: str, i1: str, n1: int, s2: str, g2: str, i2: str, n2: int) -> bool:
-    """False where two readings exclude each other. n: readings that share the surname."""
-    same = s1 == s2 or (kind == "person" and own_part(s1) == own_part(s2))
+def same_surname(kind: str, s1: str, s2: str) -> bool:
+    return s1 == s2 or (kind == "person" and own_part(s1) == own_part(s2))
+
+
+def agrees(kind: str, s1: str, g1: str, i1: str, s2: str, g2: str, i2: str) -> bool:
+    """False where two readings exclude each other. Slipped surnames of persons need the evidence of slipped_surnames as well."""
+    same = same_surname(kind, s1, s2)
     if not same and (not one_edit(s1, s2) or min(len(s1), len(s2)) < 4):
         return False
     if kind == "group":
@@ -266,11 +270,10 @@ def agrees(kind: str, s1: str, g1: str, i1: str, n1: int, s2: str, g2: str, i2:
             return False
         if not alike and not same:
             return False
-        return _initials_agree(i1[1:], i2[1:]) and (same or min(n1, n2) <= 3)
+        return _initials_agree(i1[1:], i2[1:])
     if not (i1 and i2) or not first_letters(g1, i1) & first_letters(g2, i2) or not _initials_agree(i1[1:], i2[1:]):
         return False
-    # Bare initials go with a slipped surname only if that surname is hardly used otherwise.
-    return same or (min(n1, n2) <= 2 and min(len(s1), len(s2)) >= (5 if min(len(i1), len(i2)) >= 2 else 6))
+    return same or min(len(s1), len(s2)) >= (5 if min(len(i1), len(i2)) >= 2 else 6)
 
 
 def _grams(surname: str, given: str, initials: str) -> list[str]:
@@ -285,16 +288,63 @@ def _gapped(surname: str) -> set[str]:
     return {surname} | {surname[:i] + surname[i + 1 :] for i in range(len(surname))}
 
 
+def _use_keys(given: str, initials: str) -> set[str]:
+    """What a reading may have in common with a reading under another surname."""
+    if given:
+        return {"g" + n for n in full_names(given)} | {"i" + c for c in first_letters(given, initials)}
+    return {"i" + initials[:1]}
+
+
+def slipped_surnames(cores: DataFrame, near: DataFrame) -> DataFrame:
+    """(surname_a, surname_b, by_given, by_initials): for person surnames one edit apart, whether the use of the rarer shows a slip of the other.
+
+    All measures are shares, so they hold for any size of input. Given names: at least half of those
+    of the rarer surname stand under the other too. Initials: that holds, or all its readings but
+    one (or a fifth) meet a first letter there. A surname with over a quarter of all given names
+    (half of all first letters) has such company by chance: then the rarer must be 20 times rarer.
+    """
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(s, core, g, k) for s, core, g, i in zip(b["surname"], b["core"], b["given"], b["initials"]) for k in _use_keys(g, i)]
+            yield pd.DataFrame(rows, columns=["surname", "core", "given", "k"])
+
+    persons = cores.where("kind = 'person'")
+    used = materialize(persons.select("surname", "core", "given", "initials").mapInPandas(spread, "surname string, core bigint, given string, k string"), "uses")
+    all_given, all_letters = used.agg(F.approx_count_distinct(F.when(F.col("given") != "", F.col("given")), 0.02), F.approx_count_distinct(F.when(F.left("k", F.lit(1)) == "i", F.col("k")))).first()
+    keys = used.select("surname", "k").distinct()
+    totals = used.groupBy("surname").agg(
+        F.count_distinct("core").alias("n"), F.count_distinct(F.when(F.col("given") != "", F.col("given"))).alias("n_given"), F.count_distinct(F.when(F.left("k", F.lit(1)) == "i", F.col("k"))).alias("n_letters")
+    )
+    named = lambda c: [F.col(x).alias(f"{x}_{c}") for x in ("n", "n_given", "n_letters")]
+    sized = near.join(totals.select(F.col("surname").alias("surname_a"), *named("a")), "surname_a").join(totals.select(F.col("surname").alias("surname_b"), *named("b")), "surname_b")
+    way = lambda x, y: sized.where(F.col(f"n_{x}") <= F.col(f"n_{y}")).select(
+        "surname_a", "surname_b", F.col(f"surname_{x}").alias("rare"), F.col(f"surname_{y}").alias("usual"), F.col(f"n_{x}").alias("n"), F.col(f"n_{y}").alias("n_usual"),
+        F.col(f"n_given_{x}").alias("n_given"), F.col(f"n_given_{y}").alias("given_usual"), F.col(f"n_letters_{y}").alias("letters_usual"),
+    )
+    ways = materialize(way("a", "b").unionByName(way("b", "a")), "ways")
+    met = (
+        ways.select("rare", "usual").distinct().join(used.withColumnRenamed("surname", "rare"), "rare").join(keys.withColumnRenamed("surname", "usual"), ["usual", "k"])
+        .groupBy("rare", "usual").agg(
+            F.count_distinct(F.when(F.left("k", F.lit(1)) == "g", F.col("given"))).alias("met_given"),
+            F.count_distinct(F.when((F.left("k", F.lit(1)) == "g") | (F.col("given") == ""), F.col("core"))).alias("met"),
+        )
+    )
+    rare = F.col("n") * 20 <= F.col("n_usual")
+    known = (F.col("met_given") > 0) & (F.col("met_given") * 2 >= F.col("n_given")) & ((F.col("given_usual") * 4 <= all_given + 20) | rare)
+    letters = (F.col("n") - F.col("met") <= F.greatest(F.lit(1.0), F.col("n") / 5)) & ((F.col("letters_usual") * 2 <= all_letters + 6) | rare)
+    judged = ways.join(met, ["rare", "usual"]).select("surname_a", "surname_b", known.alias("by_given"), (known | letters).alias("by_initials"))
+    return judged.groupBy("surname_a", "surname_b").agg(F.max("by_given").alias("by_given"), F.max("by_initials").alias("by_initials"))
+
+
 def spelling_links(cores: DataFrame, threshold: float = 0.3) -> DataFrame:
     """(a, b, cosine) of distinct readings (core bigint, kind, surname, given, initials)."""
     n_cores = max(1, cores.count())
-    uses = cores.groupBy("kind", "surname").agg(F.count("*").cast("int").alias("uses"))
-    cores = cores.join(uses, ["kind", "surname"])
 
     def postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for core, kind, s, g, i, n in zip(b["core"], b["kind"], b["surname"], b["given"], b["initials"], b["uses"]):
+            for core, kind, s, g, i in zip(b["core"], b["kind"], b["surname"], b["given"], b["initials"]):
                 letters = {*first_letters(g, i), *(g[1:2] if len(g) > 2 else "")} if kind == "person" else {g if kind == "group" else ""}
                 keys = _gapped(s) | {own_part(s)} if kind != "word" and len(s) >= 4 else {s}
                 rows += [(f"{kind[0]}{letter}|{k}", core) for k in keys for letter in letters]
@@ -315,23 +365,27 @@ def spelling_links(cores: DataFrame, threshold: float = 0.3) -> DataFrame:
     rarity = counted.groupBy("gram").agg(F.log(F.lit(1.0 + n_cores) / F.count("*")).alias("idf"))
     vectors = counted.join(rarity, "gram").groupBy("core").agg(F.map_from_entries(F.collect_list(F.struct("gram", (F.col("tf") * F.col("idf")).alias("w")))).alias("v"))
     full = materialize(cores.join(vectors, "core"), "vectors")
-    side = lambda k: full.select(*[F.col(c).alias(f"{c}_{k}") for c in ("core", "kind", "surname", "given", "initials", "uses", "v")])
+    side = lambda k: full.select(*[F.col(c).alias(f"{c}_{k}") for c in ("core", "kind", "surname", "given", "initials", "v")])
     met = pairs.join(side("a"), F.col("a") == F.col("core_a")).join(side("b"), F.col("b") == F.col("core_b"))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             rows = []
-            for a, b, k, s1, g1, i1, n1, v1, s2, g2, i2, n2, v2 in zip(*[p[c] for c in ("a", "b", "kind_a", "surname_a", "given_a", "initials_a", "uses_a", "v_a", "surname_b", "given_b", "initials_b", "uses_b", "v_b")]):
-                if not agrees(k, s1, g1, i1, n1, s2, g2, i2, n2):
+            for a, b, k, s1, g1, i1, v1, s2, g2, i2, v2 in zip(*[p[c] for c in ("a", "b", "kind_a", "surname_a", "given_a", "initials_a", "v_a", "surname_b", "given_b", "initials_b", "v_b")]):
+                if not agrees(k, s1, g1, i1, s2, g2, i2):
                     continue
                 x, y = dict(v1), dict(v2)
                 dot = sum(w * y[g] for g, w in x.items() if g in y)
                 cosine = dot / ((sum(w * w for w in x.values()) * sum(w * w for w in y.values())) ** 0.5 or 1.0)
                 if cosine >= threshold:
-                    rows.append((a, b, cosine))
-            yield pd.DataFrame(rows, columns=["a", "b", "cosine"])
-
-    return met.mapInPandas(measure, "a bigint, b bigint, cosine double")
+                    slipped = k == "person" and not same_surname(k, s1, s2)
+                    rows.append((a, b, cosine, min(s1, s2) if slipped else None, max(s1, s2) if slipped else None, bool(g1 and g2)))
+            yield pd.DataFrame(rows, columns=["a", "b", "cosine", "surname_a", "surname_b", "named"])
+
+    measured = materialize(met.mapInPandas(measure, "a bigint, b bigint, cosine double, surname_a string, surname_b string, named boolean"), "measured")
+    evidence = slipped_surnames(cores, measured.where("surname_a is not null").select("surname_a", "surname_b").distinct())
+    slips = measured.where("surname_a is not null").join(evidence, ["surname_a", "surname_b"]).where(F.when(F.col("named"), F.col("by_given")).otherwise(F.col("by_initials")))
+    return measured.where("surname_a is null").select("a", "b", "cosine").unionByName(slips.select("a", "b", "cosine"))
 
 
 def average_linkage(links: list[tuple[int, int, float]], least: float) -> dict[int, int]:

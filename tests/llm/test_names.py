@@ -24,6 +24,21 @@ def test_variants_meet_and_people_stay_apart(spark):
     assert pairs(spark, entries) == all_pairs(JANA, MIN_HO, BECKY, GROUP)
 
 
+def test_slipped_surname_with_many_readings(spark):
+    people = ["Dewi V.", "Jennifer", "Andre T.", "Noor F.", "Rafael", "Zuzana", "Kenji P.", "Leila"]
+    some = ["Dewi V.", "Jennifer", "Andre T.", "Noor F."]
+    right, slipped, other = "Quaevzao", "Quaezvao", "Quaevzam"
+    entries = [f"{g} {right}" for g in people] + [f"{g} {slipped}" for g in some]
+    apart = [f"{g} {other}" for g in ("Minho", "Bilal", "Gabor", "Linh", "Rafael")]  # another surname, one given name in common
+    got = pairs(spark, entries + apart)
+    assert got == all_pairs(*[(f"{g} {right}", f"{g} {slipped}") for g in some])
+    cores = [(s, g, i) for s, g, i in [(right, "dewi", "dv"), (right, "noor", "nf"), (slipped, "", "dv"), (slipped, "", "nf"), (slipped, "dewi", "dv"), (slipped, "noor", "nf"), (other, "", "b"), (other, "gabor", "g"), (other, "linh", "l"), (other, "", "m")]]
+    table = spark.createDataFrame([(k, "person", *c) for k, c in enumerate(cores)], "core bigint, kind string, surname string, given string, initials string")
+    near = spark.createDataFrame([(right, slipped), (other, right)], "surname_a string, surname_b string")
+    judged = {(r.surname_a, r.surname_b): (r.by_given, r.by_initials) for r in N.slipped_surnames(table, near).collect()}
+    assert judged[right, slipped] == (True, True) and not any(judged.get((other, right), (False,)))
+
+
 def test_order_is_learned_from_certain_entries(spark):
     certain = [f"Rafael K. {s}" for s in ("Aldomir", "Bostrand", "Cevlin")] + ["Griarskit, R."]
     got = pairs(spark, [*certain, "Griarskit Rafael", "Rafael Griarskit"])
