@@ -422,31 +422,49 @@ def average_linkage(links: list[tuple[int, int, float]], least: float) -> dict[i
     return {x: top(x) for x in into}
 
 
+def merged_in_rounds(links: DataFrame, least: float) -> DataFrame:
+    """(core, set_id): average_linkage over links that need not fit a task.
+
+    A round merges all pairs that are each other's best partner. Average linkage is reducible: a merged
+    set is no nearer to a third one than the nearer of its parts, so merging these pairs at once ends
+    in the sets of merging one pair at a time. Every round adds up the links between sets.
+    """
+    edges = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("cosine").alias("total")), "edges")
+    sets = materialize(edges.select(F.explode(F.array("a", "b")).alias("core")).distinct().withColumn("set_id", F.col("core")), "members")
+    size = sets.select(F.col("set_id").alias("node"), F.lit(1).cast("bigint").alias("size"))
+    while True:
+        sized = lambda c: size.select(F.col("node").alias(c), F.col("size").alias(f"n_{c}"))
+        near = edges.join(sized("a"), "a").join(sized("b"), "b").withColumn("average", F.col("total") / (F.col("n_a") * F.col("n_b"))).where(F.col("average") >= least)
+        pair = F.struct(F.col("average"), (-F.col("a")).alias("x"), (-F.col("b")).alias("y")).alias("pair")  # ties: lower nodes first
+        best = near.select(F.explode(F.array("a", "b")).alias("node"), pair).groupBy("node").agg(F.max("pair").alias("pair"))
+        merged = materialize(best.groupBy("pair").agg(F.count("*").alias("n")).where("n = 2").select((-F.col("pair.x")).alias("into"), (-F.col("pair.y")).alias("node")), "merged")
+        if not merged.limit(1).count():
+            return sets
+        moved = lambda df, c: df.join(merged.select(F.col("node").alias(c), "into"), c, "left").withColumn(c, F.coalesce("into", c)).drop("into")
+        joined = moved(moved(edges, "a"), "b").where("a <> b")
+        edges = materialize(joined.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")), "edges")
+        sets = materialize(moved(sets, "set_id"), "members")
+        size = sets.groupBy(F.col("set_id").alias("node")).agg(F.count("*").alias("size"))
+
+
 def spelling_sets(names: DataFrame, threshold: float = 0.3, cut: float = 0.3, most_links: int = 200_000) -> DataFrame:
     """(name, set_id): every name of `names` (one column) with its set; the set is named by a hash."""
     readings = materialize(resolved_readings(names), "resolved").withColumn("core", F.xxhash64("kind", "surname", "given", "initials"))
     cores = materialize(readings.select("core", "kind", "surname", "given", "initials").distinct(), "cores")
     links = materialize(spelling_links(cores, threshold), "spellings")
-    clusters = None
-    # A component whose links would not fit a task is taken apart at rising thresholds; its parts are then cut like the others.
-    for rise in (threshold, 0.6, 0.75, 0.9):
-        parts = connected_components(links.where(F.col("cosine") >= rise))
-        tagged = links.where(F.col("cosine") >= rise).join(parts, F.col("a") == F.col("node")).drop("node")
-        sizes = tagged.groupBy("component").agg(F.count("*").alias("n"))
-        fits = tagged.join(sizes.where(F.col("n") <= most_links), "component", "left_semi")
-
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            got = average_linkage(list(zip(pdf["a"].tolist(), pdf["b"].tolist(), pdf["cosine"].tolist())), cut)
-            return pd.DataFrame({"core": list(got.keys()), "set_id": list(got.values())})
-
-        done = materialize(fits.groupBy("component").applyInPandas(run, "core bigint, set_id bigint"), "sets")
-        clusters = done if clusters is None else clusters.unionByName(done)
-        large = sizes.where(F.col("n") > most_links)
-        if not large.limit(1).count():
-            break
-        links = materialize(tagged.join(large, "component", "left_semi").select("a", "b", "cosine"), "rest")
-    else:
-        clusters = clusters.unionByName(parts.join(large, "component", "left_semi").select(F.col("node").alias("core"), F.col("component").alias("set_id")))
+    parts = connected_components(links)
+    tagged = links.join(parts, F.col("a") == F.col("node")).drop("node")
+    sizes = materialize(tagged.groupBy("component").agg(F.count("*").alias("n")), "components")
+    fits = tagged.join(sizes.where(F.col("n") <= most_links), "component", "left_semi")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = average_linkage(list(zip(pdf["a"].tolist(), pdf["b"].tolist(), pdf["cosine"].tolist())), cut)
+        return pd.DataFrame({"core": list(got.keys()), "set_id": list(got.values())})
+
+    clusters = materialize(fits.groupBy("component").applyInPandas(run, "core bigint, set_id bigint"), "sets")
+    large = sizes.where(F.col("n") > most_links)
+    if large.limit(1).count():
+        clusters = clusters.unionByName(merged_in_rounds(tagged.join(large, "component", "left_semi").select("a", "b", "cosine"), cut))
     return readings.select("name", "core").join(clusters, "core", "left").select("name", F.coalesce("set_id", "core").alias("set_id"))
 
 

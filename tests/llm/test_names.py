@@ -90,6 +90,16 @@ def test_large_components_are_taken_apart(spark):
     assert all(small[a] != small[b] or whole[a] == whole[b] for a in whole for b in whole)
 
 
+def test_rounds_equal_average_linkage(spark):
+    rng = random.Random(6)
+    links = [(100 * k + i, 100 * k + j, rng.random()) for k in range(6) for i, j in itertools.combinations(range(9), 2) if rng.random() < 0.7]
+    df = spark.createDataFrame(links, "a bigint, b bigint, cosine double")
+    assert {r.core: r.set_id for r in N.merged_in_rounds(df, 0.3).collect()} == N.average_linkage(links, 0.3)
+    names = spark.createDataFrame([(e,) for e in JANA + MIN_HO + BECKY], "name string")
+    sets = [{r.name: r.set_id for r in N.spelling_sets(names, most_links=n).collect()} for n in (1, 200_000)]
+    assert sets[0] == sets[1]
+
+
 def test_empty(spark):
     assert pairs(spark, []) == [] and pairs(spark, ["…", "others"]) == []
     a = spark.createDataFrame([(["x y", None],), (None,)], "authors array<string>")
