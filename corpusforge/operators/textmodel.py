@@ -8,6 +8,7 @@ that have no answer yet. Put filters before the call; the optimizer does not mov
 from __future__ import annotations
 
 import hashlib
+import re
 import threading
 import time
 from collections.abc import Callable, Iterator
@@ -20,6 +21,7 @@ from corpusforge.functions.text import json_in_prose, strip
 from corpusforge.session import materialize
 
 Model = Callable[[str], str]
+_LISTED = re.compile(r"\d+\. ")
 
 
 class KeyRing:
@@ -59,6 +61,13 @@ def mock_model(prompt: str) -> str:
     return f'Here you are: {{"label": "{("positive", "hard_negative", "ignored")[h[0] % 3]}", "score": {h[1] % 5 + 1}, "reason": "r{h[2]}"}} Done.'
 
 
+def mock_list_model(prompt: str) -> str:
+    """An answer to a prompt of numbered lines: a result for every line, in the order listed."""
+    lines = [x for x in prompt.split("\n") if _LISTED.match(x)]
+    scores = [hashlib.sha1(x.encode()).digest()[1] % 5 + 1 for x in lines]
+    return f'Here you are: {{"results": [{", ".join(f"""{{"score": {s}}}""" for s in scores)}]}} Done.'
+
+
 def rendered(template: str, fields: dict[str, Column]) -> Column:
     """The template with every {{name}} replaced; null values as empty text."""
     out = F.lit(template)
@@ -90,6 +99,13 @@ def in_answer(answer: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(json_in_prose(answer), path, kind)
 
 
+def listed_in_answer(df: DataFrame, answer: str, path: str, pos: str, value: str) -> DataFrame:
+    """df with a row for every element of the list at path in the JSON of an answer, or of the list that the JSON is: its place from 0 and its value (variant)."""
+    found = json_in_prose(F.col(answer))
+    listed = F.coalesce(F.try_variant_get(found, path, "array<variant>"), F.try_variant_get(found, "$", "array<variant>"))
+    return df.select("*", F.posexplode(listed).alias(pos, value))
+
+
 def relied_on(verdict: Column) -> Column:
     """'Keep' for PASS in any case with outer blanks, else 'Hard Reject'."""
     return F.when(F.upper(strip(verdict)) == "PASS", "Keep").otherwise("Hard Reject")

@@ -56,10 +56,12 @@ def style_judge_mock(spark, folder):
     """Queries judged in one prompt per paper, answers joined back by place."""
     q = table(spark, folder, "queries").select("paper_id", "qpos", "query_text")
     listed = q.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("qpos", "query_text"))).alias("qs"))
-    prompt = F.array_join(F.transform("qs", lambda x: F.concat(x["qpos"].cast("string"), F.lit(". "), F.coalesce(x["query_text"], F.lit("")))), "\n")
-    out = textmodel.answered(listed.withColumn("prompt", prompt), "prompt", textmodel.mock_model)
-    scores = out.select("paper_id", F.lit(0).alias("qpos"), textmodel.in_answer(F.col("answer"), "$.score", "int").alias("score"))
-    return textmodel.zipped(q.select("paper_id", "qpos"), scores, ["paper_id"], "qpos", {"score": 0})
+    line = lambda x, place: F.concat(place.cast("string"), F.lit(". "), F.regexp_replace(F.coalesce(x["query_text"], F.lit("")), r"[\r\n]+", " "))
+    prompt = F.array_join(F.transform("qs", line), "\n")
+    out = textmodel.answered(listed.withColumn("prompt", prompt), "prompt", textmodel.mock_list_model)
+    scores = textmodel.listed_in_answer(out, "answer", "$.results", "place", "result").select("paper_id", "place", F.try_variant_get("result", "$.score", "int").alias("score"))
+    places = listed.select("paper_id", F.posexplode("qs").alias("place", "q")).select("paper_id", "q.qpos", "place")
+    return textmodel.zipped(places, scores, ["paper_id"], "place", {"score": 0}).select("paper_id", "qpos", "score")
 
 
 @query()

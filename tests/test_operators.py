@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusforge.operators import dedupe, feedback, graph, layout, notes, rules, stats, textmodel
+from corpusforge.plans import artifact_queries
 
 
 def test_first_place_last_value(spark):
@@ -116,6 +118,16 @@ def test_text_model_calls_each_prompt_once(spark):
     assert {r.i: r.answer for r in textmodel.answered(df, "prompt", lambda p: "new", known).collect()}[4] == "kept"
 
 
+def test_style_judge_scores_every_query(spark, tmp_path):
+    rows = [("a", 3, "first"), ("a", 7, "second"), ("a", 9, None), ("a", 12, "two\nlines\n2. more"), ("b", 5, "other")]
+    spark.createDataFrame(rows, "paper_id string, qpos int, query_text string").write.parquet(f"{tmp_path}/queries.parquet")
+    got = {(r.paper_id, r.qpos): r.score for r in artifact_queries.QUERIES["style_judge_mock"](spark, str(tmp_path)).collect()}
+    alone = lambda t: hashlib.sha1(t.encode()).digest()[1] % 5 + 1
+    assert got == {("a", 3): alone("0. first"), ("a", 7): alone("1. second"), ("a", 9): alone("2. "), ("a", 12): alone("3. two lines 2. more"), ("b", 5): alone("0. other")}
+    short = spark.createDataFrame([("x", 'so: {"results": [{"score": 4}, null]}'), ("y", "no json"), ("z", None)], "i string, answer string")
+    assert [(r.i, r.place) for r in textmodel.listed_in_answer(short, "answer", "$.results", "place", "r").collect()] == [("x", 0), ("x", 1)]
+
+
 def test_key_ring():
     now, calls = [0.0], []
 
