@@ -2,8 +2,8 @@
 
 Blocking by keys that both sides derive from themselves: the sentences of the abstract,
 and, where an abstract is missing, author with the start or the end of the title, and the title
-itself. A key that more than `hot` papers have is refined by an author, so no key gathers a large
-part of the data on the papers' side. On every candidate pair several labelling functions vote
+itself. Keys that more than `hot` papers have give the same pairs and counts as others: those
+a found work can spare (it needs a third of its sentences) are only counted, the rest are joined in salted parts. On every candidate pair several labelling functions vote
 (abstract, title, authors, year, system name, marks of a follow-up, another subject); a generative model with the classes unrelated, follow-up,
 sibling (other work of the same people) and same learns their accuracies and correlations from the vote patterns and gives each pattern its posterior.
 
@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.llm import labelmodel
@@ -46,6 +46,7 @@ NOISE = r"(?i)\[(?:html|pdf|book|citation|c|b|v\d+)\]|\((?:extended abstract|pre
 VOTES = ("abstract", "twin", "title", "authors", "year", "system", "follow_up", "topic")
 
 
+SALTS = 8  # parts of a key that many papers have
 SHAPE = (
     "id {kind}, year int, cut boolean, letters string, words array<bigint>, marks array<string>, system string, n_who int, who array<bigint>, "
     "n_said int, said array<bigint>, titled array<bigint>, lead array<bigint>, twin array<bigint>"
@@ -181,16 +182,25 @@ def candidate_pairs(found: DataFrame, papers: DataFrame, lent: DataFrame, hot: i
     none = F.lit(0)
     mine = tagged(found, "said", True, F.col("n_said")).unionByName(tagged(lent, "lent", True, F.size("lent"))).unionByName(tagged(found, "titled", False, none)).unionByName(tagged(found, "lead", False, none))
     theirs = tagged(papers, "said", True, none).unionByName(tagged(papers, "titled", False, none)).unionByName(tagged(papers, "lead", False, none)).select(F.col("id").alias("paper"), "key").distinct()
-    heavy = materialize(theirs.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"), "hot")
+    heavy = materialize(theirs.groupBy("key").agg(F.count("*").alias("papers")).where(F.col("papers") > hot), "hot")
     any_hot = heavy.limit(1).count() > 0
     usual = theirs.join(heavy, "key", "left_anti") if any_hot else theirs
     out = mine.join(usual, "key").select("id", "paper", "key", "o", "n")
     if any_hot:
-        who_f, who_p = (d.select(F.col("id").alias(n), F.explode("who").alias("w")).distinct() for d, n in ((found, "id"), (papers, "paper")))
-        left = mine.join(heavy, "key", "left_semi").join(who_f, "id")
-        right = theirs.join(heavy, "key", "left_semi").join(who_p, "paper")
-        out = out.unionByName(left.join(right, ["key", "w"]).select("id", "paper", "key", "o", "n"))
+        # A pair with a third of n sentences in common has one of them outside the most common ceil(n / 3) - 1: those meet no one.
+        common = mine.where("o").distinct().join(heavy, "key").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("papers"), "key")))
+        common = materialize(common, "common")
+        meeting = common.where("rank >= ceil(n / 3)").select("id", "key", "o").unionByName(mine.where("not o").select("id", "key", "o").distinct().join(heavy, "key", "left_semi"))
+        salted = theirs.join(heavy, "key", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        through = meeting.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"])
+        out = out.unionByName(through.select("id", "paper", F.lit(None).cast("bigint").alias("key"), "o", F.lit(0).alias("n")))
     met = out.groupBy("id", "paper").agg(F.size(F.collect_set(F.when(F.col("o"), F.col("key")))).alias("n_shared"), F.max("n").alias("n"), F.max(~F.col("o")).alias("by_title"))
+    if any_hot:  # all common sentences of a pair count, whatever it met by
+        said_f = common.groupBy("id").agg(F.collect_set("key").alias("f_common"), F.max("n").alias("n_all"))
+        said_p = papers.select(F.col("id").alias("paper"), F.explode("said").alias("key")).join(heavy, "key", "left_semi").groupBy("paper").agg(F.collect_set("key").alias("p_common"))
+        both = F.coalesce(F.size(F.array_intersect("f_common", "p_common")), F.lit(0))
+        met = met.join(said_f, "id", "left").join(said_p, "paper", "left").withColumn("both", F.when(F.col("f_common").isNull() | F.col("p_common").isNull(), 0).otherwise(both))
+        met = met.select("id", "paper", (F.col("n_shared") + F.col("both")).alias("n_shared"), F.when(F.col("both") > 0, F.greatest("n", "n_all")).otherwise(F.col("n")).alias("n"), "by_title")
     return met.where(F.col("by_title") | (F.col("n_shared") * 3 >= F.col("n"))).drop("by_title")
 
 

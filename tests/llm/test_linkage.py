@@ -50,6 +50,18 @@ def test_hot_keys_are_refined_not_dropped(spark):
     assert {(i, f"p{i}") for i in range(30)} <= met
 
 
+def test_hot_keys_give_the_same_pairs_as_others(spark):
+    rng = random.Random(4)
+    shared = ["This is one sentence that stands in the abstract of every single paper here.", "Another such sentence stands in nearly all of the abstracts of this table."]
+    papers = [(f"p{i}", t, a, y, " ".join(shared[: 1 + (i % 3 > 0)]) + " " + s, i) for i, (t, a, y, s) in ((i, work(rng)) for i in range(30))]
+    cut = lambda s, n: ". ".join(s.split(". ")[:n]) + "."
+    found = [(4 * i + k, t if k else None, [None, a, ["Nobody Else"], None][k], y, [cut(s, 3), s, cut(s, 2), None][k], "") for i, (_, t, a, y, s, _) in enumerate(papers) for k in range(4)]
+    d = linkage.described(spark.createDataFrame(found, FOUND), "cand_id", "paper_title", False)
+    e = linkage.described(spark.createDataFrame(papers, PAPERS), "paper_id", "title", True)
+    cold, hot = ({tuple(r) for r in linkage.candidate_pairs(d, e, linkage._lent(d), hot=n).select("id", "paper", "n_shared", "n").collect()} for n in (10_000, 5))
+    assert hot == cold and {(4 * i, f"p{i}") for i in range(30)} <= {r[:2] for r in hot}
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     p = [("p", "A Title of Some Length", ["Anna Brandorg"], 2020, "We study it. " * 9, 1), (None, "x", None, None, None, 2), ("q", None, None, None, None, 3)]
     f = [(1, "A Title of Some Length", ["A. Brandorg"], None, None, ""), (1, "A Title of Some Length", ["A. Brandorg"], None, None, ""), (None, "x", None, None, None, ""), (2, None, None, None, None, ""), (3, "", [], None, "N/A", ""), (4, "…", [None, "et al."], 1999, "x" * 100_000, "")]
