@@ -11,10 +11,12 @@ The items are the small side. They are taken in blocks of at most `block_words`
 is broadcast once and streamed over by all documents, so memory is bounded whatever the number of
 items, and no seed of the corpus is ever shuffled.
 
-Sentences that stand in many unrelated documents are found from the hits themselves: for every
-item word the distinct surroundings (three words before and after the run) are counted over the
-whole corpus; copies of one document share their surroundings and count once. Words whose count
-exceeds `stock_share` of all documents (and `stock_least`) are no evidence.
+Sentences that stand in many unrelated documents are found from the hits themselves: for every run
+that stays within a sentence of its item and comes without the rest of it, the distinct surroundings
+(three words before and after the run) are counted over the whole corpus; copies of one document
+share their surroundings and count once. A run whose count exceeds `stock_share` of all documents
+(and `stock_least`), whose ends are sentence bounds and that is only a part of some item, is stock and
+no evidence. A whole item or several of its sentences never are, however often they leaked.
 
 Defined cases: null or empty texts and items hold nothing; repeated rows count once; items shorter
 than `least_words` words are held only as a whole; a document may hold many items.
@@ -38,6 +40,7 @@ from corpusforge.session import materialize
 MASKS = ("111010011", "1111011")
 _ACCENT = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+")
 _WORD = re.compile(r"[^\W_]+")
+_SENTENCE_END = re.compile(r"(?<=[.!?…。！？])[\"'”’)\]]*\s+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 #: Common English function words; one in the place of another word is a replacement, not another question.
@@ -48,7 +51,7 @@ FUNCTION_WORDS = frozenset(
     "roughly nearly almost about often here there now again".split()
 )
 
-RUN_SCHEMA = "doc_id bigint, item_id bigint, diagonal int, runs array<struct<lo:int,hi:int,context:bigint>>, swaps array<struct<at:int,kind:int>>"
+RUN_SCHEMA = "doc_id bigint, item_id bigint, diagonal int, runs array<struct<lo:int,hi:int,context:bigint,said:bigint,bounded:boolean,part:boolean>>, swaps array<struct<at:int,kind:int>>"
 
 
 def fold_words(text: str) -> list[str]:
@@ -75,12 +78,19 @@ def _seeds(ids: np.ndarray, mask: str) -> np.ndarray:
     return value
 
 
+def sentence_bounds(text: str, n_words: int) -> list[int]:
+    """The word numbers at which sentences start, and the number of words."""
+    bounds = np.cumsum([0, *(len(fold_words(p)) for p in _SENTENCE_END.split(text))]).tolist()
+    return sorted(set(bounds)) if bounds[-1] == n_words else [0, n_words]
+
+
 class Items:
     """The items of one block: words, word numbers, seed table."""
 
     def __init__(self, rows: list[tuple[int, str]]):
-        self.words = [(i, fold_words(t)) for i, t in rows]
-        self.words = [(i, w) for i, w in self.words if w]
+        read = [(i, t, fold_words(t)) for i, t in rows]
+        self.words = [(i, w) for i, _, w in read if w]
+        self.bounds = [sentence_bounds(t, len(w)) for _, t, w in read if w]
         self.number: dict[str, int] = {}
         for _, ws in self.words:
             for w in ws:
@@ -166,8 +176,13 @@ def _verify(words: list[str], ids: np.ndarray, items: Items, least_run: int) ->
         keep = [(a, b) for a, b in zip(starts.tolist(), ends.tolist()) if b - a + 1 >= least_run or len(own) < 14]
         if sum(b - a + 1 for a, b in keep) < min(6, len(own)):
             continue
-        runs = [(a, b, _context(words[max(0, a + d - 3) : a + d] + ["|"] + words[b + d + 1 : b + d + 4])) for a, b in keep]
-        theirs = items.words[k][1]
+        theirs, bounds = items.words[k][1], items.bounds[k]
+        matched, runs = sum(b - a + 1 for a, b in keep), []
+        for a, b in keep:
+            # Words beyond the run on its diagonal show that more of the item is there.
+            alone = matched - (b - a + 1) < 6 and not any(a < x <= b for x in bounds)
+            context = _context(words[max(0, a + d - 3) : a + d] + ["|"] + words[b + d + 1 : b + d + 4])
+            runs.append((a, b, context, _context(theirs[a : b + 1]) if alone else None, a in bounds and b + 1 in bounds, b - a + 1 < len(own)))
         swaps = [(q, _swap_kind(theirs[q], words[q + d])) for q in (b + 1 for (_, b), (a, _) in zip(keep, keep[1:]) if a == b + 2)]
         yield items.words[k][0], d, runs, swaps
 
@@ -237,11 +252,12 @@ def leaked_pairs(
     runs = materialize(runs, "runs")
     n_docs = source.agg(F.approx_count_distinct("doc_id")).first()[0]
     most = max(stock_least, stock_share * n_docs)
-    places = runs.select("item_id", F.explode("runs").alias("r")).where("r.hi - r.lo >= 5").select("item_id", F.explode(F.sequence("r.lo", "r.hi")).alias("at"), "r.context")
-    stock = (
-        places.groupBy("item_id", "at").agg(F.approx_count_distinct("context", 0.03).alias("n")).where(F.col("n") > most)
-        .groupBy("item_id").agg(F.collect_set("at").alias("stock"))
+    seen = runs.select("item_id", F.explode("runs").alias("r")).where("r.hi - r.lo >= 5 and r.said is not null").select("item_id", "r.*")
+    common = (
+        seen.groupBy("said").agg(F.approx_count_distinct("context", 0.03).alias("n"), F.max("bounded").alias("bounded"), F.max("part").alias("part"))
+        .where((F.col("n") > most) & F.col("bounded") & F.col("part")).select("said")
     )
+    stock = seen.join(common, "said", "left_semi").select("item_id", F.explode(F.sequence("lo", "hi")).alias("at")).groupBy("item_id").agg(F.collect_set("at").alias("stock"))
     lengths = wanted.select("item_id", "text").mapInPandas(
         lambda batches: (pd.DataFrame({"item_id": b["item_id"], "n_words": [len(fold_words(t)) for t in b["text"]]}) for b in batches), "item_id bigint, n_words int"
     ).groupBy("item_id").agg(F.max("n_words").alias("n_words"))

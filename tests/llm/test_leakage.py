@@ -66,6 +66,17 @@ def test_stock_sentences_are_no_evidence_but_copies_count(spark):
     assert got == [(100 + i, 1) for i in range(30)]
 
 
+def test_whole_items_that_leaked_often_are_found_and_stock_sentences_are_not(spark):
+    say = lambda *parts: " ".join(" ".join(p).capitalize() + "." for p in parts)
+    first, second, stock, alone = text(21, 18), text(22, 16), text(23, 17), text(24, 20)
+    hosts = [[*text(500 + i, 9)] for i in range(30)]
+    docs = [(i, " ".join(h) + " " + say(first, second) + " " + " ".join(reversed(h))) for i, h in enumerate(hosts)]
+    docs += [(100 + i, " ".join(h) + " " + say(stock) + " " + " ".join(reversed(h))) for i, h in enumerate(hosts)]
+    docs += [(200 + i, " ".join(h) + " " + say(alone) + " " + " ".join(reversed(h))) for i, h in enumerate(hosts)]
+    got = found(spark, docs, [(1, say(first, second)), (2, say(text(25, 15), stock)), (3, say(alone))])
+    assert got == [(i, 1) for i in range(30)] + [(200 + i, 3) for i in range(30)]
+
+
 def test_blocks_nulls_short_items_and_empty_tables(spark):
     a, b, short = " ".join(text(1, 20)), " ".join(text(2, 20)), " ".join(text(3, 5))
     docs = [(1, a), (2, b), (3, None), (None, a), (4, "x " + short + " y"), (1, a)]
