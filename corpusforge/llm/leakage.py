@@ -90,6 +90,11 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]]):
         read = [(i, t, fold_words(t)) for i, t in rows]
         self.words = [(i, w) for i, _, w in read if w]
+        fills: dict[tuple[str, str], set[str]] = {}
+        for _, ws in self.words:
+            for before, w, after in zip(ws, ws[1:], ws[2:]):
+                fills.setdefault((before, after), set()).add(w)
+        self.slots = {frame for frame, words in fills.items() if len(words) > 1}  # neighbours between which the items vary
         self.bounds = [sentence_bounds(t, len(w)) for _, t, w in read if w]
         self.number: dict[str, int] = {}
         for _, ws in self.words:
@@ -139,7 +144,7 @@ class Items:
 
 
 def _swap_kind(a: str, b: str) -> int:
-    """How item word a became document word b: 1 like a slip or a filler, 2 another number, 0 another word."""
+    """How item word a became document word b: 1 like a slip or a filler, 2 another number, 0 another word (3 where the items do not vary there)."""
     if a.isdigit() and b.isdigit():
         return 2
     if b in FUNCTION_WORDS:
@@ -183,12 +188,13 @@ def _verify(words: list[str], ids: np.ndarray, items: Items, least_run: int) ->
             alone = matched - (b - a + 1) < 6 and not any(a < x <= b for x in bounds)
             context = _context(words[max(0, a + d - 3) : a + d] + ["|"] + words[b + d + 1 : b + d + 4])
             runs.append((a, b, context, _context(theirs[a : b + 1]) if alone else None, a in bounds and b + 1 in bounds, b - a + 1 < len(own)))
-        swaps = [(q, _swap_kind(theirs[q], words[q + d])) for q in (b + 1 for (_, b), (a, _) in zip(keep, keep[1:]) if a == b + 2)]
+        kind = lambda q: _swap_kind(theirs[q], words[q + d]) or (0 if (theirs[q - 1], theirs[q + 1]) in items.slots else 3)
+        swaps = [(q, kind(q)) for q in (b + 1 for (_, b), (a, _) in zip(keep, keep[1:]) if a == b + 2)]
         yield items.words[k][0], d, runs, swaps
 
 
 def _accept(runs: list[tuple[int, int]], swaps: dict[int, int], stock: set[int], n_words: int, least_words: int) -> bool:
-    """True if some stretch of the diagonal is a passage: long enough, few and lone replacements, none of it stock."""
+    """True if some stretch of the diagonal is a passage: long enough, lone replacements of at most one word in seven (fewer with slots), no number replaced, none of it stock."""
     whole = min(least_words, n_words)
     clean: list[tuple[int, int]] = []
     for a, b in runs:
@@ -199,17 +205,18 @@ def _accept(runs: list[tuple[int, int]], swaps: dict[int, int], stock: set[int],
                     clean.append((at, q - 1))
                 at = q + 1
     for i, (a, b) in enumerate(clean):
-        number = other = slips = 0
+        number = other = slips = slots = 0
         for j in range(i, len(clean)):
             if j > i:
                 q = clean[j - 1][1] + 1
                 if clean[j][0] != q + 1 or q not in swaps:
                     break
                 slips += swaps[q] == 1
-                other += swaps[q] == 0
+                other += swaps[q] in (0, 3)
+                slots += swaps[q] == 0
                 number += swaps[q] == 2
             length = clean[j][1] - a + 1
-            if length >= whole and not number and (other + slips == 0 or (other == 0 and length >= 7 * slips) or (other <= 1 and slips == 0) or length >= 9.2 * (other + slips)):
+            if length >= whole and not number and (length >= (9.2 if slots else 7) * (other + slips) or (other <= 1 and slips == 0)):
                 return True
     return False
 

@@ -66,6 +66,15 @@ def test_stock_sentences_are_no_evidence_but_copies_count(spark):
     assert got == [(100 + i, 1) for i in range(30)]
 
 
+def test_two_or_three_ordinary_words_replaced(spark):
+    words = text(31, 40)
+    put = lambda n, *at: " ".join(text(32, 8) + ["quuxing" if i in at else w for i, w in enumerate(words[:n])] + text(33, 8))
+    docs = [(1, put(14, 4, 9)), (2, put(18, 5, 11)), (3, put(21, 5, 10, 15)), (4, put(13, 4, 9)), (5, put(14, 3, 6, 10))]
+    assert found(spark, docs, [(1, " ".join(words))]) == [(1, 1), (2, 1), (3, 1)]
+    other = " ".join([*text(34, 12), *words[3:4], "zorbing", *words[5:6], *text(35, 12)])  # items that vary at a replaced word: a question of the same manner
+    assert (1, 1) not in found(spark, docs, [(1, " ".join(words)), (2, other)])
+
+
 def test_whole_items_that_leaked_often_are_found_and_stock_sentences_are_not(spark):
     say = lambda *parts: " ".join(" ".join(p).capitalize() + "." for p in parts)
     first, second, stock, alone = text(21, 18), text(22, 16), text(23, 17), text(24, 20)
