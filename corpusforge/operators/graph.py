@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusforge.session import materialize
+from corpusforge.session import discard, materialize
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
@@ -19,7 +19,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_roun
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"`{a}` is not null and `{b}` is not null").distinct()
     edges = materialize(edges, "links")
     loops = edges.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
-    now = edges.where("u <> v")
+    now, old = edges.where("u <> v"), None
     for _ in range(most_rounds):
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -28,7 +28,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_roun
         small = large.join(lower, "u").select(F.greatest("v", "m").alias("x"), F.col("m").alias("y")).where("x <> y")
         after = materialize(small.select(F.col("x").alias("u"), F.col("y").alias("v")).unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "star")
         sums = [d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first() for d in (now, after)]
-        now = after
+        if old is not None:
+            discard(old)  # a round needs the one before only
+        now = old = after
         if sums[0] == sums[1]:
             break
     roots = now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")

@@ -30,8 +30,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir, which all executors share.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is made and
-    registered as the checkpoint folder of the session.
+    Only where the setting is absent and the master is local (tests on one machine) a temporary
+    folder is made, which is deleted when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
@@ -63,7 +63,16 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what materialize() wrote for these tables; for rounds, once the next table is written and nothing lazy reads the old one."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
