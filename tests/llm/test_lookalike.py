@@ -46,3 +46,18 @@ def test_classes_count_spellings(spark):
     df = spark.createDataFrame([(1, "ａ b", "x", "y"), (2, "a b", "x", "y"), (3, "c", "x", "y")], ROWS)
     got = {r.doc_id: (r.class_id, r.n_spellings) for r in L.form_classes(df).collect()}
     assert got[1] == got[2] and got[1][1] == 2 and got[3][1] == 1
+
+
+def test_the_dominant_script_of_a_token_is_the_one_it_is_written_in(spark):
+    # Latin letters in words of Cyrillic and Greek, and foreign letters of several kinds in Latin words
+    same = [("сумма слов", "суммa слов"), ("ο λόγος εδώ", "ο λόγoς εδώ"), ("the paper here", "the pαper here"), ("one more find", "one more fιnd"), ("an Apple pie", "an Ꭺpple pie"), ("so good now", "so ɡood now")]
+    texts = [(10 * i + j, t) for i, pair in enumerate(same) for j, t in enumerate(pair)]
+    assert pairs(spark, texts) == [(10 * i, 10 * i + 1) for i in range(len(same))]
+    alike = L.unicode_confusables(spark)
+    assert alike.results("суммa")[0] == "сумма" and alike.results("pαper") == ["paper"]
+    assert alike.results("α") == alike.results("αt") == alike.results("model") == alike.results("λόγος") == []
+
+
+def test_a_word_of_the_vocabulary_goes_before_one_that_spellings_vouch_for(spark):
+    # both mixed spellings could also be read in Cyrillic letters only; the vocabulary has the Latin word
+    assert pairs(spark, [(1, "all ѕeеds are"), (2, "all ѕееdѕ are"), (3, "all seeds are")]) == [(1, 2), (1, 3), (2, 3)]
