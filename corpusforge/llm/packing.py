@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -37,21 +38,22 @@ PLACED = "limit_id int, capacity_tokens int, container_id string, doc_id bigint,
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
+def _tokenizer(model: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(path)
+    made = Tokenizer.from_str(model)
     made.encode_special_tokens = True
     return made
 
 
 def token_lengths(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """(key, text_hash, n_tokens) of the distinct (key, text) rows; a narrow pass, whole texts."""
+    """(key, text_hash, n_tokens) of the distinct (key, text) rows; a narrow pass, whole texts. The vocabulary is read on the driver and sent along."""
+    shipped = df.sparkSession.sparkContext.broadcast(Path(vocabulary).read_text(encoding="utf-8"))  # a file of fixed size
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made = _tokenizer(vocabulary)
+        made = _tokenizer(shipped.value)
         for b in batches:
             counts = []
             texts = list(b["text"])
@@ -65,14 +67,17 @@ def token_lengths(df: DataFrame, key: str = "doc_id", text: str = "text", vocabu
 
 def least_sequences(sizes: np.ndarray, capacity: int) -> int:
     """A lower bound of the sequences needed: by volume, and by sizes that exclude each other."""
-    volume = -(-int(sizes.sum()) // capacity)
-    large = sizes[2 * sizes > capacity]
-    best = max(volume, len(large))
-    for k in np.unique(sizes[2 * sizes <= capacity])[:200]:
-        alone = (sizes > capacity - k).sum()
-        pair = sizes[(2 * sizes > capacity) & (sizes <= capacity - k)]
-        rest = int(sizes[(sizes >= k) & (2 * sizes <= capacity)].sum()) - int(len(pair) * capacity - pair.sum())
-        best = max(best, int(alone) + len(pair) + max(0, -(-rest // capacity)))
+    up = np.sort(sizes)
+    total = np.concatenate([[0], np.cumsum(up)])
+    half = int(np.searchsorted(up, capacity // 2, "right"))  # the pieces before it fit twice
+    best = max(-(-int(total[-1]) // capacity), len(up) - half)
+    k = np.unique(up[:half])
+    if len(k):
+        # Beside a piece above capacity - k no piece of k or more fits; what the larger halves leave is lost to the rest.
+        lone = np.searchsorted(up, capacity - k, "right")
+        small = np.searchsorted(up, k, "left")
+        rest = total[half] - total[small] - ((lone - half) * capacity - (total[lone] - total[half]))
+        best = max(best, int((len(up) - half + np.maximum(0, -(-rest // capacity))).max()))
     return best
 
 

@@ -55,3 +55,21 @@ def test_empty_tables(spark):
     docs, limits = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, 64, "s")], LIMITS)
     assert P.packed(docs, limits).count() == 0
     assert P.packed(docs, spark.createDataFrame([], LIMITS)).count() == 0
+
+
+def test_bound_looks_at_all_sizes():
+    def plain(sizes, capacity):
+        best = max(-(-int(sizes.sum()) // capacity), int((2 * sizes > capacity).sum()))
+        for k in np.unique(sizes[2 * sizes <= capacity]):
+            pair = sizes[(2 * sizes > capacity) & (sizes <= capacity - k)]
+            rest = int(sizes[(sizes >= k) & (2 * sizes <= capacity)].sum()) - int(len(pair) * capacity - pair.sum())
+            best = max(best, int((sizes > capacity - k).sum()) + len(pair) + max(0, -(-rest // capacity)))
+        return best
+
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        capacity = int(rng.integers(1, 60))
+        sizes = rng.integers(1, capacity + 1, rng.integers(0, 30))
+        assert P.least_sequences(sizes, capacity) == plain(sizes, capacity)
+    many = rng.permutation(np.concatenate([np.arange(1, 901), np.full(700, 1100)]))  # over 200 different sizes that fit twice
+    assert P.least_sequences(many, 2000) == plain(many, 2000)
