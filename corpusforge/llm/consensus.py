@@ -11,7 +11,8 @@ zero and annotators who answer contrary to the truth with a negative one.
 Each round is two keyed sums with partial aggregation, joined back to the edges; sums of a few
 numbers per key are all that is grouped, so an item or annotator with a third of all rows is no
 problem. Sums are broadcast only if they have at most `broadcast_rows` rows; else the join is
-shuffled, and the hot side split by the adaptive engine. Every round is written to the shared folder.
+shuffled, and the hot side split by the adaptive engine. A round writes the item-to-annotator messages and
+the two sums to the shared folder (annotator-to-item messages follow from these) and deletes those of the round before.
 
 Defined cases: rows without item, annotator or judgement, and blank ones, are left out; unknown
 spellings count as Unsure; names are compared without case and outer blanks; of several rows of an
@@ -23,10 +24,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from corpusforge.session import is_small, materialize
+from corpusforge.session import discard, is_small, materialize
 
 CLASSES = ("Yes", "No", "Unsure")
 HONEST = 8.0
@@ -74,14 +75,14 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
     prior = [min(0.999, max(0.001, totals[f"k{c}"] / totals["m"])) for c in range(n)]
     share = list(prior)
     start = edges.join(item_votes, item)
-    state = materialize(start.select(*edges.columns, *[((F.col(f"k{c}") - is_class(c) + prior[c]) / F.col("m")).alias(f"p{c}") for c in range(n)]), "votes")
+    state = materialize(start.select(*edges.columns, *[((F.col(f"k{c}") - is_class(c) + prior[c]) / F.col("m")).alias(f"p{c}") for c in range(n)]), "beliefs")
+    kept: list[DataFrame] = []
     for turn in range(rounds):
         hit = [F.sum(F.col(f"p{c}") * is_class(c)).alias(f"h{c}") for c in range(n)]
         of = [F.sum(f"p{c}").alias(f"t{c}") for c in range(n)]
         alarm = [F.sum((1 - F.col(f"p{c}")) * is_class(c)).alias(f"a{c}") for c in range(n)]
-        worth = materialize(state.groupBy("annotator").agg(F.count("*").alias("m"), *hit, *of, *alarm), "worth")  # read three times
+        worth = materialize(state.groupBy("annotator").agg(F.count("*").alias("m"), *hit, *of, *alarm), "worth")
         pooled = worth.agg(*[F.sum(x).alias(x) for x in ["m"] + [f"{k}{c}" for k in "hta" for c in range(n)]]).first()
-        at = _joined(state, worth, ["annotator"], broadcast_rows)
         votes = []
         for c in range(n):
             # The common rates, started from honest annotators: HONEST votes that any real number of them outweighs.
@@ -93,18 +94,20 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
             bound = lambda x: F.greatest(F.lit(0.005), F.least(F.lit(0.995), x))
             rate_hit, rate_alarm = bound(rate_hit), bound(rate_alarm)
             votes.append(F.when(F.col("label") == c, F.log(rate_hit / rate_alarm)).otherwise(F.log((1 - rate_hit) / (1 - rate_alarm))).alias(f"v{c}"))
-        keep = [*edges.columns, *[f"p{c}" for c in range(n)]]
-        sent = materialize(at.select(*keep, *votes), "messages")
+        sent = _joined(state, worth, ["annotator"], broadcast_rows).select(*edges.columns, *[f"p{c}" for c in range(n)], *votes)
         sums = materialize(sent.groupBy(*item).agg(*[F.sum(f"v{c}").alias(f"s{c}") for c in range(n)]), "sums")
         back = _joined(sent, sums, item, broadcast_rows)
         prior = [min(0.999, max(0.001, (pooled[f"t{c}"] + HONEST * share[c]) / (pooled["m"] + HONEST))) for c in range(n)]
         logit = [math.log(q / (1 - q)) for q in prior]
-        new = [(1 / (1 + F.exp(-(F.lit(logit[c]) + F.col(f"s{c}") - F.col(f"v{c}"))))).alias(f"q{c}") for c in range(n)]
-        done = materialize(back.select(*keep, *[f"v{c}" for c in range(n)], *[f"s{c}" for c in range(n)], *new), "beliefs")
-        moved = done.agg(*[F.avg(F.abs(F.col(f"q{c}") - F.col(f"p{c}"))).alias(f"d{c}") for c in range(n)]).first()
-        state = done.select(*edges.columns, *[F.col(f"q{c}").alias(f"p{c}") for c in range(n)])
-        if max(moved) < tolerance:
+        new = [1 / (1 + F.exp(-(F.lit(logit[c]) + F.col(f"s{c}") - F.col(f"v{c}")))) for c in range(n)]
+        moves = Observation()
+        told = back.observe(moves, *[F.avg(F.abs(new[c] - F.col(f"p{c}"))).alias(f"d{c}") for c in range(n)])
+        after = materialize(told.select(*edges.columns, *[q.alias(f"p{c}") for c, q in enumerate(new)]), "beliefs")
+        done = back.select(*edges.columns, *[q.alias(f"q{c}") for c, q in enumerate(new)], *[f"{k}{c}" for k in "vs" for c in range(n)])
+        if turn + 1 == rounds or max(moves.get[f"d{c}"] for c in range(n)) < tolerance:
             break
+        discard(state, *kept)
+        state, kept = after, [worth, sums]
     arrays = [F.array(*[f"{k}{c}" for c in range(n)]).alias(k) for k in "vs"]
     odds = F.array(*[F.col(f"s{c}") + logit[c] for c in range(n)]).alias("odds")
     return done.select(*edges.columns, F.array(*[f"q{c}" for c in range(n)]).alias("p"), *arrays, odds)
