@@ -19,20 +19,20 @@ sentences, then the lower id; a row that has no key in common with a paper has n
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.llm import labelmodel
-from corpusforge.llm.names import first_letters, read_name
+from corpusforge.llm.names import BASE_LETTERS, first_letters, read_name
 from corpusforge.session import materialize
 
-OPENING, WHOLE = 64, 200
+OPENING = 64  # letters of a sentence's start that make a key of their own, for abstracts that end within their first sentence
 #: Texts that stand for a missing abstract, in letters and digits only.
 PLACEHOLDERS = ("na", "none", "null", "nan", "tbd", "tba", "abstractnotavailable", "noabstract", "noabstractavailable", "notavailable", "unknown", "")
 #: Words that make a title that of another work when they stand beside an earlier title.
@@ -53,13 +53,6 @@ SHAPE = (
 )
 
 
-def _accents() -> dict[int, str]:
-    """Accented Latin letters and their base letters, from the Unicode data."""
-    pairs = [(c, unicodedata.normalize("NFD", chr(c))[0]) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))]
-    return {c: b for c, b in pairs if chr(c) != b} | {ord(a): b for a, b in zip("łŁđĐøØı", "lLdDoOi")}
-
-
-_BASE = _accents()
 _NOISE, _CUT = re.compile(NOISE), re.compile(r"(?:\.\.\.|…)\s*$")
 _MARK = re.compile(r"(?:\s*(?:\[\.\.\.\]|\.\.\.|…))+\s*$")
 _BREAK = re.compile(r"(?<=[.!?])\s+(?=[A-Z0-9\"“(])")
@@ -70,7 +63,7 @@ _FOLLOW = frozenset(FOLLOW_UP)
 
 
 def _plain(text: str) -> str:
-    return (text if text.isascii() else text.translate(_BASE)).lower()
+    return (text if text.isascii() else text.translate(BASE_LETTERS)).lower()
 
 
 # One pass over bytes: capitals to small, all but letters and digits of ASCII left out.
@@ -83,13 +76,13 @@ def _bare(text: str) -> str:
 
 
 def sentences(abstract: str) -> tuple[list[str], list[str]]:
-    """(letters of the whole sentences, up to WHOLE of them; first OPENING letters of all that have so many)."""
+    """(letters of the whole sentences; first OPENING letters of all that have so many)."""
     text = abstract.strip()
     if text[-1:] in ("…", "]", "."):
         text = text[:-24] + _MARK.sub("", text[-24:]) if len(text) > 24 else _MARK.sub("", text)
     whole, starts, parts = [], [], _BREAK.split(text)
     for n, part in enumerate(parts):
-        letters = _bare(part[: 2 * WHOLE])[:WHOLE]
+        letters = _bare(part)
         if len(letters) >= 30 and (n + 1 < len(parts) or part[-1:] in (".", "!", "?")):
             whole.append(letters)
         if len(letters) >= OPENING:
@@ -111,13 +104,26 @@ def _author_keys(entry: str) -> tuple[str, ...]:
     return tuple(sorted(out))
 
 
-def _hashed(lists: list[list[str]]) -> list[np.ndarray]:
-    """64-bit hashes of the distinct strings of every list, all hashed at once."""
-    lists = [list(dict.fromkeys(x)) for x in lists]
-    flat = np.array([s for x in lists for s in x], object)
-    codes, names = pd.factorize(flat) if len(flat) else (np.zeros(0, int), np.zeros(0, object))
-    values = pd.util.hash_array(np.asarray(names, object)).view(np.int64)[codes] if len(flat) else np.zeros(0, np.int64)
-    return np.split(values, np.cumsum([len(x) for x in lists])[:-1]) if lists else []
+def _hashes(lists: list[list[str]]) -> pa.Array:
+    """Lists of the 64-bit hashes of the distinct strings of every list, all hashed at once."""
+    lists = [x if len(x) < 2 else list(dict.fromkeys(x)) for x in lists]
+    flat = [s for x in lists for s in x]
+    values = pd.util.hash_array(np.array(flat, object), categorize=False).view(np.int64) if flat else np.zeros(0, np.int64)
+    offsets = np.zeros(len(lists) + 1, np.int32)
+    np.cumsum([len(x) for x in lists], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+@lru_cache(maxsize=100_000)
+def _title_parts(name: str) -> tuple:
+    """(cut, letters, words, marks, system) of a title."""
+    name = _NOISE.sub(" ", name)
+    bare = _CUT.sub("", name)
+    plain = _plain(bare)
+    words = _WORD.findall(plain)
+    system = _SYSTEM.match(plain)
+    system = _NOT_LETTER.sub("", system[1]) + "+" * system[1].count("+") if system and len(system[1].split()) <= 2 else None
+    return bare != name, _NOT_LETTER.sub("", plain), words, sorted({w for w in words if w in _FOLLOW or _GROWN.search(w)}), system
 
 
 def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFrame:
@@ -128,18 +134,13 @@ def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFram
     author only. twin: the title with the first author.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: dict[str, list] = {c: [] for c in ("cut", "letters", "words", "marks", "system", "n_who", "who", "n_said", "said", "titled", "lead", "twin")}
-            for name, authors, abstract in zip(b["title"], b["authors"], b["abstract"]):
-                name = _NOISE.sub(" ", name) if isinstance(name, str) else ""
-                bare = _CUT.sub("", name)
-                plain = _plain(bare)
-                letters, words = _NOT_LETTER.sub("", plain), _WORD.findall(plain)
-                system = _SYSTEM.match(plain)
-                system = _NOT_LETTER.sub("", system.group(1)) + "+" * system.group(1).count("+") if system and len(system.group(1).split()) <= 2 else None
-                who = [k for k in (_author_keys(a) for a in authors if isinstance(a, str)) if k] if authors is not None else []
-                whole, starts = sentences(abstract) if isinstance(abstract, str) and (len(abstract) > 60 or _bare(abstract) not in PLACEHOLDERS) else ([], [])
+            for name, authors, abstract in zip(b["title"].to_pylist(), b["authors"].to_pylist(), b["abstract"].to_pylist()):
+                cut, letters, words, marks, system = _title_parts(name or "")
+                who = [k for k in (_author_keys(a) for a in authors if a) if k] if authors else []
+                whole, starts = sentences(abstract) if abstract and (len(abstract) > 60 or _bare(abstract) not in PLACEHOLDERS) else ([], [])
                 # A found abstract without a whole sentence is met by how its sentences start; papers offer both.
                 said = [*whole, *["<" + x for x in starts]] if all_titles else whole or ["<" + x for x in starts]
                 keys = [k for ks in who for k in ks]
@@ -147,10 +148,10 @@ def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFram
                 first = who[0] if who and len(letters) >= 8 else ()
                 lead = [x for k in first for x in (f"s{start}|{k}", f"e{end}|{k}")]
                 full = [x for k in keys for x in (f"s{start}|{k}", f"e{end}|{k}")] if len(letters) >= 8 and (all_titles or not said) else []
-                out["cut"].append(bare != name)
+                out["cut"].append(cut)
                 out["letters"].append(letters)
                 out["words"].append(words)
-                out["marks"].append(sorted({w for w in words if w in _FOLLOW or _GROWN.search(w)}))
+                out["marks"].append(marks)
                 out["system"].append(system)
                 out["n_who"].append(len(who))
                 out["who"].append(keys)
@@ -159,13 +160,13 @@ def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFram
                 out["titled"].append(full)
                 out["lead"].append([*lead, *(["t" + letters] if len(letters) >= 8 else [])])
                 out["twin"].append([f"w{letters}|{k}" for k in first] if len(letters) >= 12 else [])
-            for c in ("words", "who", "said", "titled", "lead", "twin"):
-                out[c] = _hashed(out[c])
-            yield pd.DataFrame({"id": b["id"], "year": b["year"], **out})[[c.split()[0] for c in SHAPE.split(", ")]]
+            kinds = {"cut": pa.bool_(), "letters": pa.string(), "marks": pa.list_(pa.string()), "system": pa.string(), "n_who": pa.int32(), "n_said": pa.int32()}
+            columns = {"id": b["id"], "year": b["year"]} | {c: pa.array(v, kinds[c]) if c in kinds else _hashes(v) for c, v in out.items()}
+            yield pa.RecordBatch.from_pydict({c: columns[c] for c in (x.split()[0] for x in SHAPE.split(", "))})
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col("year").cast("int").alias("year"), F.col(title).alias("title"), "authors", "abstract")
-    return materialize(rows.mapInPandas(run, SHAPE.format(kind=kind)), "described")
+    return materialize(rows.mapInArrow(run, SHAPE.format(kind=kind)), "described")
 
 
 def _lent(found: DataFrame) -> DataFrame:

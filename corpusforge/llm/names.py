@@ -126,8 +126,58 @@ def _surname(words: list[str]) -> str:
     return "".join([p for p in pieces if p not in PARTICLES] or pieces)
 
 
+# Most entries are plain: capitalised words and initials parted by single blanks, or these behind a surname and a comma.
+_PLAIN_PART = r"(?:[A-Z][a-z]{2,}|[A-Z]\.|[A-Z]{1,2})"
+_PLAIN_NAME = re.compile(rf"(?:([A-Z][a-z]{{2,}}), )?({_PLAIN_PART}(?: {_PLAIN_PART})*)").fullmatch
+_NOT_PLAIN = PARTICLES | TITLES | NO_NAMES | GROUP_WORDS | GROUP_TOPICS
+
+
+def _base_letters() -> dict[int, str]:
+    """Accented Latin letters and their base letters, from the Unicode data."""
+    pairs = [(c, unicodedata.normalize("NFD", chr(c))[0]) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))]
+    return {c: b for c, b in pairs if chr(c) != b} | {ord(a): b for a, b in zip("łŁđĐøØı", "lLdDoOi")}
+
+
+BASE_LETTERS = _base_letters()
+
+
+def _read_plain(entry: str) -> tuple | None:
+    """What read_name gives for a plain entry, in fewer steps; None where the entry is not plain."""
+    text = entry.strip(" *.;")
+    match = _PLAIN_NAME(text if text.isascii() else text.translate(BASE_LETTERS))
+    if match is None:
+        return None
+    surname, parts = match[1], match[2].split(" ")
+    words = [i for i, p in enumerate(parts) if p[-1].islower()]
+    short = [p[-1] == "." or p.isupper() for p in parts]
+    parts = [p.lower() for p in parts]
+    letters = "".join(parts).replace(".", "")
+    if letters in NO_NAMES or not _NOT_PLAIN.isdisjoint([parts[i] for i in words]):
+        return None
+
+    def given(start: int, stop: int) -> tuple[str, str]:
+        own = range(start, stop)
+        return "".join([parts[i] for i in own if not short[i]]), "".join([parts[i].strip(".") if short[i] else parts[i][0] for i in own])
+
+    if surname is not None:
+        surname = surname.lower()
+        return None if surname in _NOT_PLAIN or surname + letters in NO_NAMES else ("person", True, "", "", "", surname, *given(0, len(parts)))
+    if len(parts) < 2 or not words:
+        return None
+    first, last = words[0], words[-1]
+    if len(words) == 1:
+        return "person", True, "", "", "", parts[first], *(given(0, first) if first else given(1, len(parts)))
+    if last - first + 1 > len(words):  # initials in between
+        return "person", True, "", "", "", parts[last], *given(0, last)
+    return "person", False, parts[first], *given(first + 1, len(parts)), parts[last], *given(0, last)
+
+
 def read_name(entry: str) -> tuple | None:
     """READING without the name itself, or None for entries that are no names."""
+    return _read_plain(entry) or _read_any(entry)
+
+
+def _read_any(entry: str) -> tuple | None:
     text = entry
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text).translate(_HYPHENS)
