@@ -119,6 +119,16 @@ def json_in_prose(c: Column) -> Column:
     return F.coalesce(pick(r"\[[\s\S]*\]"), pick(r"\{[\s\S]*\}"))
 
 
+def object_in_prose(c: Column) -> Column:
+    """The text from the first opening to the last closing brace, if it parses."""
+    return F.try_parse_json(F.nullif(F.regexp_extract(c, r"\{[\s\S]*\}", 0), F.lit("")))
+
+
+def list_in_prose(c: Column) -> Column:
+    """The text from the first opening to the last closing bracket as an array of variants, if it parses."""
+    return F.try_variant_get(F.try_parse_json(F.nullif(F.regexp_extract(c, r"\[[\s\S]*\]", 0), F.lit(""))), "$", "array<variant>")
+
+
 def score_1_to_5(c: Column) -> Column:
     """Whole number of 1 to 5; a fraction is cut, text must be a whole number; else null."""
     whole = F.when(c.try_cast("string").rlike(r"^\s*[-+]?\d+(\.\d+)?\s*$"), F.regexp_extract(c.try_cast("string"), r"^\s*([-+]?\d+)", 1).try_cast("int"))

@@ -60,22 +60,20 @@ def wasserstein(df: DataFrame, value: str, side: str, a: str, b: str, by: list[s
 
 
 def estimated_histogram(mean: float, total: int, low: int = 1, high: int = 5) -> dict[int, int]:
-    """A histogram of `total` whole scores whose mean is nearest to `mean`: scores around it, one unit moved at a time."""
+    """A histogram of `total` whole scores with about the given mean: all at the nearest score, then units moved by one.
+
+    Sweeps start at the end that the units move away from; in a sweep every score in turn passes on
+    one unit, until the mean is met to within one unit.
+    """
+    counts = dict.fromkeys(range(low, high + 1), 0)
     if total <= 0:
-        return dict.fromkeys(range(low, high + 1), 0)
-    mean = min(max(mean, low), high)
-    weight = {s: max(0.0, 1.0 - abs(s - mean) / 2.0) for s in range(low, high + 1)}
-    scale = sum(weight.values())
-    counts = {s: round(total * w / scale) for s, w in weight.items()}
-    target = round(mean * total)
-    nearest = min(counts, key=lambda s: (abs(s - mean), s))
-    counts[nearest] += total - sum(counts.values())
-    while (gap := target - sum(s * n for s, n in counts.items())) != 0:
-        step = 1 if gap > 0 else -1
-        movable = [s for s, n in counts.items() if n > 0 and low <= s + step <= high]
-        if not movable:
-            break
-        source = min(movable, key=lambda s: (-counts[s], s))
-        counts[source] -= 1
-        counts[source + step] += 1
+        return counts
+    counts[min(high, max(low, round(mean)))] = total
+    lacking = mean * total - sum(score * n for score, n in counts.items())
+    step, sweep = (1, range(low, high)) if lacking > 0 else (-1, range(high, low, -1))
+    while abs(lacking) >= 1 and any(counts[score] for score in sweep):
+        for score in sweep:
+            if counts[score] and abs(lacking) >= 1:
+                counts[score], counts[score + step] = counts[score] - 1, counts[score + step] + 1
+                lacking -= step
     return counts

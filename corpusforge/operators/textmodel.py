@@ -1,4 +1,4 @@
-"""Calls to a text model as a dependent map over prompts, with a mock that answers by rule.
+"""Calls to a text model as a dependent map over prompts, and what is read from the answers.
 
 A call is expensive and not repeatable: distinct prompts are called once, answers are written
 under the prompt's hash before anything else reads them, and a later run asks only for prompts
@@ -7,39 +7,57 @@ that have no answer yet. Put filters before the call; the optimizer does not mov
 
 from __future__ import annotations
 
-import hashlib
-import re
 import threading
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import json_in_prose, strip
+from corpusforge.operators.mocks import label_model as mock_model  # noqa: F401
+from corpusforge.operators.mocks import list_model as mock_list_model  # noqa: F401
 from corpusforge.session import materialize
 
 Model = Callable[[str], str]
-_LISTED = re.compile(r"\d+\. ")
 
 
 class KeyRing:
-    """Access keys taken in turn; a least interval between two calls of one key; after a failure another key, after linear waiting."""
+    """Access keys taken in turn; at most `at_once` calls and a least interval between two calls of one key; after a failure another key, after linear waiting.
 
-    def __init__(self, keys: list[str], interval: float = 0.0, retries: int = 3, backoff: float = 0.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
-        self.keys, self.interval, self.retries, self.backoff, self.clock, self.sleep = keys or [""], interval, retries, backoff, clock, sleep
+    A ring can be sent to workers: locks are made where it is used. Give each worker its own keys
+    (`answered(..., rings=...)`), else the bounds hold per worker only.
+    """
+
+    def __init__(self, keys: list[str], interval: float = 0.0, retries: int = 3, backoff: float = 0.0, at_once: int = 1, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.keys, self.interval, self.retries, self.backoff, self.at_once, self.clock, self.sleep = keys or [""], interval, retries, backoff, at_once, clock, sleep
+        self._start()
+
+    def _start(self) -> None:
         self.next, self.last, self.lock = 0, dict.fromkeys(self.keys, float("-inf")), threading.Lock()
+        self.free = {k: threading.Semaphore(self.at_once) for k in self.keys}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("next", "last", "lock", "free")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._start()
 
     def _take(self, avoid: str | None) -> str:
         with self.lock:
-            order = [self.keys[(self.next + i) % len(self.keys)] for i in range(len(self.keys))]
-            key = next((k for k in order if k != avoid), order[0])
+            turn = [self.keys[(self.next + i) % len(self.keys)] for i in range(len(self.keys))]
+            key = next((k for k in turn if k != avoid), turn[0])
             self.next = (self.keys.index(key) + 1) % len(self.keys)
-            wait = self.interval - (self.clock() - self.last[key])
+        self.free[key].acquire()
+        with self.lock:
+            begin = max(self.clock(), self.last[key] + self.interval)
+            self.last[key] = begin
+            wait = begin - self.clock()
         if wait > 0:
             self.sleep(wait)
-        self.last[key] = self.clock()
         return key
 
     def call(self, ask: Callable[[str], str]) -> str:
@@ -50,22 +68,21 @@ class KeyRing:
                 return ask(key)
             except Exception as error:  # noqa: BLE001
                 failed = error
-                if self.backoff and turn < self.retries:
-                    self.sleep(self.backoff * turn)
+            finally:
+                self.free[key].release()
+            if self.backoff and turn < self.retries:
+                self.sleep(self.backoff * turn)
         raise failed  # type: ignore[misc]
 
 
-def mock_model(prompt: str) -> str:
-    """An answer that depends on the prompt alone: JSON with a few scores, in prose."""
-    h = hashlib.sha1(prompt.encode()).digest()
-    return f'Here you are: {{"label": "{("positive", "hard_negative", "ignored")[h[0] % 3]}", "score": {h[1] % 5 + 1}, "reason": "r{h[2]}"}} Done.'
+class Keyed:
+    """A model that takes (prompt, key), called through a ring of keys."""
 
+    def __init__(self, model: Callable[[str, str], str], ring: KeyRing):
+        self.model, self.ring = model, ring
 
-def mock_list_model(prompt: str) -> str:
-    """An answer to a prompt of numbered lines: a result for every line, in the order listed."""
-    lines = [x for x in prompt.split("\n") if _LISTED.match(x)]
-    scores = [hashlib.sha1(x.encode()).digest()[1] % 5 + 1 for x in lines]
-    return f'Here you are: {{"results": [{", ".join(f"""{{"score": {s}}}""" for s in scores)}]}} Done.'
+    def __call__(self, prompt: str) -> str:
+        return self.ring.call(lambda key: self.model(prompt, key))
 
 
 def rendered(template: str, fields: dict[str, Column]) -> Column:
@@ -76,18 +93,23 @@ def rendered(template: str, fields: dict[str, Column]) -> Column:
     return out
 
 
-def answered(df: DataFrame, prompt: str, model: Model, known: DataFrame | None = None, slots: int | None = None) -> DataFrame:
-    """df with `answer`. known: (prompt_hash, answer) of earlier runs. slots: partitions, one for each key that may be used at a time."""
+def answered(df: DataFrame, prompt: str, model: Model, known: DataFrame | None = None, rings: list[KeyRing] | None = None) -> DataFrame:
+    """df with `answer`. known: (prompt_hash, answer) of earlier runs.
+
+    rings: the prompts are dealt to one partition for each ring; the model is then called as model(prompt, key)
+    with the keys of that partition's ring alone, so a key is never used in two places.
+    """
     hashed = df.withColumn("prompt_hash", F.sha2(F.col(prompt), 256))
     wanted = hashed.where(F.col(prompt).isNotNull()).groupBy("prompt_hash").agg(F.min(prompt).alias("prompt"))
     if known is not None:
         wanted = wanted.join(known.select("prompt_hash"), "prompt_hash", "left_anti")
-    if slots:
-        wanted = wanted.repartition(slots, "prompt_hash")
+    if rings:
+        wanted = wanted.repartition(len(rings), "prompt_hash")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = Keyed(model, rings[TaskContext.get().partitionId() % len(rings)]) if rings else model
         for b in batches:
-            yield pd.DataFrame({"prompt_hash": b["prompt_hash"], "answer": [model(p) for p in b["prompt"]]})
+            yield pd.DataFrame({"prompt_hash": b["prompt_hash"], "answer": [call(p) for p in b["prompt"]]})
 
     fresh = materialize(wanted.mapInPandas(ask, "prompt_hash string, answer string"), "answers")
     answers = fresh if known is None else fresh.unionByName(known.select("prompt_hash", "answer"))
@@ -106,9 +128,14 @@ def listed_in_answer(df: DataFrame, answer: str, path: str, pos: str, value: str
     return df.select("*", F.posexplode(listed).alias(pos, value))
 
 
-def relied_on(verdict: Column) -> Column:
-    """'Keep' for PASS in any case with outer blanks, else 'Hard Reject'."""
-    return F.when(F.upper(strip(verdict)) == "PASS", "Keep").otherwise("Hard Reject")
+def verdict(answer: Column) -> Column:
+    """'PASS' in any case with outer blanks, else 'FAIL', null included."""
+    return F.when(F.upper(strip(answer)) == "PASS", "PASS").otherwise("FAIL")
+
+
+def relied_on(answer: Column) -> Column:
+    """'Keep' for a verdict of PASS, else 'Hard Reject'."""
+    return F.when(verdict(answer) == "PASS", "Keep").otherwise("Hard Reject")
 
 
 def zipped(left: DataFrame, right: DataFrame, by: list[str], pos: str, defaults: dict[str, object]) -> DataFrame:

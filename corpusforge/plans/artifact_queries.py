@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusforge.operators import artifact, textmodel
+from corpusforge.functions import text as tx
+from corpusforge.operators import artifact, judging, mocks, textmodel
 from corpusforge.plans.base import Catalog
 from corpusforge.sources.forum import ForumSource
 from corpusforge.sources.tables import table
@@ -42,29 +43,27 @@ def event_windows(spark, folder):
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query()
+@query("""select cand_id, ['positive', 'hard_negative', 'ignored'][('0x' || substr(h, 1, 2))::int % 3 + 1] as label, (('0x' || substr(h, 3, 2))::int % 5 + 1)::int as score
+from (select cand_id, sha1('Query: ' || coalesce(query_text, '') || chr(10) || 'Paper: ' || coalesce(paper_title, '') || chr(10) || 'Answer as JSON.') as h from (select distinct cand_id, query_text, paper_title from candidates))""")
 def review_mock(spark, folder):
     """Candidates labelled by the mock model: one call per distinct prompt, answers read from JSON in prose."""
     c = table(spark, folder, "candidates").select("cand_id", "query_text", "paper_title").distinct()
     prompt = textmodel.rendered("Query: {{query}}\nPaper: {{paper}}\nAnswer as JSON.", {"query": F.col("query_text"), "paper": F.col("paper_title")})
-    out = textmodel.answered(c.withColumn("prompt", prompt), "prompt", textmodel.mock_model)
+    out = textmodel.answered(c.withColumn("prompt", prompt), "prompt", mocks.label_model)
     return out.select("cand_id", textmodel.in_answer(F.col("answer"), "$.label").alias("label"), textmodel.in_answer(F.col("answer"), "$.score", "int").alias("score"))
 
 
-@query()
+@query(r"""select paper_id, qpos, (('0x' || substr(sha1(place || '. ' || regexp_replace(coalesce(query_text, ''), '[\r\n]+', ' ', 'g')), 3, 2))::int % 5 + 1)::int as score
+from (select paper_id, qpos, query_text, row_number() over (partition by paper_id, qpos // 50 order by qpos) - 1 as place from queries)""")
 def style_judge_mock(spark, folder):
-    """Queries judged in one prompt per paper, answers joined back by place."""
-    q = table(spark, folder, "queries").select("paper_id", "qpos", "query_text")
-    listed = q.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("qpos", "query_text"))).alias("qs"))
-    line = lambda x, place: F.concat(place.cast("string"), F.lit(". "), F.regexp_replace(F.coalesce(x["query_text"], F.lit("")), r"[\r\n]+", " "))
-    prompt = F.array_join(F.transform("qs", line), "\n")
-    out = textmodel.answered(listed.withColumn("prompt", prompt), "prompt", textmodel.mock_list_model)
-    scores = textmodel.listed_in_answer(out, "answer", "$.results", "place", "result").select("paper_id", "place", F.try_variant_get("result", "$.score", "int").alias("score"))
-    places = listed.select("paper_id", F.posexplode("qs").alias("place", "q")).select("paper_id", "q.qpos", "place")
-    return textmodel.zipped(places, scores, ["paper_id"], "place", {"score": 0}).select("paper_id", "qpos", "score")
-
-
-@query()
+    """Queries judged in prompts of up to fifty of a paper, answers joined back by place."""
+    asked = judging.paged_prompts(table(spark, folder, "queries"), first=0)
+    out = textmodel.answered(asked, "prompt", mocks.list_model)
+    items = judging.zipped_items(out, F.try_variant_get(tx.object_in_prose(F.col("answer")), "$.results", "array<variant>"))
+    return items.select("paper_id", "qpos", F.coalesce(F.try_variant_get("item", "$.score", "int"), F.lit(0)).alias("score"))
+
+
+@query("select 'paper_' || y || '_' || i as paper_id, 'Stub paper ' || i || ' of ' || y as title, '' as abstract, 'Stub' as venue, y::int as year, []::varchar[] as authors, ((2024 - y) * 10 + i)::bigint as pos from range(2023, 2025) a(y), range(10) b(i) where (2024 - y) * 10 + i < 12")
 def forum_stub(spark, folder):
     """Stub papers of the offline forum client."""
     spark.dataSource.register(ForumSource)

@@ -68,16 +68,16 @@ def keep_semi_join(spark, folder):
     return table(spark, folder, "queries").join(c, ["paper_id", "query_text", "source_view"], "left_semi").select("paper_id", "qpos")
 
 
-@query("select paper_id, qpos from queries q where not exists (select 1 from candidates c where c.paper_id = q.paper_id and c.query_text = q.query_text and c.source_view = q.source_view)")
+@query("select paper_id, qpos from queries q where not exists (select 1 from candidates c where c.label = 'positive' and c.paper_id = q.paper_id and c.query_text = q.query_text and c.source_view = q.source_view)")
 def resume_anti_join(spark, folder):
-    """Queries that were not mined yet."""
-    return dedupe.missing_from(table(spark, folder, "queries"), table(spark, folder, "candidates"), ["paper_id", "query_text", "source_view"]).select("paper_id", "qpos")
+    """Queries that have no positive yet."""
+    return dedupe.missing_from(table(spark, folder, "queries"), table(spark, folder, "candidates").where("label = 'positive'"), ["paper_id", "query_text", "source_view"]).select("paper_id", "qpos")
 
 
-@query("""select paper_id from (select distinct paper_id, query_text from queries where query_text is not null) q left join (select distinct paper_id, query_text, 1 as have from candidates) c using (paper_id, query_text) group by paper_id having count(*) = count(have)""")
+@query("""select paper_id from (select distinct paper_id, query_text from queries where query_text is not null) q left join (select distinct paper_id, query_text, 1 as have from candidates where label = 'positive') c using (paper_id, query_text) group by paper_id having count(*) = count(have)""")
 def completeness_division(spark, folder):
-    """Papers all of whose queries were mined."""
-    return dedupe.complete_groups(table(spark, folder, "queries").where("query_text is not null"), table(spark, folder, "candidates"), "paper_id", ["query_text"])
+    """Papers all of whose queries have a positive."""
+    return dedupe.complete_groups(table(spark, folder, "queries").where("query_text is not null"), table(spark, folder, "candidates").where("label = 'positive'"), "paper_id", ["query_text"])
 
 
 @query("""with k as (select paper_id, unnest(keywords) as keyword, unnest(range(len(keywords))) as qpos from (select paper_id, arg_max(keywords, pos) as keywords from papers group by 1))

@@ -59,17 +59,17 @@ def char_length_stats(spark, folder):
     return stats.length_stats(table(spark, folder, "documents"), F.length("text"), ["note_kind"])
 
 
-_QTOK = _TOKENS.replace("(text,", "(query_text,")
+QUERY_TOKENS_SQL = _TOKENS.replace("(text,", "(query_text,")
 
 
-@query(f"""with c as (select source_view, greatest(ceil({_QTOK} / 5.0) - 1, 0)::bigint as bin, count(*) as n from queries where query_text is not null group by 1, 2)
+@query(f"""with c as (select source_view, greatest(ceil({QUERY_TOKENS_SQL} / 5.0) - 1, 0)::bigint as bin, count(*) as n from queries where query_text is not null group by 1, 2)
 select source_view, bin, n, n / sum(n) over (partition by source_view) as share from c where source_view is not null""")
 def word_count_bins5(spark, folder):
     """Word counts of the queries in bins of five, by view."""
     return stats.bins(table(spark, folder, "queries").where("source_view is not null"), tx.token_count(F.col("query_text")), 5, ["source_view"])
 
 
-@query(f"""with r as (select source_view as g, {_QTOK} as v from queries where source_view is not null and query_text is not null), span as (select min(v) as lo, max(v) as hi from r),
+@query(f"""with r as (select source_view as g, {QUERY_TOKENS_SQL} as v from queries where source_view is not null and query_text is not null), span as (select min(v) as lo, max(v) as hi from r),
 spine as (select g, unnest(range(lo, hi + 1)) as v from (select distinct g from r), span)
 select s.g as source_view, s.v::int as value, count(r.v) as n from spine s left join r on r.g = s.g and r.v = s.v group by 1, 2""")
 def length_hist_unit(spark, folder):
@@ -80,7 +80,7 @@ def length_hist_unit(spark, folder):
 _CASE = "case " + " ".join(f"when regexp_matches(lower(trim(query_text)), '{p.replace(chr(39), chr(39) * 2)}') then {i}" for i, (p, _) in enumerate(tpl.TEMPLATES)) + " end"
 _NAMES = "[" + ", ".join("'" + n.replace("'", "''") + "'" for _, n in tpl.TEMPLATES) + "]"
 _RANKED = f"(select paper_id, qpos, query_text, {_CASE} as r from queries)"
-_NAMED = f"(select paper_id, qpos, query_text, r, coalesce({_NAMES}[r + 1], 'other') as template from {_RANKED})"
+NAMED_SQL = f"(select paper_id, qpos, query_text, r, coalesce({_NAMES}[r + 1], 'other') as template from {_RANKED})"
 
 
 def _templates(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,13 +88,13 @@ def _templates(spark: SparkSession, folder: str) -> DataFrame:
     return q.withColumn("template", tpl.template_name(F.col("r")))
 
 
-@query(f"select paper_id, qpos, length(query_text) as char_length, {_QTOK} as token_length, template, r is not null as matched from {_NAMED}")
+@query(f"select paper_id, qpos, length(query_text) as char_length, {QUERY_TOKENS_SQL} as token_length, template, r is not null as matched from {NAMED_SQL}")
 def template_detect(spark, folder):
     """Every query with its lengths and question template."""
     return _templates(spark, folder).select("paper_id", "qpos", F.length("query_text").alias("char_length"), tx.token_count(F.col("query_text")).alias("token_length"), "template", F.col("r").isNotNull().alias("matched"))
 
 
-@query(f"select template, count(*) as n, count(*) / (select count(*) from queries) as ratio from {_NAMED} group by template")
+@query(f"select template, count(*) as n, count(*) / (select count(*) from queries) as ratio from {NAMED_SQL} group by template")
 def template_distribution(spark, folder):
     """Count and share of every template over all queries."""
     q = _templates(spark, folder)
@@ -102,14 +102,14 @@ def template_distribution(spark, folder):
     return counts.withColumn("ratio", F.col("n") / F.sum("n").over(W.partitionBy(F.lit(1))))  # a window over the few templates
 
 
-@query(f"select template, k, paper_id, qpos from (select *, row_number() over (partition by template order by paper_id, qpos) as k from {_NAMED}) where k <= 3")
+@query(f"select template, k, paper_id, qpos from (select *, row_number() over (partition by template order by paper_id, qpos) as k from {NAMED_SQL}) where k <= 3")
 def template_top3_examples(spark, folder):
     """The first three queries of every template."""
     k = F.row_number().over(W.partitionBy("template").orderBy("paper_id", "qpos"))
     return _templates(spark, folder).withColumn("k", k).where("k <= 3").select("template", "k", "paper_id", "qpos")
 
 
-@query(f"""with t as {_NAMED}, b as (select template, min((paper_id, qpos)) as first from t group by template), per as (select greatest(1, 15 // count(*)) as m from b),
+@query(f"""with t as {NAMED_SQL}, b as (select template, min((paper_id, qpos)) as first from t group by template), per as (select greatest(1, 15 // count(*)) as m from b),
 n as (select t.template, paper_id, qpos, first, row_number() over (partition by t.template order by paper_id, qpos) as k from t join b on b.template = t.template)
 select template, paper_id, qpos from n, per where k <= m order by first, k limit 15""")
 def representative_examples(spark, folder):
@@ -153,7 +153,7 @@ def weighted_mean_merge(spark, folder):
 _PAIR = ("contribution", "experiment/result")
 
 
-@query(f"""with r as (select case source_view when '{_PAIR[0]}' then 0 else 1 end as s, {_QTOK}::double as x from queries where source_view in {_PAIR} and query_text is not null),
+@query(f"""with r as (select case source_view when '{_PAIR[0]}' then 0 else 1 end as s, {QUERY_TOKENS_SQL}::double as x from queries where source_view in {_PAIR} and query_text is not null),
 c as (select x, count(*) filter (where s = 0) as na, count(*) filter (where s = 1) as nb from r group by x),
 d as (select (sum(na) over (order by x)) / (sum(na) over ()) as fa, (sum(nb) over (order by x)) / (sum(nb) over ()) as fb, lead(x) over (order by x) - x as dx from c)
 select coalesce(sum(abs(fa - fb) * dx), 0.0) as distance from d""")
@@ -163,7 +163,7 @@ def wasserstein_views(spark, folder):
     return stats.wasserstein(q, "x", "source_view", *_PAIR)
 
 
-@query(f"""with r as (select source_view as s, {_QTOK}::double as x from queries where source_view in {_PAIR} and query_text is not null),
+@query(f"""with r as (select source_view as s, {QUERY_TOKENS_SQL}::double as x from queries where source_view in {_PAIR} and query_text is not null),
 c as (select x, count(*) filter (where s = '{_PAIR[0]}') as na, count(*) filter (where s = '{_PAIR[1]}') as nb from r group by x),
 d as (select (sum(na) over (order by x)) / (sum(na) over ()) as fa, (sum(nb) over (order by x)) / (sum(nb) over ()) as fb, lead(x) over (order by x) - x as dx from c),
 w as (select sum(abs(fa - fb) * dx) as w from d), sd as (select stddev_pop(x) as s from r where s = '{_PAIR[0]}')

@@ -46,7 +46,9 @@ def test_length_stats_and_bins(spark):
 def test_estimated_histogram():
     h = stats.estimated_histogram(2.7, 10)
     assert sum(h.values()) == 10 and sum(k * v for k, v in h.items()) == 27
+    assert list(h.values()) == [1, 1, 8, 0, 0]
     assert sum(stats.estimated_histogram(3.0, 0).values()) == 0
+    assert list(stats.estimated_histogram(5.0, 3).values()) == [0, 0, 0, 0, 3] and list(stats.estimated_histogram(9.0, 2).values()) == [0, 0, 0, 0, 2]
 
 
 def test_feedback_round_trip(spark):
