@@ -99,6 +99,34 @@ def visual_form(text: str) -> str:
     return unicodedata.normalize("NFC", ODD.sub(_visible, _LINE.sub("\n", text)))
 
 
+def _in_token(char: str) -> bool:
+    return char.isalpha() or unicodedata.category(char)[0] == "M"
+
+
+def _token_start(text: str, at: int) -> int:
+    while at > 0 and _in_token(text[at - 1]):
+        at -= 1
+    return at
+
+
+def _token_end(text: str, at: int) -> int:
+    while at < len(text) and _in_token(text[at]):
+        at += 1
+    return at
+
+
+def _token_before(text: str, at: int) -> str:
+    while at > 0 and not _in_token(text[at - 1]):
+        at -= 1
+    return text[_token_start(text, at) : at]
+
+
+def _token_after(text: str, at: int) -> str:
+    while at < len(text) and not _in_token(text[at]):
+        at += 1
+    return text[at : _token_end(text, at)]
+
+
 class Confusables:
     """Which letter of a script stands for a letter of another: `into[script][letter]`.
 
@@ -125,7 +153,7 @@ class Confusables:
         for char, letter in LOOKALIKE.items():
             self.into["Latin"][char] = letter
             self.into[self.script.setdefault(char, script_of(char))].setdefault(letter, char)
-        self.foreign = regex.compile("[" + "".join(sorted(c for c in self.script if self.script[c] != "Latin")) + "]")
+        self.foreign = re.compile("[" + "".join(sorted(c for c in self.script if self.script[c] != "Latin")) + "]")
 
     def results(self, token: str) -> list[str]:
         """The token in one script, for each script that can write it, that with most of its letters first; empty for a token of one script that is not Latin's look-alike."""
@@ -159,15 +187,16 @@ class Confusables:
         Tokens of mixed script are such; one of a single other script only if it can be written in
         Latin and its nearest neighbours hold Latin letters.
         """
-        if text.isascii() or not self.foreign.search(text):
+        if text.isascii():
             return []
-        out, spans = [], [m.span() for m in _TOKEN.finditer(text)]
-        for i, (a, b) in enumerate(spans):
-            token = text[a:b]
-            if token.isascii() or not self.foreign.search(token):
+        out, done = [], 0
+        for hit in self.foreign.finditer(text):
+            if hit.start() < done:
                 continue
+            a, b = _token_start(text, hit.start()), _token_end(text, hit.end())
+            token, done = text[a:b], b
             if not _LATIN.search(token):
-                near = [text[x:y] for x, y in spans[max(0, i - 1) : i] + spans[i + 1 : i + 2]]
+                near = [x for x in (_token_before(text, a), _token_after(text, b)) if x]
                 if not near or not all(_LATIN.search(x) for x in near):
                     continue
             results = self.results(token)
@@ -220,9 +249,9 @@ def canonical_forms(df: DataFrame, key: str = "doc_id", text: str = "text", with
                 dirty.update((token, result) for _, _, token, results in found for result in results)
                 if found:  # a suspect is no evidence for itself
                     odd = {token for _, _, token, _ in found}
-                    clean.update(w for w in _TOKEN.findall(form) if w not in odd)
+                    clean.update(w for piece in set(form.split()) for w in _TOKEN.findall(piece) if w not in odd)
                 else:
-                    clean.update(form.split() if form.isascii() else _TOKEN.findall(form))
+                    clean.update(form.split())
             words = {w for piece in clean for w in (_TOKEN.findall(piece) if not piece.isalpha() else [piece])}
             rows += [(None, None, None, w, None) for w in words]
             rows += [(None, None, None, token, [result]) for token, result in dirty]
