@@ -3,14 +3,20 @@
 Every distinct entry is folded (case, accents, blanks, titles, affiliations, marks) and read as
 surname, given name and initials; entries whose order is open ("Rafael Griarskit" or the reverse)
 are decided by how their words are used in entries whose order is certain. Each distinct reading
-becomes a vector of character n-grams weighted by term and inverse document frequency: trigrams of
-its padded words, its initials, and for the surname also the gapped n-grams that leave out one
-letter. A sparse cosine join finds neighbours: posting lists are kept for the rarest dimensions
-only, the gapped surname n-grams taken with a letter of the given name, so lists stay short and any
-two surnames within one edit meet; frequent dimensions count in the cosine alone. The cosine of a
-pair is 0 where the readings exclude each other (other initials, other given names, surnames
-further apart than a slip, or a slip that the use of both surnames does not bear out). No neighbour is dropped: the top-n is all partners above the threshold.
-Links form components, and each is cut by average linkage on its links.
+becomes a vector of character n-grams weighted by term and inverse document frequency: the outer
+product of the n-grams of its surname with those of its given part, which is its first letter with
+mass 1 and, where a given name is known, the name's n-grams with mass GIVEN. The cosine of two outer
+products is the product of the cosines of their parts, so it is computed from these. It falls with
+every letter that differs: another given name of the same letter leaves at most 1 / (1 + GIVEN) and what n-grams
+they share, a given name against a mere initial 1 / sqrt(1 + GIVEN), a slip the share of n-grams it leaves.
+
+A sparse cosine join finds the pairs above the threshold: posting lists are kept for surname n-grams
+with one gap, taken with a first letter, so any two surnames within one edit meet. A list of more
+than `hot` readings is split: two given names must share one of their n-grams to pass the threshold
+(which lies above 1 / (1 + GIVEN)), readings without a given name meet all others in salted parts. No
+neighbour is dropped: the top-n is all partners above the threshold. An exact check follows: initials after the
+first must not exclude each other, and surnames a slip apart need the evidence of their use.
+Links form components, and each is cut by average linkage on the square roots of the cosines.
 
 Defined cases: null, empty and blank entries, marks of omission ("et al.", "others") and entries
 without letters are no names and never in a result; a repeated entry counts once; entries of one
@@ -20,18 +26,26 @@ word are compared in their folded form only.
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.operators.graph import connected_components
-from corpusforge.session import materialize
+from corpusforge.session import discard, materialize
+
+GIVEN = 10.0  # mass of a given name against that of its first letter
+THRESHOLD = 0.15  # of the cosine join; above 1 / (1 + GIVEN), what another given name of the same letter leaves
+CUT = 0.3  # of average linkage over square roots of cosines; above half of what a given name and its initial have
+RARE_SURNAME, RARE_GIVEN = 0.02, 0.003  # shares of all readings added to that of an n-gram before it is weighted
+SALTS = 8  # parts of a posting list that many readings share
 
 # Fixed values. Letters without a decomposition.
 PLAIN = str.maketrans({"ł": "l", "đ": "d", "ð": "d", "ø": "o", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i", "þ": "th", "ħ": "h"})
@@ -64,6 +78,8 @@ PET_FORMS = _pet_forms(
         "nate:nathaniel nat:nathaniel pat:patricia trish:patricia tricia:patricia patty:patricia rafa:rafael becky:rebecca bec:rebecca "
         "dick:richard rick:richard rich:richard ricky:richard bob:robert rob:robert bobby:robert robbie:robert sam:samantha steph:stephanie steffi:stephanie "
         "theo:theodore teddy:theodore tom:thomas tommy:thomas vicky:victoria tori:victoria vova:vladimir volodya:vladimir bill:william will:william "
+        "dave:david steve:steven steve:stephen tim:timothy jeff:jeffrey geoff:geoffrey greg:gregory ken:kenneth pete:peter phil:philip ron:ronald don:donald doug:douglas "
+        "sue:susan deb:deborah debbie:deborah barb:barbara cathy:catherine kathy:katherine kate:katherine kate:catherine mandy:amanda val:valerie terry:terence marge:margaret "
         "billy:william liam:william zach:zachary zack:zachary zuzka:zuzana jim:james jimmy:james jack:john johnny:john tony:anthony nick:nicholas"
     )
 )
@@ -306,32 +322,58 @@ def same_surname(kind: str, s1: str, s2: str) -> bool:
 
 
 def agrees(kind: str, s1: str, g1: str, i1: str, s2: str, g2: str, i2: str) -> bool:
-    """False where two readings exclude each other. Slipped surnames of persons need the evidence of slipped_surnames as well."""
+    """The exact check of a pair that the cosine found: False where surnames are no slip of each other or initials exclude each other. Slips need the evidence of slipped_surnames as well."""
     same = same_surname(kind, s1, s2)
+    if kind == "word":
+        return same
     if not same and (not one_edit(s1, s2) or min(len(s1), len(s2)) < 4):
         return False
     if kind == "group":
         return g1 == g2 and i1 == i2
-    if kind == "word":
-        return same
-    if g1 and g2:
-        alike = bool(full_names(g1) & full_names(g2))
-        if not alike and not any(one_edit(x, y) for x in full_names(g1) for y in full_names(g2) if min(len(x), len(y)) >= 3):
-            return False
-        if not alike and not same:
-            return False
-        return _initials_agree(i1[1:], i2[1:])
-    if not (i1 and i2) or not first_letters(g1, i1) & first_letters(g2, i2) or not _initials_agree(i1[1:], i2[1:]):
-        return False
-    return same or min(len(s1), len(s2)) >= (5 if min(len(i1), len(i2)) >= 2 else 6)
+    return bool(i1 and i2) and _initials_agree(i1[1:], i2[1:])
+
 
+def _grams(word: str, sizes: tuple[int, ...]) -> list[str]:
+    padded = f"^{word}$"
+    return [padded[i : i + n] for n in sizes for i in range(len(padded) - n + 1)]
 
-def _grams(surname: str, given: str, initials: str) -> list[str]:
+
+def given_grams(given: str) -> list[str]:
+    """Trigrams of a given name, the name, and the name with one letter left out or open."""
+    return [*_grams(given, (3,)), given, *[given[:i] + given[i + 1 :] for i in range(len(given))], *[f"{given[:i]}_{given[i + 1 :]}" for i in range(len(given))]]
+
+
+def name_grams(kind: str, surname: str, given: str, initials: str) -> list[tuple[str, float]]:
+    """(dimension, term weight) of a reading; the first character names the part: s surname, i first letter, g given name. Pet forms share the mass of the names they may stand for."""
+    out = [("s" + g, 1.0) for g in _grams(own_part(surname) if kind == "person" else surname, (2, 3))]
+    out += [("i" + c, 1.0) for c in first_letters(given, initials) if c]
+    names = full_names(given) if given else ()
+    return out + [("g" + g, 1.0 / len(names)) for n in names for g in given_grams(n)]
+
+
+def part_vectors(grams: list[str], weights: list[float]) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
+    """Surname, first letter and given name as vectors of length 1 (empty ones stay empty)."""
+    parts: dict[str, dict[str, float]] = {"s": {}, "i": {}, "g": {}}
+    for g, w in zip(grams, weights):
+        parts[g[0]][g] = w
     out = []
-    for word in (surname, given):
-        padded = f"^{word}$"
-        out += [padded[i : i + 3] for i in range(len(padded) - 2)] if word else []
-    return out + ["." + c for c in initials]
+    for v in parts.values():
+        norm = sum(w * w for w in v.values()) ** 0.5
+        out.append({g: w / norm for g, w in v.items()} if norm else {})
+    return out[0], out[1], out[2]
+
+
+def _dot(x: dict[str, float], y: dict[str, float]) -> float:
+    if len(y) < len(x):
+        x, y = y, x
+    return sum([w * y[g] for g, w in x.items() if g in y])
+
+
+def name_cosine(x: tuple, y: tuple) -> float:
+    """The cosine of two outer products, from their parts."""
+    (s1, i1, g1), (s2, i2, g2) = x, y
+    mass = ((1 + GIVEN * bool(g1)) * (1 + GIVEN * bool(g2))) ** 0.5
+    return _dot(s1, s2) * (_dot(i1, i2) + GIVEN * _dot(g1, g2)) / mass
 
 
 def _gapped(surname: str) -> set[str]:
@@ -387,9 +429,8 @@ def slipped_surnames(cores: DataFrame, near: DataFrame) -> DataFrame:
     return judged.groupBy("surname_a", "surname_b").agg(F.max("by_given").alias("by_given"), F.max("by_initials").alias("by_initials"))
 
 
-def spelling_links(cores: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """(a, b, cosine) of distinct readings (core bigint, kind, surname, given, initials)."""
-    n_cores = max(1, cores.count())
+def posting_pairs(cores: DataFrame, hot: int = 512) -> DataFrame:
+    """(a, b), a < b: distinct readings that share a posting list, and in lists of over `hot` readings a given n-gram as well where both have a given name."""
 
     def postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -397,39 +438,64 @@ def spelling_links(cores: DataFrame, threshold: float = 0.3) -> DataFrame:
             for core, kind, s, g, i in zip(b["core"], b["kind"], b["surname"], b["given"], b["initials"]):
                 letters = {*first_letters(g, i), *(g[1:2] if len(g) > 2 else "")} if kind == "person" else {g if kind == "group" else ""}
                 keys = _gapped(s) | {own_part(s)} if kind != "word" and len(s) >= 4 else {s}
-                rows += [(f"{kind[0]}{letter}|{k}", core) for k in keys for letter in letters]
-            yield pd.DataFrame(rows, columns=["dimension", "core"])
+                rows += [(f"{kind[0]}{letter}|{k}", core, bool(g) and kind == "person") for k in keys for letter in letters]
+            yield pd.DataFrame(rows, columns=["dimension", "core", "named"])
 
-    posted = materialize(cores.mapInPandas(postings, "dimension string, core bigint").select(F.xxhash64("dimension").alias("d"), "core"), "postings")
+    posted = materialize(cores.mapInPandas(postings, "dimension string, core bigint, named boolean").select(F.xxhash64("dimension").alias("d"), "core", "named"), "postings")
     # Dimensions with one core join nothing: leave them out before the join.
-    shared = posted.groupBy("d").agg(F.min("core").alias("lo"), F.max("core").alias("hi")).where("lo <> hi").select("d")
-    posted = posted.join(shared, "d", "left_semi")
-    pairs = posted.alias("x").join(posted.alias("y"), "d").where("x.core < y.core").select(F.col("x.core").alias("a"), F.col("y.core").alias("b")).distinct()
+    sizes = materialize(posted.groupBy("d").agg(F.count("*").alias("n")).where("n > 1"), "lists")
+    usual = posted.join(sizes.where(F.col("n") <= hot).select("d"), "d", "left_semi")
+    meet = lambda x, y, on: x.alias("x").join(y.alias("y"), on).where("x.core <> y.core").select(F.least("x.core", "y.core").alias("a"), F.greatest("x.core", "y.core").alias("b"))
+    pairs = usual.alias("x").join(usual.alias("y"), "d").where("x.core < y.core").select(F.col("x.core").alias("a"), F.col("y.core").alias("b"))
+    large = sizes.where(F.col("n") > hot)
+    if large.limit(1).count():
+        heavy = materialize(posted.join(large.select("d"), "d", "left_semi"), "heavy")
+
+        def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                rows = [(core, g) for core, given in zip(b["core"], b["given"]) for g in {x for n in full_names(given) for x in given_grams(n)}]
+                yield pd.DataFrame(rows, columns=["core", "gram"])
+
+        grams = cores.where("kind = 'person' and given <> ''").select("core", "given").mapInPandas(spread, "core bigint, gram string").select("core", F.xxhash64("gram").alias("gram"))
+        named = heavy.where("named").select("d", "core").join(grams, "core")
+        salt = lambda d: d.withColumn("salt", F.pmod(F.xxhash64("core"), F.lit(SALTS)).cast("int"))
+        bare = heavy.where("not named").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = pairs.unionByName(meet(named, named, ["d", "gram"])).unionByName(meet(bare, salt(heavy), ["d", "salt"]))
+    return pairs.distinct()
+
+
+def spelling_links(cores: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, cosine) of distinct readings (core bigint, kind, surname, given, initials): all pairs of at least the threshold that pass the exact check."""
+    n_cores = max(1, cores.count())
+    pairs = posting_pairs(cores)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(core, g) for core, s, gv, i in zip(b["core"], b["surname"], b["given"], b["initials"]) for g in _grams(s, gv, i)]
-            yield pd.DataFrame(rows, columns=["core", "gram"])
-
-    counted = cores.mapInPandas(spread, "core bigint, gram string").groupBy("core", "gram").agg(F.count("*").alias("tf"))
-    rarity = counted.groupBy("gram").agg(F.log(F.lit(1.0 + n_cores) / F.count("*")).alias("idf"))
-    vectors = counted.join(rarity, "gram").groupBy("core").agg(F.map_from_entries(F.collect_list(F.struct("gram", (F.col("tf") * F.col("idf")).alias("w")))).alias("v"))
+            rows = [(core, g, w) for core, k, s, gv, i in zip(b["core"], b["kind"], b["surname"], b["given"], b["initials"]) for g, w in name_grams(k, s, gv, i)]
+            yield pd.DataFrame(rows, columns=["core", "gram", "w"])
+
+    counted = cores.mapInPandas(spread, "core bigint, gram string, w double").groupBy("core", "gram").agg(F.sum("w").alias("tf"))
+    # The rarest n-grams are those of slips: their weight is smoothed, so that a slip does not outweigh the rest of a name. Shares hold for any size.
+    smooth = F.when(F.startswith("gram", F.lit("s")), RARE_SURNAME).otherwise(RARE_GIVEN)
+    rarity = counted.groupBy("gram").agg(F.log(1.0 + 1.0 / (F.count("*") / n_cores + smooth)).alias("idf"))
+    vectors = counted.join(rarity, "gram").groupBy("core").agg(F.collect_list("gram").alias("grams"), F.collect_list(F.col("tf") * F.col("idf")).alias("weights"))
     full = materialize(cores.join(vectors, "core"), "vectors")
-    side = lambda k: full.select(*[F.col(c).alias(f"{c}_{k}") for c in ("core", "kind", "surname", "given", "initials", "v")])
+    side = lambda k: full.select(*[F.col(c).alias(f"{c}_{k}") for c in ("core", "kind", "surname", "given", "initials", "grams", "weights")])
     met = pairs.join(side("a"), F.col("a") == F.col("core_a")).join(side("b"), F.col("b") == F.col("core_b"))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
-            rows = []
-            for a, b, k, s1, g1, i1, v1, s2, g2, i2, v2 in zip(*[p[c] for c in ("a", "b", "kind_a", "surname_a", "given_a", "initials_a", "v_a", "surname_b", "given_b", "initials_b", "v_b")]):
-                if not agrees(k, s1, g1, i1, s2, g2, i2):
-                    continue
-                x, y = dict(v1), dict(v2)
-                dot = sum(w * y[g] for g, w in x.items() if g in y)
-                cosine = dot / ((sum(w * w for w in x.values()) * sum(w * w for w in y.values())) ** 0.5 or 1.0)
-                if cosine >= threshold:
+            rows, known = [], {}
+            for a, b, k, s1, g1, i1, m1, w1, s2, g2, i2, m2, w2 in zip(*[p[c] for c in ("a", "b", "kind_a", "surname_a", "given_a", "initials_a", "grams_a", "weights_a", "surname_b", "given_b", "initials_b", "grams_b", "weights_b")]):
+                for core, grams, weights in ((a, m1, w1), (b, m2, w2)):
+                    if core not in known:
+                        known[core] = part_vectors(list(grams), list(weights))
+                cosine = name_cosine(known[a], known[b])
+                if cosine >= threshold and agrees(k, s1, g1, i1, s2, g2, i2):
                     slipped = k == "person" and not same_surname(k, s1, s2)
-                    rows.append((a, b, cosine, min(s1, s2) if slipped else None, max(s1, s2) if slipped else None, bool(g1 and g2)))
+                    # A slip is told by a given name on both sides; by initials only in a surname long enough.
+                    named = bool(g1 and g2) or min(len(s1), len(s2)) < (5 if min(len(i1), len(i2)) >= 2 else 6)
+                    rows.append((a, b, cosine, min(s1, s2) if slipped else None, max(s1, s2) if slipped else None, named))
             yield pd.DataFrame(rows, columns=["a", "b", "cosine", "surname_a", "surname_b", "named"])
 
     measured = materialize(met.mapInPandas(measure, "a bigint, b bigint, cosine double, surname_a string, surname_b string, named boolean"), "measured")
@@ -492,26 +558,44 @@ def merged_in_rounds(links: DataFrame, least: float) -> DataFrame:
             return sets
         moved = lambda df, c: df.join(merged.select(F.col("node").alias(c), "into"), c, "left").withColumn(c, F.coalesce("into", c)).drop("into")
         joined = moved(moved(edges, "a"), "b").where("a <> b")
+        old = [edges, sets, merged]
         edges = materialize(joined.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")), "edges")
         sets = materialize(moved(sets, "set_id"), "members")
+        discard(*old)
         size = sets.groupBy(F.col("set_id").alias("node")).agg(F.count("*").alias("size"))
 
 
-def spelling_sets(names: DataFrame, threshold: float = 0.3, cut: float = 0.3, most_links: int = 200_000) -> DataFrame:
+def spelling_sets(names: DataFrame, threshold: float = THRESHOLD, cut: float = CUT, most_links: int = 200_000) -> DataFrame:
     """(name, set_id): every name of `names` (one column) with its set; the set is named by a hash."""
     readings = materialize(resolved_readings(names), "resolved").withColumn("core", F.xxhash64("kind", "surname", "given", "initials"))
     cores = materialize(readings.select("core", "kind", "surname", "given", "initials").distinct(), "cores")
-    links = materialize(spelling_links(cores, threshold), "spellings")
+    # Square roots: what a reading leaves out (its factor is a root already) counts less than what contradicts.
+    links = materialize(spelling_links(cores, threshold).withColumn("cosine", F.sqrt("cosine")), "spellings")
     parts = connected_components(links)
     tagged = links.join(parts, F.col("a") == F.col("node")).drop("node")
     sizes = materialize(tagged.groupBy("component").agg(F.count("*").alias("n")), "components")
     fits = tagged.join(sizes.where(F.col("n") <= most_links), "component", "left_semi")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = average_linkage(list(zip(pdf["a"].tolist(), pdf["b"].tolist(), pdf["cosine"].tolist())), cut)
-        return pd.DataFrame({"core": list(got.keys()), "set_id": list(got.values())})
-
-    clusters = materialize(fits.groupBy("component").applyInPandas(run, "core bigint, set_id bigint"), "sets")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Components one after the other, as they lie sorted in a partition."""
+        rest = None
+        for b in itertools.chain(batches, (None,)):
+            if b is not None:
+                rest = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            if rest is None or not len(rest):
+                continue
+            at = rest["component"].to_numpy()
+            bounds = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+            whole = bounds if b is None else bounds[:-1]  # the last component may go on in the next batch
+            a, z, c = rest["a"].tolist(), rest["b"].tolist(), rest["cosine"].tolist()
+            got: dict[int, int] = {}
+            for lo, hi in zip(whole, whole[1:]):
+                got.update(average_linkage(list(zip(a[lo:hi], z[lo:hi], c[lo:hi])), cut))
+            rest = rest.iloc[whole[-1] :]
+            yield pd.DataFrame({"core": list(got.keys()), "set_id": list(got.values())}, dtype="int64")
+
+    parted = fits.select("component", "a", "b", "cosine").repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "component").sortWithinPartitions("component")
+    clusters = materialize(parted.mapInPandas(run, "core bigint, set_id bigint"), "sets")
     large = sizes.where(F.col("n") > most_links)
     if large.limit(1).count():
         clusters = clusters.unionByName(merged_in_rounds(tagged.join(large, "component", "left_semi").select("a", "b", "cosine"), cut))

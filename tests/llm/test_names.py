@@ -104,3 +104,40 @@ def test_empty(spark):
     assert pairs(spark, []) == [] and pairs(spark, ["…", "others"]) == []
     a = spark.createDataFrame([(["x y", None],), (None,)], "authors array<string>")
     assert [r.name for r in N.entries((a, "authors"), (a, "authors")).collect()] == ["x y"]
+
+
+def test_the_cosine_tells_given_names_apart(spark):
+    """Without the threshold (the exact check alone) other given names of one surname would be linked."""
+    people = [(1, "person", "kovarik", "jana", "j"), (2, "person", "kovarik", "jitka", "j"), (3, "person", "kovarik", "", "j"), (4, "person", "kovarik", "janna", "j"), (5, "person", "kovarik", "bob", "b"), (6, "person", "kovarik", "robert", "r")]
+    cores = spark.createDataFrame(people, "core bigint, kind string, surname string, given string, initials string")
+    found = lambda t: {(r.a, r.b): r.cosine for r in N.spelling_links(cores, t).collect()}
+    kept, all_ = found(N.THRESHOLD), found(0.0)
+    assert set(kept) == {(1, 3), (1, 4), (2, 3), (3, 4), (5, 6)} and {(1, 2), (2, 4)} <= set(all_) - set(kept)
+    assert max(all_[1, 2], all_[2, 4]) < N.THRESHOLD < min(kept.values())
+
+
+def test_cosine_of_parts_is_that_of_the_outer_product():
+    readings = [("person", "smith", "anna", "ab"), ("person", "smyth", "ann", "a"), ("person", "smith", "", "a")]
+    vectors = [N.part_vectors(*map(list, zip(*N.name_grams(*r)))) for r in readings]
+
+    def outer(v):
+        s, i, g = v
+        given = {**i, **{k: w * N.GIVEN**0.5 for k, w in g.items()}}
+        return {(x, y): a * b for x, a in s.items() for y, b in given.items()}
+
+    for x in vectors:
+        for y in vectors:
+            p, q = outer(x), outer(y)
+            plain = sum(w * q.get(k, 0) for k, w in p.items()) / (sum(w * w for w in p.values()) * sum(w * w for w in q.values())) ** 0.5
+            assert abs(N.name_cosine(x, y) - plain) < 1e-9
+
+
+def test_long_posting_lists_lose_no_link(spark):
+    given = ["anna", "anne", "annika", "antonia", "agnes", "agneta", "alma", "albert", "alberta", "arno"]
+    people = [("person", s, g, i) for s in ("berglund", "bergland") for g in given for i in ("a", "ab", "ac")] + [("person", "berglund", "", i) for i in ("a", "ab", "b")]
+    cores = spark.createDataFrame([(n, *p) for n, p in enumerate(people)], "core bigint, kind string, surname string, given string, initials string")
+    pairs = lambda hot: {(r.a, r.b) for r in N.posting_pairs(cores, hot).collect()}
+    usual, split = pairs(10_000), pairs(2)
+    vectors = {n: N.part_vectors(*map(list, zip(*N.name_grams(*p)))) for n, p in enumerate(people)}
+    lost = {(a, b) for a, b in usual - split if N.name_cosine(vectors[a], vectors[b]) >= N.THRESHOLD}
+    assert split <= usual and len(split) < len(usual) and not lost
