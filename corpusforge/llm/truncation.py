@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from corpusforge.session import materialize
 
 BUCKETS = 1 << 22
+#: Posterior of censoring at lengths where open ends do not pile up.
+NO_LIMIT = 0.4
 #: Kinds of context, from the shortest to the longest.
 LEVELS = 8
 
@@ -172,16 +174,16 @@ def _limits(pdf: pd.DataFrame) -> pd.DataFrame:
     mu, sigma = fit_censored(x, w, c)
     y = np.log(x + 1.0)
     density = np.exp(-0.5 * ((y - mu) / sigma) ** 2) / (sigma * math.sqrt(2 * math.pi) * (x + 1.0))
-    n, n_open = (w + c).sum(), c.sum()
+    n_open = c.sum()
     # A limit leaves open ends within some characters below it (a cut at a word, a mark); compare a window with the smooth share.
     grid = np.zeros(int(x.max()) + 40)
     np.add.at(grid, x, c)
     sums = np.concatenate([[0], np.cumsum(grid)])
     near = sums[np.minimum(x + 9, len(grid))] - sums[np.maximum(x - 8, 0)]
     expected = n_open * np.maximum(density * 17, 1e-9) + 1.0
-    posterior = np.clip((near - expected) / np.maximum(near, 1), 0.0, 0.98)
-    base = min(0.9, (n_open / n))
-    return pd.DataFrame({"source": pdf["source"], "length": x, "limit_posterior": np.maximum(posterior, base), "mu": mu, "sigma": sigma})
+    # Where no limit shows, lengths say next to nothing about an open end.
+    posterior = np.clip((near - expected) / np.maximum(near, 1), NO_LIMIT, 0.98)
+    return pd.DataFrame({"source": pdf["source"], "length": x, "limit_posterior": posterior, "mu": mu, "sigma": sigma})
 
 
 def truncated(df: DataFrame, key: str = "cand_id", text: str = "abstract", source: str = "source", least_words: int = 5) -> DataFrame:
@@ -189,13 +191,15 @@ def truncated(df: DataFrame, key: str = "cand_id", text: str = "abstract", sourc
     spark = df.sparkSession
     rows = materialize(_read(df, key, text, source, least_words), "endings")
     open_rows = rows.where("is_open").select("key", "source", "length", "marked", "dangling", "place", "contexts").distinct()
-    buckets = open_rows.select(F.explode("contexts").alias("c")).select(F.expr(f"shiftrightunsigned(c, 20) % {BUCKETS}").alias("b")).distinct().toPandas()["b"].to_numpy(np.int64)
-    wanted = np.zeros(BUCKETS, bool)  # at most BUCKETS entries, whatever the input
-    wanted[buckets] = True
-    table = spark.sparkContext.broadcast(np.packbits(wanted))
+    # The bits are set where the rows lie and come to the driver as words of 64: BUCKETS / 64 rows at most, whatever the input.
+    bucket = F.expr(f"shiftrightunsigned(c, 20) % {BUCKETS}")
+    words = open_rows.select(F.explode("contexts").alias("c")).select(bucket.alias("b")).groupBy(F.expr("b div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("bits")).toPandas()
+    wanted = np.zeros(BUCKETS // 64, np.int64)
+    wanted[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    table = spark.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.unpackbits(table.value).view(bool)
+        bits = np.unpackbits(table.value.view(np.uint8), bitorder="little").view(bool)
         for b in batches:
             ctx, state, *_ = _contexts(list(b["bare"]))
             keep = bits[_bucket(ctx)]
@@ -213,14 +217,14 @@ def truncated(df: DataFrame, key: str = "cand_id", text: str = "abstract", sourc
     pair = F.expr("levels[1].n_on + levels[1].n_end > 0")  # a pair of words that no other text has is likely half a word
     p = F.expr("aggregate(slice(levels, 1, 7), 0.3D, (p, x) -> (coalesce(x.n_end, 0D) + 0.5D * greatest(coalesce(x.n_last, 0D) - 1D, 0D) + 1.5D * p) / (coalesce(x.n_on, 0D) + coalesce(x.n_end, 0D) + 0.5D * greatest(coalesce(x.n_last, 0D) - 1D, 0D) + 1.5D))")
     # A closing line that stands so at the end of many texts ("17 pages, 6 figures"): its last word always follows there, or nothing ever does.
-    stock = F.expr("place >= 2 and not marked and not dangling and (levels[4].n_last >= 5 and levels[4].n_last >= 0.5D * levels[8].n_on or levels[7].n_last >= 5 and levels[7].n_on + levels[7].n_end <= 0.02D * levels[7].n_last)")
+    stock = F.expr("place >= 2 and not marked and not dangling and levels[1].n_on <= 2D * (levels[1].n_last + levels[1].n_end) and (levels[4].n_last >= 5 and levels[4].n_last >= 0.5D * levels[8].n_on or levels[7].n_last >= 5 and levels[7].n_on + levels[7].n_end <= 0.02D * levels[7].n_last)")
     judged = (
-        found.withColumn("end_probability", F.when(F.coalesce(stock, F.lit(False)), 0.9).when(~F.coalesce(known, F.lit(False)), 0.03).when(F.coalesce(pair, F.lit(False)), p).otherwise(F.least(p, F.lit(0.15))))
+        found.withColumn("end_probability", F.when(F.coalesce(stock, F.lit(False)), 0.985).when(~F.coalesce(known, F.lit(False)), 0.03).when(F.coalesce(pair, F.lit(False)), p).otherwise(F.least(p, F.lit(0.15))))
         .join(limits, F.col("source").eqNullSafe(F.col("s")) & (F.col("length") == F.col("l")), "left").drop("s", "l", "levels")
     )
     logit = lambda c: F.log(c / (1 - c))
     clip = lambda c: F.greatest(F.lit(0.005), F.least(F.lit(0.995), c))
-    odds = -logit(clip(F.col("end_probability"))) + 0.5 * logit(clip(F.col("limit_posterior"))) + F.when(F.col("marked"), 2.0).otherwise(0.0)
+    odds = -logit(clip(F.col("end_probability"))) + logit(clip(F.col("limit_posterior"))) + F.when(F.col("marked"), 2.0).otherwise(0.0)
     opened = judged.withColumn("cut", odds > 0)
     whole = rows.where(~F.col("is_open")).select("key", "source", "length", "marked", F.lit(1.0).alias("end_probability"), F.lit(None).cast("double").alias("limit_posterior"), F.lit(False).alias("cut")).distinct()
     return opened.select(whole.columns).unionByName(whole).withColumnRenamed("key", key)

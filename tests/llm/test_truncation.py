@@ -55,3 +55,24 @@ def test_censored_fit_recovers_the_parameters():
     whole, open_ = np.bincount(at, full <= limit, len(length)), np.bincount(at, full > limit, len(length))
     mu, sigma = T.fit_censored(length, whole, open_, steps=200)
     assert abs(mu - 6.0) < 0.03 and abs(sigma - 0.5) < 0.03
+
+
+def test_the_censoring_posterior_decides_where_endings_do_not(spark):
+    """Two texts end in the same words, which as often end a text as not; only the length of one is a limit of its source."""
+    rng, rows = random.Random(9), []
+    for i in range(1200):
+        rows.append((i, " ".join(sentence(rng) for _ in range(rng.randrange(3, 9))), "a"))
+    for i in range(1200, 1500):  # cut at 180 characters
+        text = " ".join(sentence(rng) for _ in range(9))[:180].rstrip()
+        rows.append((i, text, "a"))
+    even = "We report the sampler as a final note"
+    for i in range(1500, 1560):  # the words end a sentence here and go on there
+        rows.append((i, f"{even}. {sentence(rng)}" if i % 2 else f"{even} on the decoder. {sentence(rng)}", "b"))
+    pad = lambda n: ("The planner meets the kernel. " * 40)[: n - len(even) - 1].rsplit(" ", 1)[0]
+    at_limit, elsewhere = f"{pad(182)} {even}", f"{pad(330)} {even}"
+    assert abs(len(at_limit) - 180) <= 8
+    rows += [(9001, at_limit, "a"), (9002, elsewhere, "a")]
+    got = judge(spark, rows)
+    assert got[9001].end_probability == pytest.approx(got[9002].end_probability)
+    assert got[9001].limit_posterior > 0.9 > 0.5 > got[9002].limit_posterior
+    assert got[9001].cut and not got[9002].cut
