@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import math
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -45,6 +46,7 @@ GIVEN = 10.0  # mass of a given name against that of its first letter
 THRESHOLD = 0.15  # of the cosine join; above 1 / (1 + GIVEN), what another given name of the same letter leaves
 CUT = 0.3  # of average linkage over square roots of cosines; above half of what a given name and its initial have
 RARE_SURNAME, RARE_GIVEN = 0.02, 0.003  # shares of all readings added to that of an n-gram before it is weighted
+SEEN = 0.0003  # n-grams of a smaller share of the readings weigh as unseen ones
 SALTS = 8  # parts of a posting list that many readings share
 
 # Fixed values. Letters without a decomposition.
@@ -351,14 +353,16 @@ def name_grams(kind: str, surname: str, given: str, initials: str) -> list[tuple
     return out + [("g" + g, 1.0 / len(names)) for n in names for g in given_grams(n)]
 
 
-def part_vectors(grams: list[str], weights: list[float]) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
-    """Surname, first letter and given name as vectors of length 1 (empty ones stay empty)."""
+def name_vector(kind: str, surname: str, given: str, initials: str, share: dict[str, float]) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
+    """Surname, first letter and given name as vectors of length 1 (empty ones stay empty). share: n-gram -> share of the readings that have it."""
     parts: dict[str, dict[str, float]] = {"s": {}, "i": {}, "g": {}}
-    for g, w in zip(grams, weights):
-        parts[g[0]][g] = w
+    for gram, weight in name_grams(kind, surname, given, initials):
+        part = parts[gram[0]]
+        # The rarest n-grams are those of slips: their weight is smoothed, so that a slip does not outweigh the rest of a name. Shares hold for any size.
+        part[gram] = part.get(gram, 0.0) + weight * math.log(1.0 + 1.0 / (share.get(gram, 0.0) + (RARE_SURNAME if gram[0] == "s" else RARE_GIVEN)))
     out = []
     for v in parts.values():
-        norm = sum(w * w for w in v.values()) ** 0.5
+        norm = math.sqrt(sum([w * w for w in v.values()]))
         out.append({g: w / norm for g, w in v.items()} if norm else {})
     return out[0], out[1], out[2]
 
@@ -471,25 +475,23 @@ def spelling_links(cores: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(core, g, w) for core, k, s, gv, i in zip(b["core"], b["kind"], b["surname"], b["given"], b["initials"]) for g, w in name_grams(k, s, gv, i)]
-            yield pd.DataFrame(rows, columns=["core", "gram", "w"])
-
-    counted = cores.mapInPandas(spread, "core bigint, gram string, w double").groupBy("core", "gram").agg(F.sum("w").alias("tf"))
-    # The rarest n-grams are those of slips: their weight is smoothed, so that a slip does not outweigh the rest of a name. Shares hold for any size.
-    smooth = F.when(F.startswith("gram", F.lit("s")), RARE_SURNAME).otherwise(RARE_GIVEN)
-    rarity = counted.groupBy("gram").agg(F.log(1.0 + 1.0 / (F.count("*") / n_cores + smooth)).alias("idf"))
-    vectors = counted.join(rarity, "gram").groupBy("core").agg(F.collect_list("gram").alias("grams"), F.collect_list(F.col("tf") * F.col("idf")).alias("weights"))
-    full = materialize(cores.join(vectors, "core"), "vectors")
-    side = lambda k: full.select(*[F.col(c).alias(f"{c}_{k}") for c in ("core", "kind", "surname", "given", "initials", "grams", "weights")])
+            counts = Counter(g for k, s, gv, i in zip(b["kind"], b["surname"], b["given"], b["initials"]) for g in {x for x, _ in name_grams(k, s, gv, i)})
+            yield pd.DataFrame({"gram": list(counts.keys()), "n": list(counts.values())})
+
+    # N-grams in at least SEEN of all readings: at most (n-grams a reading) / SEEN, whatever the input. Rarer ones weigh as unseen ones, which the smoothing makes nearly equal.
+    shares = cores.mapInPandas(spread, "gram string, n bigint").groupBy("gram").agg((F.sum("n") / n_cores).alias("share")).where(F.col("share") >= SEEN)
+    seen = cores.sparkSession.sparkContext.broadcast({r["gram"]: r["share"] for r in shares.toLocalIterator()})
+    side = lambda k: cores.select(*[F.col(c).alias(f"{c}_{k}") for c in ("core", "kind", "surname", "given", "initials")])
     met = pairs.join(side("a"), F.col("a") == F.col("core_a")).join(side("b"), F.col("b") == F.col("core_b"))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        share = seen.value
         for p in batches:
             rows, known = [], {}
-            for a, b, k, s1, g1, i1, m1, w1, s2, g2, i2, m2, w2 in zip(*[p[c] for c in ("a", "b", "kind_a", "surname_a", "given_a", "initials_a", "grams_a", "weights_a", "surname_b", "given_b", "initials_b", "grams_b", "weights_b")]):
-                for core, grams, weights in ((a, m1, w1), (b, m2, w2)):
+            for a, b, k, s1, g1, i1, s2, g2, i2 in zip(*[p[c] for c in ("a", "b", "kind_a", "surname_a", "given_a", "initials_a", "surname_b", "given_b", "initials_b")]):
+                for core, reading in ((a, (k, s1, g1, i1)), (b, (k, s2, g2, i2))):
                     if core not in known:
-                        known[core] = part_vectors(list(grams), list(weights))
+                        known[core] = name_vector(*reading, share)
                 cosine = name_cosine(known[a], known[b])
                 if cosine >= threshold and agrees(k, s1, g1, i1, s2, g2, i2):
                     slipped = k == "person" and not same_surname(k, s1, s2)

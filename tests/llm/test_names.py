@@ -118,7 +118,7 @@ def test_the_cosine_tells_given_names_apart(spark):
 
 def test_cosine_of_parts_is_that_of_the_outer_product():
     readings = [("person", "smith", "anna", "ab"), ("person", "smyth", "ann", "a"), ("person", "smith", "", "a")]
-    vectors = [N.part_vectors(*map(list, zip(*N.name_grams(*r)))) for r in readings]
+    vectors = [N.name_vector(*r, {}) for r in readings]
 
     def outer(v):
         s, i, g = v
@@ -138,6 +138,6 @@ def test_long_posting_lists_lose_no_link(spark):
     cores = spark.createDataFrame([(n, *p) for n, p in enumerate(people)], "core bigint, kind string, surname string, given string, initials string")
     pairs = lambda hot: {(r.a, r.b) for r in N.posting_pairs(cores, hot).collect()}
     usual, split = pairs(10_000), pairs(2)
-    vectors = {n: N.part_vectors(*map(list, zip(*N.name_grams(*p)))) for n, p in enumerate(people)}
+    vectors = {n: N.name_vector(*p, {}) for n, p in enumerate(people)}
     lost = {(a, b) for a, b in usual - split if N.name_cosine(vectors[a], vectors[b]) >= N.THRESHOLD}
     assert split <= usual and len(split) < len(usual) and not lost
