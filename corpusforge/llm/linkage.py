@@ -105,8 +105,7 @@ def _author_keys(entry: str) -> tuple[str, ...]:
 
 
 def _hashes(lists: list[list[str]]) -> pa.Array:
-    """Lists of the 64-bit hashes of the distinct strings of every list, all hashed at once."""
-    lists = [x if len(x) < 2 else list(dict.fromkeys(x)) for x in lists]
+    """Lists of the 64-bit hashes of the strings of every list, all hashed at once."""
     flat = [s for x in lists for s in x]
     values = pd.util.hash_array(np.array(flat, object), categorize=False).view(np.int64) if flat else np.zeros(0, np.int64)
     offsets = np.zeros(len(lists) + 1, np.int32)
@@ -123,7 +122,7 @@ def _title_parts(name: str) -> tuple:
     words = _WORD.findall(plain)
     system = _SYSTEM.match(plain)
     system = _NOT_LETTER.sub("", system[1]) + "+" * system[1].count("+") if system and len(system[1].split()) <= 2 else None
-    return bare != name, _NOT_LETTER.sub("", plain), words, sorted({w for w in words if w in _FOLLOW or _GROWN.search(w)}), system
+    return bare != name, _NOT_LETTER.sub("", plain), list(dict.fromkeys(words)), sorted({w for w in words if w in _FOLLOW or _GROWN.search(w)}), system
 
 
 def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFrame:
@@ -143,7 +142,7 @@ def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFram
                 whole, starts = sentences(abstract) if abstract and (len(abstract) > 60 or _bare(abstract) not in PLACEHOLDERS) else ([], [])
                 # A found abstract without a whole sentence is met by how its sentences start; papers offer both.
                 said = [*whole, *["<" + x for x in starts]] if all_titles else whole or ["<" + x for x in starts]
-                keys = [k for ks in who for k in ks]
+                keys = list(dict.fromkeys([k for ks in who for k in ks]))
                 start, end = letters[:10], letters[-10:]
                 first = who[0] if who and len(letters) >= 8 else ()
                 lead = [x for k in first for x in (f"s{start}|{k}", f"e{end}|{k}")]
@@ -156,7 +155,7 @@ def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFram
                 out["n_who"].append(len(who))
                 out["who"].append(keys)
                 out["said"].append(said)
-                out["n_said"].append(len(set(whole)) if whole else len(set(starts)))
+                out["n_said"].append(len(set(whole or starts)))
                 out["titled"].append(full)
                 out["lead"].append([*lead, *(["t" + letters] if len(letters) >= 8 else [])])
                 out["twin"].append([f"w{letters}|{k}" for k in first] if len(letters) >= 12 else [])
@@ -255,7 +254,7 @@ def judged_pairs(found: DataFrame, papers: DataFrame) -> DataFrame:
     """(id, paper, votes..., n_shared, posterior) of all candidate pairs."""
     f, p = described(found, "cand_id", "paper_title", all_titles=False), described(papers, "paper_id", "title", all_titles=True)
     lent = materialize(_lent(f), "lent")
-    pairs = materialize(candidate_pairs(f, p, lent), "pairs")
+    pairs = candidate_pairs(f, p, lent)
     kept = ("year", "cut", "letters", "words", "marks", "system", "n_who", "who", "n_said")
     side_f = f.select("id", *[F.col(c).alias(f"f_{c}") for c in kept])
     side_p = p.select(F.col("id").alias("paper"), *[F.col(c).alias(f"p_{c}") for c in kept])
