@@ -146,7 +146,7 @@ def centered_fit(score: Column, ideal: float = 3.0) -> Column:
 def python_title(c: Column) -> Column:
     """Every run of letters with a capital first and the rest small."""
     spaced = F.regexp_replace(F.lower(c), r"(?U)(?<=[^\p{L}]|^)(?=\p{L})", "\u0001")
-    parts = F.transform(F.split(spaced, "\u0001"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1_000_000)))
+    parts = F.transform(F.split(spaced, "\u0001"), lambda p: F.concat(F.upper(F.substring(p, 1, 1)), p.substr(F.lit(2), F.length(p))))
     return F.array_join(parts, "")
 
 

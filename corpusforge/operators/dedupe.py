@@ -18,6 +18,23 @@ def first_place_last_value(df: DataFrame, key: str, pos: str = "pos") -> DataFra
     return kept.drop("_k", "_h", "_last").dropDuplicates([key])
 
 
+def merged(stored: DataFrame, fetched: DataFrame, key: str, pos: str = "pos", shift: int = 10**12) -> DataFrame:
+    """first_place_last_value of stored rows followed by fetched ones, whatever their own places (below `shift`)."""
+    later = fetched.withColumn(pos, F.col(pos).cast("bigint") + shift)
+    return first_place_last_value(stored.withColumn(pos, F.col(pos).cast("bigint")).unionByName(later, allowMissingColumns=True), key, pos)
+
+
+def still_wanted(done: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of earlier results whose key is still among the targets (stale ones are dropped)."""
+    return done.join(targets.select(*keys).distinct(), keys, "left_semi")
+
+
+def in_first_order(results: DataFrame, spine: DataFrame, key: str, pos: str = "pos") -> DataFrame:
+    """Results with the place of their key in the input as `pos`, sorted by it; keys the input lacks go last, by key."""
+    places = spine.groupBy(key).agg(F.min(pos).alias(pos))
+    return results.drop(pos).join(places, key, "left").orderBy(F.col(pos).asc_nulls_last(), key)
+
+
 def first_wins(df: DataFrame, key: str, pos: str = "pos") -> DataFrame:
     """(key, pos): the first place of every key; blank and null keys are left out."""
     return df.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(key).agg(F.min(pos).alias(pos))

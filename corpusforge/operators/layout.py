@@ -1,102 +1,343 @@
-"""Page layout: fragments to lines, lines to blocks, sections, runs, overlaps.
-
-Steps with a fixed look-back are windows; those that depend on how far a group has grown
-(`lines_of`, `captions`) run per page in one sorted pass. A page is the unit of work, so a document
-of any length never becomes one task.
+"""Page layout: fragments to lines, lines to blocks, sections, runs, regions, metadata.
+
+Tables: fragments (doc, page, frag, text, x, y, font_size), lines (LINES), blocks (doc, page, block, block_type, y, text,
+caption, x0, y0, x1, y1), regions (doc, page, block_type, caption, x0, y0, x1, y1). y grows upwards. Steps with a fixed
+look-back are windows or array expressions; those that depend on how far a group has grown
+(`captions`, `page_blocks`) run per page over arrays. A page is the unit of work, so a document
+of any length never becomes one task. Nulls: a fragment without place or text is left out, one without a font size
+counts as 8 points; a line without text is no part of a block.
 """
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-# Geometry in points, and patterns.
+from corpusforge.functions.text import heading_name, joined_lines, squeeze
+
+# Geometry in points, patterns and words.
 ROW_TOLERANCE, BLOCK_GAP, OVERLAP = 2.5, 18.0, 0.35
+DEFAULT_FONT, WORD_GAP_SHARE, LEAST_WORD_GAP, GLYPH = 8.0, 0.3, 4.0, 0.55
+TABLE_GAP, FIGURE_FIRST_GAP, FIGURE_GAP, TABLE_INDENT = 20.0, 160.0, 18.0, 40.0
+PAGE_MARGIN, COLUMN_MARGIN, GUTTER, WIDE_CAPTION = 24.0, 36.0, 18.0, 0.55
 HEADING = r"^(?:\d+|[A-Z])(?:\.\d+)*\s+[A-Z]"
-TOP_HEADING = r"^\d+\s+[A-Z]"
-CAPTION = r"^(?:Figure|Fig\.?|Table)\s+[A-Za-z]?\d+\s*[:.\-]\s*.+$"
+TOP_HEADING, TOP_APPENDIX = r"^\d+\s+[A-Z]", r"^[A-Z]\s+[A-Z]"
+CAPTION = r"^(Figure|Fig\.?|Table)\s+[A-Za-z]?\d+\s*[:.\-]\s*.+$"
 FULL_HEADINGS = ("ABSTRACT", "REFERENCES", "APPENDIX CONTENTS")
-CAPTION_LINES, CAPTION_CHARS = 4, 320
+BACK_MATTER = ("references", "bibliography")
+CAPTION_LINES, CAPTION_CHARS, CAPTION_FULL_STOP = 4, 320, 50
+NOISE = ("appendix contents", "back to appendix table of contents")
+RUNNING_HEAD = "published as a conference paper"
+INSTITUTIONS = ("university", "institute", "college", "school", "academy", "department", "center", "centre", "hospital", "laboratory", "lab")
+VENUE_WORDS = ("proceedings", "conference", "arxiv", "openreview.net", "aclanthology.org")
+PROSE_WORDS = ("asking", "considered", "define", "defined", "document", "follows", "query", "question", "relevant", "represented", "sequence", "where")
+PANEL_WORDS = ("positive docs", "negative docs", "annotated web pages", "multimodal collections")
+MATH = r"[=≤≥≈∑∫√±×÷^_{}]|[α-ωΑ-Ω]"
 
 LINES = "doc string, page int, line int, text string, x_min double, x_max double, y double, font_size double"
+BLOCK_FIELDS = ("page_number", "container_section", "subsection_name", "subsection_path", "block_type", "text", "caption", "asset_path", "bbox_pdf", "line_indices", "caption_line_indices", "content_line_indices")
+
+
+def _any(text: Column, words: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out = out | F.contains(text, F.lit(w))
+    return out
+
+
+def _sure(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
+# Predicates on lines and texts; false for null unless stated.
 
 
 def is_heading(text: Column) -> Column:
-    return F.coalesce(text.isin(*FULL_HEADINGS) | text.rlike(HEADING), F.lit(False))
+    t = squeeze(text)
+    return _sure(t.isin(*FULL_HEADINGS) | t.rlike(HEADING))
+
+
+def is_top_heading(text: Column, appendix: bool = False) -> Column:
+    t = squeeze(text)
+    return _sure(t.rlike(TOP_APPENDIX if appendix else TOP_HEADING))
+
+
+def is_back_matter(text: Column) -> Column:
+    return _sure(F.lower(heading_name(text)).isin(*BACK_MATTER))
+
+
+def is_caption(text: Column) -> Column:
+    return _sure(text.rlike("(?i)" + CAPTION))
+
+
+def names_institution(text: Column) -> Column:
+    return _sure(_any(F.lower(text), INSTITUTIONS))
+
+
+def is_noise(text: Column) -> Column:
+    """Blank and null lines, page numbers, running heads and the marks of a table of contents."""
+    t = F.lower(squeeze(text))
+    return F.coalesce((t == "") | F.startswith(t, F.lit(RUNNING_HEAD)) | t.isin(*NOISE) | t.rlike(r"^\d+$"), F.lit(True))
+
+
+def is_visual_artifact(text: Column) -> Column:
+    """Text that belongs to a picture: panel words, several labels, or few words with many hyphens."""
+    t = F.lower(text)
+    labels = F.regexp_count(t, F.lit("task:")) + F.regexp_count(t, F.lit("query:"))
+    words = F.regexp_count(text, F.lit(r"(?U)\w+"))
+    return _sure(F.contains(t, F.lit("<image")) | _any(t, PANEL_WORDS) | (labels >= 2) | ((words <= 8) & (F.regexp_count(text, F.lit("-")) >= 2)))
+
+
+def is_equation(text: Column) -> Column:
+    """A line that is mostly formula: numbered, or few words with an assignment, a chain of operators, a call or several signs."""
+    t = squeeze(text)
+    count = lambda p: F.regexp_count(t, F.lit(p))
+    words, signs, digits = count("[A-Za-z]+"), count(MATH), count(r"\d")
+    prose = F.exists(F.regexp_extract_all(F.lower(t), F.lit("([a-z]+)"), F.lit(1)), lambda w: w.isin(*PROSE_WORDS)) & (words > 5)
+    shape = (
+        (t.rlike(r"[A-Za-z0-9_)\]}]\s*=\s*[^=]") & ((signs >= 2) | (digits >= 2))) | t.rlike(r"\d+\s*[+*/^]\s*\d+")
+        | (t.rlike(r"[A-Za-z0-9_]+\([^)]*\)") & t.rlike("[=+*/^]") & (words <= 8)) | (t.rlike("[=≤≥≈∑∫√]") & (signs >= 3) & (words <= 6))
+    )
+    no = (F.length(t) < 4) | is_heading(t) | F.contains(F.lower(t), F.lit("<image"))
+    return _sure(~no & (t.rlike(r"\(\d+\)$") | ((words <= 10) & ~prose & shape)))
+
+
+def is_item_noise(text: Column) -> Column:
+    """Of a converted document: blank, lone marks, and up to two signs without letter or digit."""
+    t = squeeze(text)
+    return F.coalesce((t == "") | t.isin("…", ".", ",", ":", ";", "[", "]", "(", ")", "Web", "].") | ((F.length(t) <= 2) & ~t.rlike(r"[\p{L}\p{N}]")), F.lit(True))
+
+
+def is_references_heading(text: Column) -> Column:
+    return _sure(F.upper(squeeze(text)).isin("REFERENCES", "REFERENCE"))
+
+
+def is_appendix_heading(text: Column) -> Column:
+    t = F.upper(squeeze(text))
+    return _sure(F.startswith(t, F.lit("APPENDIX")) | t.rlike(r"^[A-Z]\s+[A-Z]"))
+
+
+def is_visual_child(parent: Column) -> Column:
+    return _sure(parent.rlike(r"^cref='#/(pictures|tables)/"))
+
+
+# Pages.
+
+
+def page_evidence(lines: DataFrame) -> DataFrame:
+    """(doc, page, n_lines, n_url, n_venue, n_author, n_year, is_references): counts of lines that speak for a list of references, and the verdict."""
+    t = squeeze(F.col("text"))
+    low = F.lower(t)
+    kept = lines.withColumns({"_t": t, "_k": F.row_number().over(W.partitionBy("doc", "page").orderBy("line"))}).where("_t <> ''")
+    kept = kept.withColumn("_k", F.row_number().over(W.partitionBy("doc", "page").orderBy("line")))
+    low = F.lower("_t")
+    out = kept.groupBy("doc", "page").agg(
+        F.count("*").alias("n_lines"), F.count_if(_any(low, ("urlhttp",))).alias("n_url"), F.count_if(_any(low, VENUE_WORDS)).alias("n_venue"),
+        F.count_if(F.col("_t").rlike(r"^[A-Z][A-Za-z'`.-]+(?: [A-Z][A-Za-z'`.-]+){0,4}\.") | F.col("_t").rlike(r"^[A-Z][A-Za-z'`.-]+, [A-Z]")).alias("n_author"), F.count_if(F.col("_t").rlike(r"\b20\d{2}\b")).alias("n_year"),
+        F.max((F.col("_k") == 1) & F.startswith(low, F.lit("references"))).alias("_first"), F.max((F.col("_k") <= 10) & is_top_heading(F.col("_t"))).alias("_headed"),
+    )
+    c = F.col
+    counted = ((c("n_url") >= 2) & (c("n_venue") >= 3) & (c("n_year") >= 4)) | ((c("n_url") >= 3) & (c("n_author") >= 4))
+    return out.withColumn("is_references", c("_first") | (~c("_headed") & counted)).drop("_first", "_headed")
+
+
+def appendix_start(lines: DataFrame) -> DataFrame:
+    """(doc, appendix_page): the first page with the marks of an appendix; documents without one are left out."""
+    t = F.lower(squeeze(F.col("text")))
+    first5 = F.row_number().over(W.partitionBy("doc", "page").orderBy("line")) <= 5
+    top = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_top"), F.struct("line", "text")))), lambda x: x["text"]), " ")
+    pages = lines.withColumns({"_top": first5, "_mark": _any(t, NOISE)}).groupBy("doc", "page").agg(F.max("_mark").alias("_mark"), F.upper(top).alias("_head"))
+    found = pages.where(_sure(F.col("_mark") | F.startswith("_head", F.lit("APPENDIX")) | F.col("_head").rlike(r"^[A-Z]\s+[A-Z]{4,}")))
+    return found.groupBy("doc").agg(F.min("page").alias("appendix_page"))
+
+
+def without_contents_pages(blocks: DataFrame) -> DataFrame:
+    """Blocks of pages that hold no text block 'Appendix Contents'."""
+    listed = blocks.where("block_type = 'text' and text = 'Appendix Contents'").select("doc", "page").distinct()
+    return blocks.join(listed, ["doc", "page"], "left_anti")
+
+
+# Lines.
+
+
+def cleaned_fragments(fragments: DataFrame) -> DataFrame:
+    """Fragments with NUL as blank and outer blanks taken off; those without text or place are left out."""
+    text = F.trim(F.regexp_replace("text", "\x00", " "))
+    return fragments.withColumn("text", squeeze(text)).where("text <> '' and doc is not null and page is not null and x is not null and y is not null")
 
 
 def lines_of(fragments: DataFrame, tolerance: float = ROW_TOLERANCE) -> DataFrame:
-    """LINES of fragments (doc, page, frag, text, x, y, font_size).
+    """LINES of fragments.
 
     Fragments go from the top down; one joins a row while it is within the tolerance of the row's
-    first fragment. In a row they go from left to right, with a blank where the gap to the end of
-    the one before exceeds max(0.3 font, 4). Blank fragments are left out; ties go by frag.
+    first fragment, so rows are numbered by one fold over a page's sorted heights. In a row fragments go
+    from left to right, with a blank where the gap to the estimated end of the one before exceeds
+    max(0.3 font, 4). A line has the height of its leftmost fragment and the mean font size. Ties go by frag.
     """
+    font = F.coalesce(F.nullif("font_size", F.lit(0.0)), F.lit(DEFAULT_FONT))
+    piece = F.struct((-F.col("y")).alias("down"), "x", "frag", "text", font.alias("font"), F.coalesce("font_size", F.lit(0.0)).alias("size"))
+    pages = cleaned_fragments(fragments).groupBy("doc", "page").agg(F.array_sort(F.collect_list(piece)).alias("all"))
 
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        page = page[[isinstance(t, str) and bool(t.replace("\x00", "").strip()) for t in page["text"]]].sort_values(["y", "x", "frag"], ascending=[False, True, True])
-        rows: list[list] = []
-        for f in page.itertuples():
-            if rows and abs(f.y - rows[-1][0].y) <= tolerance:
-                rows[-1].append(f)
-            else:
-                rows.append([f])
-        out = []
-        for n, row in enumerate(rows):
-            row.sort(key=lambda f: (f.x, f.frag))
-            text, end = "", None
-            for f in row:
-                own = f.text.replace("\x00", "")
-                if end is not None and f.x - end > max(0.3 * f.font_size, 4.0) and not text.endswith(" "):
-                    text += " "
-                text += own
-                end = f.x + max(f.font_size * 0.55 * max(len(own.replace(" ", "")), 1), f.font_size)
-            font = sum(f.font_size for f in row) / len(row)
-            out.append((row[0].doc, row[0].page, n, re.sub(r"\s+", " ", text).strip(), row[0].x, end, sum(f.y for f in row) / len(row), font))
-        return pd.DataFrame(out, columns=["doc", "page", "line", "text", "x_min", "x_max", "y", "font_size"])
-
-    kept = fragments.select("doc", "page", "frag", "text", "x", "y", "font_size").where("doc is not null and page is not null and x is not null and y is not null and font_size is not null")
-    return kept.groupBy("doc", "page").applyInPandas(run, LINES)
-
-
-def blocks_of(lines: DataFrame, gap: float = BLOCK_GAP, used: Column | None = None) -> DataFrame:
+    def numbered(acc: Column, f: Column) -> Column:
+        begins = acc["top"].isNull() | (F.abs(f["down"] - acc["top"]) > tolerance)
+        row = acc["row"] + begins.cast("int")
+        return F.struct(F.when(begins, f["down"]).otherwise(acc["top"]).alias("top"), row.alias("row"), F.concat(acc["rows"], F.array(row)).alias("rows"))
+
+    start = F.struct(F.lit(None).cast("double").alias("top"), F.lit(-1).alias("row"), F.array().cast("array<int>").alias("rows"))
+    rows = pages.withColumn("rows", F.aggregate("all", start, numbered)["rows"]).select("doc", "page", F.inline(F.arrays_zip("all", "rows")))
+    lines = rows.groupBy("doc", "page", F.col("rows").alias("line")).agg(F.array_sort(F.collect_list(F.struct("all.x", "all.frag", "all.down", "all.text", "all.font", "all.size"))).alias("own"))
+
+    def set_together(acc: Column, f: Column) -> Column:
+        apart = f["x"] - acc["end"] > F.greatest(f["size"] * WORD_GAP_SHARE, F.lit(LEAST_WORD_GAP))
+        wide = F.greatest(f["font"] * GLYPH * F.greatest(F.length(F.replace(f["text"], F.lit(" "))), F.lit(1)), f["font"])
+        end = f["x"] + wide
+        return F.struct(F.concat(acc["text"], F.when(apart, " ").otherwise(""), f["text"]).alias("text"), end.alias("end"), F.greatest(acc["most"], end).alias("most"))
+
+    empty = F.struct(F.lit("").alias("text"), F.lit(None).cast("double").alias("end"), F.lit(None).cast("double").alias("most"))
+    merged = F.aggregate("own", empty, set_together)
+    mean = F.aggregate("own", F.lit(0.0), lambda a, f: a + f["font"]) / F.size("own")
+    out = lines.withColumn("_m", merged)
+    return out.select("doc", "page", "line", squeeze(F.col("_m.text")).alias("text"), F.get("own", F.lit(0))["x"].alias("x_min"), F.col("_m.most").alias("x_max"), (-F.get("own", F.lit(0))["down"]).alias("y"), mean.alias("font_size"))
+
+
+def line_box(prefix: str = "") -> dict[str, Column]:
+    """The box of a line, from its ends, height and font size."""
+    c = lambda n: F.col(prefix + n)
+    return {"x0": c("x_min"), "y0": F.greatest(c("y") - 2.0, F.lit(0.0)), "x1": c("x_max"), "y1": c("y") + F.greatest(F.coalesce(c("font_size"), F.lit(DEFAULT_FONT)), F.lit(DEFAULT_FONT))}
+
+
+def merged_boxes(rows: DataFrame, by: list[str]) -> DataFrame:
+    """(by, x0, y0, x1, y1): the box around all boxes of a group."""
+    return rows.groupBy(*by).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+
+
+def blocks_of(lines: DataFrame, gap: float = BLOCK_GAP, used: Column | None = None, by: tuple[str, ...] = ("doc", "page")) -> DataFrame:
     """lines with `block`: a new block begins at a heading, after one, at a used line and at a vertical gap above `gap`."""
     used = F.lit(False) if used is None else used
-    order = W.partitionBy("doc", "page").orderBy("line")
+    order = W.partitionBy(*by).orderBy("line")
     head = is_heading(F.col("text"))
-    starts = F.col("_h") | F.col("_u") | F.coalesce(F.lag("_h").over(order), F.lit(True)) | (F.lag("y").over(order) - F.col("y") > gap)
+    starts = F.col("_h") | F.col("_u") | F.coalesce(F.lag("_h").over(order), F.lit(True)) | F.coalesce(F.lag("_u").over(order), F.lit(False)) | (F.lag("y").over(order) - F.col("y") > gap)
     marked = lines.withColumns({"_h": head, "_u": used}).withColumn("_s", F.coalesce(starts, F.lit(True)).cast("int"))
     return marked.withColumn("block", F.sum("_s").over(order.rowsBetween(W.unboundedPreceding, 0)).cast("int") - 1).drop("_h", "_u", "_s")
 
 
+def _reach(stop: np.ndarray, gap: np.ndarray, first: float, later: float) -> int:
+    """How many of the following lines belong on: up to a stop or a gap above the limit (another one for the first line)."""
+    limit = np.full(len(gap), later)
+    limit[:1] = first
+    ends = np.flatnonzero(stop | (gap > limit))
+    return int(ends[0]) if len(ends) else len(stop)
+
+
+def _caption_groups(text: list, head: np.ndarray, cap: np.ndarray, x: np.ndarray, y: np.ndarray, gap: float) -> dict[int, int]:
+    """First line -> number of lines of every caption of a page."""
+    groups, free = {}, 0
+    for start in np.flatnonzero(cap).tolist():
+        if start < free:
+            continue
+        after = slice(start + 1, start + CAPTION_LINES)
+        stop = head[after] | cap[after]
+        if text[start].lower().startswith("table"):
+            stop = stop | (np.abs(x[after] - x[start]) > TABLE_INDENT)
+        n = 1 + _reach(stop, np.abs(y[start : start + CAPTION_LINES - 1][: len(stop)] - y[after]), gap, gap)
+        sizes = np.cumsum([len(t) + 1 for t in text[start : start + n]]) - 1
+        full = [k for k in range(1, n) if sizes[k] >= CAPTION_CHARS or (text[start + k].endswith(".") and sizes[k] > CAPTION_FULL_STOP)]
+        groups[start] = min(n, full[0] + 1) if full else n
+        free = start + groups[start]
+    return groups
+
+
+_KINDS = {"_head": lambda: is_heading(F.col("text")), "_cap": lambda: is_caption(F.col("text")), "_noise": lambda: is_noise(F.col("text")), "_eq": lambda: is_equation(F.col("text"))}
+
+
 def captions(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
-    """(doc, page, line, caption, n_lines): captions from their first line on, until a full stop, a gap, four lines or 320 characters."""
+    """(doc, page, line, caption, n_lines): captions from their first line on, until another caption or a heading, a gap, four lines, 320 characters, a full stop after 50 characters, or (tables) an indent."""
+    marked = lines.where("text is not null").select("doc", "page", "line", "text", "y", *(["x_min"] if "x_min" in lines.columns else [F.lit(0.0).alias("x_min")]), _KINDS["_head"]().alias("_head"), _KINDS["_cap"]().alias("_cap"))
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
-        rows = list(page.sort_values("line").itertuples())
-        out, i = [], 0
-        while i < len(rows):
-            if not isinstance(rows[i].text, str) or not re.match(CAPTION, rows[i].text, re.IGNORECASE):
-                i += 1
-                continue
-            taken = [rows[i]]
-            while i + len(taken) < len(rows) and len(taken) < CAPTION_LINES:
-                nxt = rows[i + len(taken)]
-                text = " ".join(t.text for t in taken)
-                if text.endswith(".") or taken[-1].y - nxt.y > gap or len(text) + 1 + len(nxt.text or "") > CAPTION_CHARS:
-                    break
-                if re.match(CAPTION, nxt.text or "", re.IGNORECASE) or re.match(HEADING, nxt.text or ""):
-                    break
-                taken.append(nxt)
-            out.append((taken[0].doc, taken[0].page, taken[0].line, " ".join(t.text for t in taken), len(taken)))
-            i += len(taken)
-        return pd.DataFrame(out, columns=["doc", "page", "line", "caption", "n_lines"])
-
-    return lines.groupBy("doc", "page").applyInPandas(run, "doc string, page int, line int, caption string, n_lines int")
+        page = page.sort_values("line")
+        text = page["text"].tolist()
+        found = _caption_groups(text, page["_head"].to_numpy(bool), page["_cap"].to_numpy(bool), page["x_min"].to_numpy(float), page["y"].to_numpy(float), gap)
+        rows = [(page["doc"].iloc[0], page["page"].iloc[0], int(page["line"].iloc[i]), " ".join(text[i : i + n]), n) for i, n in found.items()]
+        return pd.DataFrame(rows, columns=["doc", "page", "line", "caption", "n_lines"])
+
+    return marked.groupBy("doc", "page").applyInPandas(run, "doc string, page int, line int, caption string, n_lines int")
+
+
+STRUCTURE = "doc string, page int, kind string, head int, caption_lines array<int>, content_lines array<int>"
+
+
+def page_structure(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
+    """STRUCTURE: the figures, tables and equations of every page, as the numbers of their lines; head is their first line in reading order.
+
+    A table takes the lines below its caption, a figure those above it (noise in between is passed over), an
+    equation the formulas that follow each other; each until a caption, a heading or a gap.
+    """
+    marked = lines.where("text is not null").select("doc", "page", "line", "text", "x_min", "x_max", "y", *[make().alias(name) for name, make in _KINDS.items()])
+
+    def run(page: pd.DataFrame) -> pd.DataFrame:
+        page = page.sort_values("line")
+        text, number = page["text"].tolist(), page["line"].to_numpy(int)
+        head, cap, noise, eq = (page[c].to_numpy(bool) for c in ("_head", "_cap", "_noise", "_eq"))
+        x, y, wide = page["x_min"].to_numpy(float), page["y"].to_numpy(float), page["x_max"].to_numpy(float) > 2000
+        groups, stop, rows = _caption_groups(text, head, cap, x, y, gap), head | cap, []
+        taken = np.zeros(len(text), bool)
+        for start, n in groups.items():
+            taken[start : start + n] = True
+        for start, n in groups.items():
+            own = np.arange(start, start + n)
+            if text[start].lower().startswith("table"):
+                below = np.arange(start + n, len(text))
+                content = below[: _reach(stop[below] | taken[below], y[below - 1] - y[below], np.inf, TABLE_GAP)]
+                taken[content] = True
+            else:
+                above = np.arange(start - 1, -1, -1)
+                above = above[: _reach(stop[above], np.zeros(len(above)), np.inf, np.inf)]
+                above = above[~(noise[above] | wide[above])]
+                content = above[: _reach(np.zeros(len(above), bool), y[above] - np.concatenate([[y[start]], y[above[:-1]]]) if len(above) else y[above], FIGURE_FIRST_GAP, FIGURE_GAP)][::-1]
+            rows.append(("table" if text[start].lower().startswith("table") else "figure", int(number[start]), number[own].tolist(), number[content].tolist()))
+        formula = np.flatnonzero(eq & ~taken)
+        if len(formula):
+            apart = np.concatenate([[True], (np.diff(formula) > 1) | (y[formula[:-1]] - y[formula[1:]] > gap)])
+            for own in np.split(formula, np.flatnonzero(apart)[1:]):
+                rows.append(("equation", int(number[own[0]]), [], number[own].tolist()))
+        out = pd.DataFrame(rows, columns=["kind", "head", "caption_lines", "content_lines"])
+        return out.assign(doc=page["doc"].iloc[0], page=page["page"].iloc[0])[["doc", "page", "kind", "head", "caption_lines", "content_lines"]]
+
+    return marked.groupBy("doc", "page").applyInPandas(run, STRUCTURE)
+
+
+def page_blocks(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
+    """(doc, page, block, block_type, y, text, caption, x0, y0, x1, y1): all blocks of every page from the top down, headings before others of one height.
+
+    Lines of captions, tables and equations are no text; the lines that a figure takes stay text as well. Noise and
+    artifacts of pictures are left out.
+    """
+    structure = page_structure(lines, gap).withColumn("s", F.concat_ws("-", "kind", F.col("head").cast("string")))
+    boxed = lines.where("text is not null").withColumns(line_box())
+    each = lambda column, role: structure.select("doc", "page", "s", "kind", F.lit(role).alias("role"), F.explode(column).alias("line"))
+    members = each("caption_lines", "caption").unionByName(each("content_lines", "content"))
+    shown = members.where("kind <> 'figure' or role = 'caption'").join(boxed, ["doc", "page", "line"])
+    told = lambda role, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("line", "text")))), lambda r: r["text"]), sep)
+    box = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]
+    visual = shown.groupBy("doc", "page", "s", "kind").agg(told("content", "\n").alias("text"), squeeze(told("caption", " ")).alias("caption"), F.max("y").alias("_line"), *box)
+    visual = visual.select("doc", "page", F.col("kind").alias("block_type"), F.when(F.col("kind") == "equation", F.col("_line")).otherwise(F.col("y1")).alias("y"), F.nullif("text", F.lit("")).alias("text"), F.nullif("caption", F.lit("")).alias("caption"), "x0", "y0", "x1", "y1")
+    used = members.where("kind <> 'figure' or role = 'caption'").select("doc", "page", "line", F.lit(True).alias("_used")).distinct()
+    rest = boxed.join(used, ["doc", "page", "line"], "left").withColumn("_used", F.coalesce("_used", F.lit(False)) | (squeeze(F.col("text")) == ""))
+    numbered = blocks_of(rest, gap, F.col("_used")).where(~F.col("_used"))
+    plain = numbered.groupBy("doc", "page", "block").agg(squeeze(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda r: r["text"]), " ")).alias("text"), F.count("*").alias("n"), F.max("y").alias("y"), *box)
+    plain = plain.withColumn("block_type", F.when((F.col("n") == 1) & is_heading(F.col("text")), "heading").otherwise("text"))
+    plain = plain.where(~is_noise(F.col("text")) & ~((F.col("block_type") == "text") & is_visual_artifact(F.col("text")))).select("doc", "page", "block_type", "y", "text", F.lit(None).cast("string").alias("caption"), "x0", "y0", "x1", "y1")
+    order = W.partitionBy("doc", "page").orderBy(F.col("y").desc(), F.when(F.col("block_type") == "heading", 0).otherwise(1), "x0", "block_type", "text")
+    return plain.unionByName(visual).withColumn("block", F.row_number().over(order))
+
+
+# Sections.
 
 
 def filled_sections(blocks: DataFrame, by: str, order: list[str], heading: Column, stop: Column) -> DataFrame:
@@ -112,6 +353,62 @@ def numbered_repeats(df: DataFrame, by: list[str], path: str, order: list[str])
     return df.withColumn("_k", k).withColumn("path_unique", F.when(F.col("_k") > 1, F.concat(F.col(path), F.lit(" ("), F.col("_k").cast("string"), F.lit(")"))).otherwise(F.col(path))).drop("_k")
 
 
+def sectioned_items(items: DataFrame) -> DataFrame:
+    """(doc, container, section_no, heading, start_page, end_page, n_items) of the items of converted documents (doc, pos, page, kind, text, parent).
+
+    kind is header, text, list, picture, table or formula. A header opens a section, in the appendix from the first
+    header of one on; the references and what follows them in the main text are left out, as are items before the
+    first section, noise and children of pictures and tables. Running flags over one window per document.
+    """
+    seen = W.partitionBy("doc").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    rows = items.where(~is_visual_child(F.col("parent")) | F.col("kind").isin("picture", "table"))
+    header = F.col("kind") == "header"
+    flagged = rows.withColumns({"_r": header & is_references_heading(F.col("text")), "_a": header & is_appendix_heading(F.col("text"))})
+    state = flagged.withColumns({"_late": F.max("_a").over(seen), "_ref": F.max("_r").over(seen)}).where(F.col("_late") | ~F.col("_ref")).where(~F.col("_r"))
+    numbered = state.withColumn("section_no", F.sum(header.cast("int")).over(seen)).where("section_no > 0").where(header | ~F.col("kind").isin("text", "list") | ~is_item_noise(F.col("text")))
+    return numbered.groupBy("doc", "section_no").agg(
+        F.max(F.when(F.col("_late"), "appendix").otherwise("maintext")).alias("container"), F.max(F.when(header, squeeze(F.col("text")))).alias("heading"), F.min("page").alias("start_page"), F.max("page").alias("end_page"), F.count("*").alias("n_items")
+    )
+
+
+def numbered_assets(items: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """(doc, pos, asset) of pictures and tables: 'page_003_figure_02', counted per page and kind. kinds: item kind -> word."""
+    words = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    page = F.coalesce("page", F.lit(0))
+    k = F.row_number().over(W.partitionBy("doc", page, "kind").orderBy("pos"))
+    return items.where(F.col("kind").isin(*kinds)).withColumn("_k", k).select("doc", "pos", F.format_string("page_%03d_%s_%02d", page, words[F.col("kind")], F.col("_k")).alias("asset"))
+
+
+def document_metadata(lines: DataFrame) -> DataFrame:
+    """(doc, title, authors, institutions, abstract) from the first page.
+
+    The title is the run of up to four leading lines in capitals; between it and the abstract stand authors
+    (two words or more in small letters) and institutions; the abstract goes to the first numbered heading. One
+    page of a document is folded to an array, so this is one row per document.
+    """
+    t = squeeze(F.col("text"))
+    first = lines.where("page = 1").withColumn("_t", t).where("_t <> ''").groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "_t"))), lambda r: r["_t"]).alias("a"))
+    head = F.startswith(F.lower(F.get("a", F.lit(0))), F.lit(RUNNING_HEAD))
+    a = first.withColumn("a", F.when(head, F.slice("a", 2, 1_000_000_000)).otherwise(F.col("a")))
+    letters = lambda s: F.length(F.regexp_replace(s, r"\P{L}", ""))
+    capitals = lambda s: F.length(F.regexp_replace(s, r"\P{Lu}", ""))
+    lone = lambda s: F.size(F.filter(F.split(s, " "), lambda w: w.rlike(r"^\p{Lu}$")))
+    plain = lambda s: (F.upper(s) != "ABSTRACT") & ~s.rlike(r"[∗*]") & (lone(s) < 3) & (letters(s) > 0) & (capitals(s) >= 0.7 * letters(s))
+    flags = F.transform("a", plain)
+    run = F.least(F.coalesce(F.nullif(F.array_position(flags, F.lit(False)), F.lit(0)) - 1, F.size("a")), F.lit(4)).cast("int")
+    at = lambda test: F.nullif(F.array_position(F.transform("a", test), F.lit(True)), F.lit(0)).cast("int")
+    marked = a.withColumns({"n": run, "abstract_at": at(lambda s: F.upper(s) == "ABSTRACT"), "intro_at": at(lambda s: is_top_heading(s))})
+    between = F.when(F.col("abstract_at").isNotNull(), F.slice("a", F.col("n") + 1, F.greatest(F.col("abstract_at") - 1 - F.col("n"), F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    body = F.when(F.col("abstract_at").isNotNull() & (F.col("intro_at") > 1), F.slice("a", F.col("abstract_at") + 1, F.greatest(F.col("intro_at") - 1 - F.col("abstract_at"), F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    small = lambda s: F.size(F.filter(F.split(s, " "), lambda w: w.rlike("[a-z]")))
+    return marked.select(
+        "doc", joined_lines(F.slice("a", 1, F.col("n"))).alias("title"), F.filter(between, lambda s: ~names_institution(s) & (small(s) >= 2)).alias("authors"), F.filter(between, names_institution).alias("institutions"), joined_lines(body).alias("abstract")
+    )
+
+
+# Runs and boxes.
+
+
 def runs(df: DataFrame, by: list[str], pos: str, count: Column, least: int, gap: int) -> DataFrame:
     """(by, run_start, run_end): runs of positions with count >= least; up to `gap` others in between are bridged."""
     w = W.partitionBy(*by).orderBy(pos)
@@ -120,12 +417,38 @@ def runs(df: DataFrame, by: list[str], pos: str, count: Column, least: int, gap:
     return numbered.groupBy(*by, "_run").agg(F.min(pos).alias("run_start"), F.max(pos).alias("run_end")).drop("_run")
 
 
+def run_nearest_edge(found: DataFrame, by: list[str], from_start: bool, least_span: int) -> DataFrame:
+    """(by, run_start, run_end): of the runs of at least the span the first, or the one that ends last."""
+    wide = found.where(F.col("run_end") - F.col("run_start") >= least_span)
+    pick = F.min_by if from_start else F.max_by
+    edge = F.struct("run_start", "run_end") if from_start else F.struct("run_end", "run_start")
+    return wide.groupBy(*by).agg(pick(F.struct("run_start", "run_end"), edge).alias("r")).select(*by, "r.*")
+
+
+def line_runs(lines: Column, full: int, gap: int) -> Column:
+    """array<struct<run_start, run_end>> of an array of lines: runs of lines with at least `full` characters, up to `gap` others bridged. No shuffle."""
+    places = F.filter(F.transform(lines, lambda line, i: F.when(F.length(line) >= full, i)), lambda i: i.isNotNull())
+    ends = lambda far: F.transform(places, lambda p, k: F.when(F.coalesce(far(p, k) > gap + 1, F.lit(True)), p))
+    kept = lambda xs: F.filter(xs, lambda p: p.isNotNull())
+    starts = kept(ends(lambda p, k: p - F.get(places, k - 1)))
+    stops = kept(ends(lambda p, k: F.get(places, k + 1) - p))
+    return F.transform(starts, lambda s, k: F.struct(s.alias("run_start"), F.get(stops, k).alias("run_end")))
+
+
+def line_sections(lines: Column, mark: str, stop: str) -> Column:
+    """array<struct<heading, n_lines>> of an array of lines: lines from each heading (starting with `mark`) on, up to the line `stop`; one entry per heading as it comes. No shuffle."""
+    end = F.array_position(lines, F.lit(stop)).cast("int")
+    kept = F.when(end > 0, F.slice(lines, F.lit(1), end - 1)).otherwise(lines)
+    heads = F.filter(F.transform(kept, lambda line, i: F.when(F.startswith(line, F.lit(mark)), i)), lambda i: i.isNotNull())
+    return F.transform(heads, lambda i, k: F.struct(F.get(kept, i).substr(F.lit(len(mark) + 1), F.length(F.get(kept, i))).alias("heading"), (F.coalesce(F.get(heads, k + 1), F.size(kept)) - i).alias("n_lines")))
+
+
 def overlap_share(a: dict[str, Column], b: dict[str, Column]) -> Column:
-    """Share of box a that box b covers; boxes are x0, y0, x1, y1."""
+    """Share of box a (of at least one unit of area) that box b covers; boxes are x0, y0, x1, y1."""
     wide = F.greatest(F.lit(0.0), F.least(a["x1"], b["x1"]) - F.greatest(a["x0"], b["x0"]))
     high = F.greatest(F.lit(0.0), F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"]))
-    area = (a["x1"] - a["x0"]) * (a["y1"] - a["y0"])
-    return F.when(area > 0, wide * high / area).otherwise(0.0)
+    area = F.greatest(F.lit(0.0), a["x1"] - a["x0"]) * F.greatest(F.lit(0.0), a["y1"] - a["y0"])
+    return wide * high / F.greatest(area, F.lit(1.0))
 
 
 def clear_of(boxes: DataFrame, regions: DataFrame, on: list[str], most: float = OVERLAP) -> DataFrame:
@@ -138,10 +461,69 @@ def clear_of(boxes: DataFrame, regions: DataFrame, on: list[str], most: float =
     return boxes.alias("a").join(regions.alias("b"), cond, "left_anti")
 
 
+def with_regions(blocks: DataFrame, regions: DataFrame) -> DataFrame:
+    """Blocks and regions in one table: on pages with regions, figures and tables that were guessed and blocks that a region covers give way to them."""
+    paged = regions.select("doc", "page").distinct()
+    guessed = blocks.where("block_type in ('figure', 'table')").join(paged, ["doc", "page"], "left_anti")
+    kept = clear_of(blocks.where("block_type not in ('figure', 'table')"), regions, ["doc", "page"])
+    return kept.unionByName(guessed).unionByName(regions, allowMissingColumns=True)
+
+
+def regions_in(records: DataFrame, item: str, heights: DataFrame) -> DataFrame:
+    """(doc, page, block_type, caption, x0, y0, x1, y1) of raw region records (doc, variant `item`), measured from the top, for pages (doc, page, height).
+
+    A box is given by two corners or by left, top, width and height, under one of several names; records
+    without a box or of no known page are left out.
+    """
+    get = lambda *paths, kind="string": F.coalesce(*[F.try_variant_get(item, p, kind) for p in paths])
+    box = lambda name: F.coalesce(*[F.try_variant_get(item, f"$.{outer}.{name}", "double") for outer in ("regionBoundary", "figureBoundary", "boundary")])
+    raw = records.select(
+        "doc", get("$.page", "$.pageNumber", kind="int").alias("page"), F.when(F.contains(F.lower(F.coalesce(get("$.figureType", "$.type"), F.lit("figure"))), F.lit("table")), "table").otherwise("figure").alias("block_type"),
+        squeeze(F.coalesce(get("$.caption", "$.captionText", "$.name"), F.lit(""))).alias("caption"), *[box(n).alias("_" + n) for n in ("x1", "y1", "x2", "y2", "left", "top", "width", "height")],
+    )
+    c = F.col
+    corners = c("_x1").isNotNull() & c("_y1").isNotNull() & c("_x2").isNotNull() & c("_y2").isNotNull()
+    pick = lambda a, b: F.when(corners, a).otherwise(b)
+    down = raw.select("doc", "page", "block_type", "caption", pick(F.least("_x1", "_x2"), c("_left")).alias("x0"), pick(F.greatest("_x1", "_x2"), c("_left") + c("_width")).alias("x1"), pick(F.least("_y1", "_y2"), c("_top")).alias("_t"), pick(F.greatest("_y1", "_y2"), c("_top") + c("_height")).alias("_b"))
+    return down.join(heights, ["doc", "page"]).where("x0 is not null and x1 is not null and _t is not null and _b is not null").select("doc", "page", "block_type", "caption", "x0", (c("height") - c("_b")).alias("y0"), "x1", (c("height") - c("_t")).alias("y1"))
+
+
+def vertical_limits(blocks: DataFrame, height: float) -> DataFrame:
+    """blocks with upper_limit and lower_limit: the nearest edges of the blocks with a box before and after each on its page, within the page's margins."""
+    order = W.partitionBy("doc", "page").orderBy("block")
+    before, after = F.last("y0", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)), F.first("y1", ignorenulls=True).over(order.rowsBetween(1, W.unboundedFollowing))
+    return blocks.withColumns({"upper_limit": F.least(F.lit(height - PAGE_MARGIN), before), "lower_limit": F.greatest(F.lit(PAGE_MARGIN), after)})
+
+
+def pixel_box(box: dict[str, Column], page: tuple[float, float], image: tuple[int, int]) -> dict[str, Column]:
+    """A box in pixels from the top left, rounded half to even and kept within the image."""
+    (wide, high), (px, py) = page, image
+    clip = lambda v, most: F.greatest(F.lit(0), F.least(F.lit(most), F.bround(v).cast("int")))
+    x = [clip(box[k] / wide * px, px) for k in ("x0", "x1")]
+    y = [clip((high - box[k]) / high * py, py) for k in ("y0", "y1")]
+    return {"x0": F.least(*x), "y0": F.least(*y), "x1": F.greatest(*x), "y1": F.greatest(*y)}
+
+
+def expanded_box(box: dict[str, Column], page: tuple[float, float], left: float = 0.0, bottom: float = 0.0, right: float = 0.0, top: float = 0.0) -> dict[str, Column]:
+    """A box with margins, kept within the page."""
+    return {"x0": F.greatest(F.lit(0.0), box["x0"] - left), "y0": F.greatest(F.lit(0.0), box["y0"] - bottom), "x1": F.least(F.lit(page[0]), box["x1"] + right), "y1": F.least(F.lit(page[1]), box["y1"] + top)}
+
+
+def caption_column(x0: Column, x1: Column, wide: float) -> tuple[Column, Column]:
+    """(left, right) of the column that a caption stands in: the whole width, or the half its middle lies in."""
+    middle = wide / 2
+    across = (x1 - x0 >= wide * WIDE_CAPTION) | ((x0 <= middle - GUTTER) & (x1 >= middle + GUTTER))
+    on_left = (x0 + x1) / 2 < middle
+    return F.when(across | on_left, COLUMN_MARGIN).otherwise(middle + GUTTER), F.when(across | ~on_left, wide - COLUMN_MARGIN).otherwise(middle - GUTTER)
+
+
+def block_payload(blocks: DataFrame) -> DataFrame:
+    """The fields of blocks that are handed on, as far as there are any."""
+    return blocks.select(*[c for c in BLOCK_FIELDS if c in blocks.columns])
+
+
 def markdown(blocks: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """(by, markdown): headings and texts of blocks in order, parted by blank lines."""
     piece = F.when(is_heading(F.col("text")), F.concat(F.lit("## "), F.col("text"))).otherwise(F.col("text"))
     pieces = F.array_sort(F.collect_list(F.struct(*order, piece.alias("piece"))))
     return blocks.where("text is not null").groupBy(*by).agg(F.array_join(F.transform(pieces, lambda x: x["piece"]), "\n\n").alias("markdown"))
-
-

@@ -90,12 +90,13 @@ CANDIDATE = ("paper_title", "arxiv_id", "abstract", "venue", "year", "authors",
 
 
 def _strings_of(value: Column) -> Column:
-    """All texts in a variant: itself, or the texts of its elements and fields down to the third level."""
+    """All texts in a variant: itself, or the texts of its elements and fields, down to the fourth level (such records are no deeper)."""
     text = lambda v: F.array_compact(F.array(F.when(~F.coalesce(F.schema_of_variant(v), F.lit("VOID")).rlike("^(OBJECT|ARRAY)"), F.try_variant_get(v, "$", "string"))))
     below = lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), F.array().cast("array<variant>"))
-    level1 = below(value)
-    level2 = F.flatten(F.transform(level1, below))
-    return F.concat(text(value), F.flatten(F.transform(level1, text)), F.flatten(F.transform(level2, text)))
+    levels = [F.array(value)]
+    for _ in range(4):
+        levels.append(F.flatten(F.transform(levels[-1], below)))
+    return F.concat(*[F.flatten(F.transform(level, text)) for level in levels])
 
 
 def _first_of(values: Column, found) -> Column:

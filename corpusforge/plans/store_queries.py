@@ -256,29 +256,35 @@ _LINES = "(select doc_id, unnest(string_split(text, chr(10))) as line, unnest(ra
 @query(f"""with l as (select *, line like '## %' as h from {_LINES}), b as (select doc_id, pos, sum((h or coalesce(prev, true))::int) over (partition by doc_id order by pos) as b from (select *, lag(h) over (partition by doc_id order by pos) as prev from l))
 select doc_id, max(b) as n_blocks, count(*) as n_lines from b group by 1""")
 def line_blocks_islands(spark, folder):
-    """Blocks of lines: one begins at a heading and after one."""
+    """Blocks of lines: one begins at a heading and after one (headings of the documents begin with number signs)."""
     lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text")
-    w = W.partitionBy("doc_id").orderBy("pos")
-    h = lines.withColumn("h", F.startswith("line", F.lit("## ")))
-    s = (F.col("h") | F.coalesce(F.lag("h").over(w), F.lit(True))).cast("int")
-    b = h.withColumn("s", s).groupBy("doc_id").agg(F.sum("s").alias("n_blocks"), F.count("*").alias("n_lines"))
-    return b
+    shown = lines.select("doc_id", F.col("pos").alias("line"), F.when(F.startswith("line", F.lit("## ")), "ABSTRACT").otherwise("text").alias("text"), F.lit(0.0).alias("y"))
+    return layout.blocks_of(shown, by=("doc_id",)).groupBy("doc_id").agg((F.max("block") + 1).cast("bigint").alias("n_blocks"), F.count("*").alias("n_lines"))
 
 
 @query(f"""with l as (select *, case when line like '## %' then substr(line, 4) end as h, line = '## References' as stop from {_LINES}),
 f as (select doc_id, pos, last_value(h ignore nulls) over w as section, max(stop::int) over w as stopped from l window w as (partition by doc_id order by pos rows between unbounded preceding and current row))
 select doc_id, section, count(*) as n_lines from f where section is not null and stopped = 0 group by 1, 2""")
 def section_fill_forward(spark, folder):
-    """Lines under the latest heading before them, up to the references."""
+    """Lines under the latest heading before them, up to the references. A document is one row, so nothing but the counts is shuffled."""
+    sections = layout.line_sections(F.split("text", "\n"), "## ", "## References")
+    return table(spark, folder, "documents").select("doc_id", F.inline(sections)).groupBy("doc_id", F.col("heading").alias("section")).agg(F.sum("n_lines").cast("bigint").alias("n_lines"))
+
+
+@query(f"""with l as (select *, case when line like '## %' then substr(line, 4) end as h, line = '## References' as stop from {_LINES}),
+f as (select doc_id, pos, last_value(h ignore nulls) over w as section, max(stop::int) over w as stopped from l window w as (partition by doc_id order by pos rows between unbounded preceding and current row))
+select doc_id, count(*) as n_lines, count(distinct section) as n_sections from f where section is not null and stopped = 0 group by 1""")
+def sections_by_window(spark, folder):
+    """The same over rows of lines, where a document is no single row: lines and sections of every document."""
     lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text")
-    head = F.when(F.startswith("line", F.lit("## ")), F.substring("line", 4, 1_000_000))
-    return layout.filled_sections(lines, "doc_id", ["pos"], head, F.col("line") == "## References").groupBy("doc_id", "section").agg(F.count("*").alias("n_lines"))
+    head = F.when(F.startswith("line", F.lit("## ")), F.expr("substr(line, 4)"))
+    return layout.filled_sections(lines, "doc_id", ["pos"], head, F.col("line") == "## References").groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_distinct("section").alias("n_sections"))
 
 
 @query(f"""select doc_id, pos, case when k > 1 then h || ' (' || k || ')' else h end as path_unique from (select doc_id, pos, h, row_number() over (partition by doc_id, h order by pos) as k from (select doc_id, pos, substr(line, 4) as h from {_LINES} where line like '## %'))""")
 def duplicate_section_suffix(spark, folder):
     """Headings of every document, repeats numbered."""
-    lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text").where("line like '## %'").withColumn("h", F.substring("line", 4, 1_000_000))
+    lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text").where("line like '## %'").withColumn("h", F.expr("substr(line, 4)"))
     return layout.numbered_repeats(lines, ["doc_id"], "h", ["pos"]).select("doc_id", "pos", "path_unique")
 
 
@@ -286,8 +292,16 @@ def duplicate_section_suffix(spark, folder):
 select doc_id, min(pos) as run_start, max(pos) as run_end from r group by doc_id, run""")
 def run_detection_gap(spark, folder):
     """Runs of full lines, gaps of up to two lines bridged."""
+    return table(spark, folder, "documents").select("doc_id", F.inline(layout.line_runs(F.split("text", "\n"), 40, 2)))
+
+
+@query(f"""with k as (select doc_id, pos from {_LINES} where length(line) >= 40), n as (select *, coalesce((pos - lag(pos) over (partition by doc_id order by pos) > 3)::int, 1) as s from k), r as (select *, sum(s) over (partition by doc_id order by pos) as run from n)
+select doc_id, count(distinct run) as n_runs, count(*) as n_full from r group by 1""")
+def runs_by_window(spark, folder):
+    """The same over rows of lines: runs and full lines of every document."""
     lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text")
-    return layout.runs(lines, ["doc_id"], "pos", F.length("line"), 40, 2)
+    found = layout.runs(lines, ["doc_id"], "pos", F.length("line"), 40, 2)
+    return found.groupBy("doc_id").agg(F.count("*").alias("n_runs")).join(lines.where(F.length("line") >= 40).groupBy("doc_id").agg(F.count("*").alias("n_full")), "doc_id")
 
 
 @query("""with b as (select distinct cand_id, paper_id, cand_pos * 10.0 as x0, (coalesce(year, 2000) - 2000) * 10.0 as y0 from candidates), p as (select distinct paper_id, (pos % 5) * 10.0 as x0, (coalesce(year, 2000) - 2000) * 10.0 as y0 from papers)

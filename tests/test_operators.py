@@ -97,7 +97,10 @@ def test_layout(spark):
 def test_captions_and_runs(spark):
     rows = [("d", 1, 0, "Figure 1: A plot", 100.0), ("d", 1, 1, "that goes on.", 90.0), ("d", 1, 2, "Body.", 80.0)]
     cap = layout.captions(spark.createDataFrame(rows, "doc string, page int, line int, text string, y double")).collect()
-    assert [(c.caption, c.n_lines) for c in cap] == [("Figure 1: A plot that goes on.", 2)]
+    assert [(c.caption, c.n_lines) for c in cap] == [("Figure 1: A plot that goes on. Body.", 3)]  # a full stop counts after 50 characters
+    long = [("d", 1, 0, "Table 2: Results of all methods on the sets", 9.0, 100.0), ("d", 1, 1, "named above, with errors.", 9.0, 90.0), ("d", 1, 2, "Body.", 9.0, 80.0), ("d", 1, 3, "Table 3: Short", 9.0, 60.0), ("d", 1, 4, "far right", 80.0, 50.0), ("d", 1, 5, "1 Intro", 9.0, 40.0)]
+    cap = layout.captions(spark.createDataFrame(long, "doc string, page int, line int, text string, x_min double, y double")).collect()
+    assert sorted((c.caption, c.n_lines) for c in cap) == [("Table 2: Results of all methods on the sets named above, with errors.", 2), ("Table 3: Short", 1)]
     df = spark.createDataFrame([(1, p, n) for p, n in enumerate([5, 5, 0, 5, 0, 0, 0, 5])], "g int, p int, n int")
     got = sorted((r.run_start, r.run_end) for r in layout.runs(df, ["g"], "p", F.col("n"), 1, 1).collect())
     assert got == [(0, 3), (7, 7)]
@@ -229,3 +232,93 @@ def test_materialized_tables_can_be_released(spark):
     release(spark)
     with pytest.raises(Exception, match=r"(?i)not.exist|not found|file"):
         kept.collect()
+
+
+LINE_ROWS = "doc string, page int, line int, text string, x_min double, x_max double, y double, font_size double"
+
+
+def test_lines_keep_the_first_fragments_height_and_count_missing_fonts(spark):
+    frags = [("d", 1, 0, "b", 80.0, 101.0, None), ("d", 1, 1, "a", 10.0, 99.0, 12.0), ("d", 1, 2, "c", 10.0, 98.4, 12.0), ("d", None, 3, "x", 1.0, 1.0, 1.0), ("d", 1, 4, None, 1.0, 1.0, 1.0)]
+    lines = layout.lines_of(spark.createDataFrame(frags, "doc string, page int, frag int, text string, x double, y double, font_size double")).orderBy("line").collect()
+    # the anchor is the row's first fragment from the top (101): 98.4 is beyond 2.5 of it though not of 99
+    assert [(r.text, r.y, r.font_size) for r in lines] == [("a b", 99.0, 10.0), ("c", 98.4, 12.0)]
+    assert layout.lines_of(spark.createDataFrame([], "doc string, page int, frag int, text string, x double, y double, font_size double")).count() == 0
+
+
+def test_page_blocks_and_regions(spark):
+    rows = [
+        (0, "1 Intro", 10.0, 700.0), (1, "Plain text here", 10.0, 690.0), (2, "axis label", 30.0, 640.0), (3, "42", 30.0, 630.0), (4, "Figure 1: A plot", 10.0, 600.0),
+        (5, "x = 3 + 4 = 7", 10.0, 560.0), (6, "y = 1 + 2 = 3", 10.0, 550.0), (7, "Table 1: Numbers", 10.0, 500.0), (8, "1 2 3", 10.0, 470.0), (9, "4 5 6", 10.0, 460.0), (10, "after the table", 10.0, 400.0),
+    ]
+    lines = spark.createDataFrame([("d", 1, i, t, x, x + 100.0, y, 10.0) for i, t, x, y in rows], LINE_ROWS)
+    kinds = {(r.kind, r.head): (r.caption_lines, r.content_lines) for r in layout.page_structure(lines).collect()}
+    assert kinds == {("figure", 4): ([4], [2]), ("table", 7): ([7], [8, 9]), ("equation", 5): ([], [5, 6])}
+    blocks = layout.page_blocks(lines).orderBy("block").collect()
+    assert [(b.block_type, b.text, b.caption) for b in blocks] == [
+        ("heading", "1 Intro", None), ("text", "Plain text here", None), ("text", "axis label 42", None), ("figure", None, "Figure 1: A plot"),
+        ("equation", "x = 3 + 4 = 7\ny = 1 + 2 = 3", None), ("table", "1 2 3\n4 5 6", "Table 1: Numbers"), ("text", "after the table", None),
+    ]
+    region = spark.createDataFrame([("d", 1, "figure", "F", 0.0, 620.0, 200.0, 660.0)], "doc string, page int, block_type string, caption string, x0 double, y0 double, x1 double, y1 double")
+    left = layout.with_regions(layout.page_blocks(lines), region).collect()
+    assert sorted((b.block_type, b.caption) for b in left if b.block_type in ("figure", "table")) == [("figure", "F")] and "axis label 42" not in [b.text for b in left]
+    assert layout.page_blocks(lines.limit(0)).count() == 0
+    assert set(layout.block_payload(layout.page_blocks(lines)).columns) == {"block_type", "text", "caption"}
+    told = layout.page_blocks(lines.where("line = 1").withColumn("text", F.lit("Appendix Contents")))
+    assert layout.without_contents_pages(spark.createDataFrame([("d", 1, "text", "Appendix Contents"), ("d", 1, "text", "a"), ("d", 2, "text", "b")], "doc string, page int, block_type string, text string")).count() == 1 and told.count() == 0
+
+
+def test_document_metadata(spark):
+    text = ["Published as a conference paper at X", "A STUDY OF", "LONG TITLES", "Jane Roe, John Doe", "University of Somewhere", "ABSTRACT", "We show", "some-", "thing.", "1 Introduction", "Body"]
+    lines = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(text)] + [("e", 1, 0, "No title here"), ("f", 2, 0, "ONLY PAGE TWO")], "doc string, page int, line int, text string")
+    got = {r.doc: (r.title, r.authors, r.institutions, r.abstract) for r in layout.document_metadata(lines).collect()}
+    assert got == {"d": ("A STUDY OF LONG TITLES", ["Jane Roe, John Doe"], ["University of Somewhere"], "We show something."), "e": ("", [], [], "")}
+
+
+def test_line_arrays_agree_with_windows(spark):
+    rng = np.random.default_rng(5)
+    rows = [(d, p, "x" * int(rng.integers(0, 12)) if rng.random() < 0.8 else rng.choice(["## A", "## B", "## References"])) for d in range(30) for p in range(int(rng.integers(0, 25)))]
+    lines = spark.createDataFrame([(d, p, str(t)) for d, p, t in rows], "doc int, pos int, line string")
+    docs = lines.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]).alias("a"))
+    plain = {tuple(r) for r in layout.runs(lines, ["doc"], "pos", F.length("line"), 6, 1).collect()}
+    assert {tuple(r) for r in docs.select("doc", F.inline(layout.line_runs(F.col("a"), 6, 1))).collect()} == plain
+    head = F.when(F.startswith("line", F.lit("## ")), F.expr("substr(line, 4)"))
+    window = layout.filled_sections(lines, "doc", ["pos"], head, F.col("line") == "## References").groupBy("doc", "section").agg(F.count("*").alias("n"))
+    arrays = docs.select("doc", F.inline(layout.line_sections(F.col("a"), "## ", "## References"))).groupBy("doc", "heading").agg(F.sum("n_lines").alias("n"))
+    assert {tuple(r) for r in arrays.collect()} == {tuple(r) for r in window.collect()}
+
+
+def test_mining_records_and_states(spark):
+    from corpusforge.operators import forum, mining
+
+    raw = spark.sql("""select 1 as i, parse_json('{"title": " T ", "link": "https://arxiv.org/abs/2401.01234v2", "publication_info": "A B - NeurIPS, 2023 - x.org", "resources": [{"file": {"link": "https://a.b/c.pdf"}}]}') as item
+        union all select 2, parse_json('{"title": ""}') union all select 3, parse_json('[1]') union all select 4, null""")
+    got = mining.candidates_in(raw, "item", ["i"]).collect()
+    assert [(r.i, r.paper_title, r.arxiv_id, r.year, r.venue, r.pdf_url, r.authors) for r in got] == [(1, "T", "2401.01234", 2023, "x.org", "https://a.b/c.pdf", [])]
+    have = spark.createDataFrame([("a", "ICLR", 1), ("b", "TMLX", 1), ("c", "TMLX", 1), ("c", "NeurIPS.cc", 2)], "id string, venue string, pos int")
+    wanted = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("d",), (None,)], "id string")
+    assert sorted((r.id, r.stale) for r in forum.to_fetch(wanted, have).collect()) == [("a", True), ("c", True), ("d", False)]
+    ids = spark.createDataFrame([(" a, b ,,a",), ("",), (None,)], "s string").select(forum.requested_ids(F.col("s"))).collect()
+    assert [r[0] for r in ids] == [["a", "b"], [], None]
+
+
+def test_key_rings_are_sent_to_workers(spark):
+    from corpusforge.operators.mocks import keyword_model
+
+    rings = [textmodel.KeyRing([k], retries=1) for k in "ab"]
+    out = textmodel.answered(spark.createDataFrame([(f"p{i}",) for i in range(12)], "prompt string"), "prompt", lambda prompt, key: key + prompt, rings=rings).collect()
+    assert {r.answer[1:] for r in out} == {f"p{i}" for i in range(12)} and {r.answer[0] for r in out} == {"a", "b"}
+    assert keyword_model("x") == keyword_model("x")
+
+
+def test_forum_content_lines(spark):
+    from corpusforge.operators import forum
+
+    rows = spark.sql("""select 'f' as forum, '1' as id, 'review' as kind, map('a', 'x', 'b', 'y') as content, 1 as pos union all select 'f', '2', 'decision', map('decision', 'Accept'), 2 union all select 'f', '3', 'review', map('a', 'z'), 3 union all select 'f', '4', 'other', map('a', 'q'), 4""")
+    got = {(r.section, r.page): r.text for r in forum.content_lines(rows, {"review": "Review", "decision": "Decision"}, page=1).collect()}
+    assert got == {("Review", 0): "=== Review ===\n[Review/Entry 1/a] a: x\n[Review/Entry 1/b] b: y", ("Review", 1): "[Review/Entry 2/a] a: z", ("Decision", 0): "=== Decision ===\n[Decision/decision] decision: Accept"}
+
+
+def test_resume_helpers(spark):
+    done = spark.createDataFrame([("b", 1), ("a", 2), ("z", 3)], "k string, v int")
+    targets = spark.createDataFrame([("a", 10), ("b", 5), ("a", 11)], "k string, pos int")
+    assert [r.k for r in dedupe.in_first_order(dedupe.still_wanted(done, targets, ["k"]), targets, "k").collect()] == ["b", "a"]
