@@ -50,6 +50,12 @@ def slug(c: Column, limit: int | None = 80, default: str = "item") -> Column:
     return F.coalesce(F.nullif(F.substring(out, 1, limit) if limit else out, F.lit("")), F.lit(default))
 
 
+def dataset_slug(c: Column) -> Column:
+    """Name of a dataset for paths: letters, digits, underscores and hyphens kept, anything else an underscore, none at the ends."""
+    out = F.regexp_replace(F.regexp_replace(strip(c), r"[^\p{L}\p{N}_-]", "_"), "^_+|_+$", "")
+    return F.coalesce(F.nullif(out, F.lit("")), F.lit("generated_queries"))
+
+
 def short_hash(c: Column, length: int = 12) -> Column:
     return F.substring(F.sha1(c), 1, length)
 
@@ -143,6 +149,11 @@ def centered_fit(score: Column, ideal: float = 3.0) -> Column:
     return F.when(score.isNotNull(), F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(score - F.lit(ideal)) / F.lit(2.0)))
 
 
+def similarity_to(value: Column, mean: Column) -> Column:
+    """1 at the mean, less by half for every unit away, 0 at least; null where one is null."""
+    return F.when(value.isNotNull() & mean.isNotNull(), F.greatest(F.lit(0.0), F.lit(1.0) - F.abs(value - mean) / F.lit(2.0)))
+
+
 def python_title(c: Column) -> Column:
     """Every run of letters with a capital first and the rest small."""
     spaced = F.regexp_replace(F.lower(c), r"(?U)(?<=[^\p{L}]|^)(?=\p{L})", "\u0001")

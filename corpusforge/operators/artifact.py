@@ -37,3 +37,45 @@ def totals(artifact: DataFrame) -> DataFrame:
     """(n_papers, n_queries, n_hard_negatives, n_positives) of an artifact, from its nested sizes."""
     inner = lambda label: F.aggregate("queries", F.lit(0), lambda acc, q: acc + F.size(q[f"{label}s"]))
     return artifact.agg(F.count("*").alias("n_papers"), F.sum(F.size("queries")).alias("n_queries"), F.sum(inner("hard_negative")).alias("n_hard_negatives"), F.sum(inner("positive")).alias("n_positives"))
+
+
+def titles(downloaded: DataFrame, generated: DataFrame, analysed: DataFrame) -> DataFrame:
+    """(paper_id, title) of tables (paper_id, title, pos): of the first table that knows the paper, even if its title is empty; null titles count as empty; of several rows the last."""
+    sides = [df.select("paper_id", "title", F.col("pos").cast("bigint").alias("pos"), F.lit(i).alias("side")) for i, df in enumerate((downloaded, generated, analysed))]
+    rows = sides[0].unionByName(sides[1]).unionByName(sides[2]).where("paper_id is not null")
+    return rows.groupBy("paper_id").agg(F.max_by(F.struct("title"), F.struct((-F.col("side")).alias("s"), "pos"))["title"].alias("title")).withColumn("title", F.coalesce("title", F.lit("")))
+
+
+HEADER = ("abstract", "pdf_url", "venue", "year", "authors")
+FORUM_URL = "https://openreview.net/forum?id="  # fixed value
+
+
+def headers(ids: DataFrame, downloaded: DataFrame, analysed: DataFrame) -> DataFrame:
+    """(paper_id, forum_url, HEADER, n_notes, origin) of every id: from the download if it knows the paper, else from the analysis, else nulls.
+
+    downloaded and analysed: (paper_id, pos, HEADER); downloaded may have n_notes. origin is download, analysis or none.
+    """
+    def last(df: DataFrame, name: str) -> DataFrame:
+        row = F.struct(*[F.col(c) for c in HEADER], (F.col("n_notes") if "n_notes" in df.columns else F.lit(0)).cast("bigint").alias("n_notes"))
+        return df.groupBy("paper_id").agg(F.max_by(row, "pos").alias(name))
+
+    both = ids.select("paper_id").where("paper_id is not null").distinct().join(last(downloaded, "d"), "paper_id", "left").join(last(analysed, "a"), "paper_id", "left")
+    known, judged = F.col("d").isNotNull(), F.col("a").isNotNull()
+    pick = lambda c: F.when(known, F.col(f"d.{c}")).otherwise(F.col(f"a.{c}"))
+    return both.select(
+        "paper_id", F.concat(F.lit(FORUM_URL), "paper_id").alias("forum_url"), *[pick(c).alias(c) if c != "authors" else F.coalesce(pick(c), F.array().cast("array<string>")).alias(c) for c in HEADER],
+        F.when(known, F.coalesce("d.n_notes", F.lit(0))).otherwise(0).cast("bigint").alias("n_notes"), F.when(known, "download").when(judged, "analysis").otherwise("none").alias("origin"),
+    )
+
+
+def filter_status(ids: DataFrame, filtered: DataFrame) -> DataFrame:
+    """(paper_id, passed, reason, score) of ids: as filtered (paper_id, passed, pos); unknown papers have nulls, a missing verdict counts as passed. Reason and score are never written and stay null."""
+    last = filtered.groupBy("paper_id").agg(F.max_by(F.coalesce("passed", F.lit(True)), "pos").alias("passed"))
+    return ids.select("paper_id").distinct().join(last, "paper_id", "left").select("paper_id", "passed", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("double").alias("score"))
+
+
+def analysed_queries(queries: DataFrame, analysis: DataFrame, columns: list[str]) -> DataFrame:
+    """queries with columns of their analysis, looked up by text and view within the paper; of several analyses of one key the one of highest pos."""
+    key = ["paper_id", "query_text", "source_view"]
+    last = analysis.groupBy(*key).agg(F.max_by(F.struct(*columns), "pos").alias("a"))
+    return queries.join(last, key, "left").select(*queries.columns, *[F.col(f"a.{c}").alias(c) for c in columns])

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.plans import artifact_queries, layout_queries, mining_queries, model_queries, nested_queries, store_queries, text_queries
+from corpusforge.plans import artifact_queries, layout_queries, mining_queries, model_queries, nested_queries, record_queries, store_queries, text_queries
 
-MODULES = (text_queries, store_queries, artifact_queries, model_queries, mining_queries, layout_queries, nested_queries)
+MODULES = (text_queries, store_queries, artifact_queries, model_queries, mining_queries, layout_queries, record_queries, nested_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

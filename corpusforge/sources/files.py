@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _at(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, hadoop = _at(spark, path)
+    return system.exists(hadoop)
+
+
+def count_folders(spark: SparkSession, path: str) -> int:
+    """How many folders a folder holds; 0 if it is absent."""
+    system, hadoop = _at(spark, path)
+    return sum(1 for x in system.listStatus(hadoop) if x.isDirectory()) if system.exists(hadoop) else 0
 
 
 def records(spark: SparkSession, path: str, schema: str, array: str, strict: bool = True, optional: bool = False) -> DataFrame:
@@ -23,7 +34,7 @@ def records(spark: SparkSession, path: str, schema: str, array: str, strict: boo
     """
     item = T._parse_datatype_string(schema)
     whole = T.StructType([T.StructField(array, T.ArrayType(item))])
-    if optional and not _exists(spark, path):
+    if optional and not exists(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField("pos", T.IntegerType()), *item.fields]))
     reader = spark.read.schema(whole).option("multiLine", True).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     return reader.json(path).select(F.posexplode(array).alias("pos", "r")).select("pos", "r.*")
@@ -38,9 +49,41 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def json_object(path: str, optional: bool = False) -> dict | None:
+    """The object of one small JSON file; None for an absent optional one; an error for any other top level."""
+    file = Path(path)
+    if optional and not file.is_file():
+        return None
+    value = json.loads(file.read_text(encoding="utf-8"))
+    if not isinstance(value, dict):
+        raise ValueError(f"{path}: the top level is no object")
+    return value
+
+
+def save_object(path: str, value: dict) -> None:
+    """A small JSON file as a whole, indented, non-ASCII kept."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=2), encoding="utf-8")
+
+
+def judgements(path: str) -> dict:
+    """A file of judgements by query; one of schema version 1 without any where it is absent or has no version."""
+    return {"schema_version": 1, "judgments": {}} | (json_object(path, optional=True) or {})
+
+
 def settings(path: str | None, defaults: dict) -> dict:
-    """A small configuration file (JSON) over defaults, merged level by level; defaults alone if it is absent."""
-    given = json.loads(Path(path).read_text()) if path and Path(path).exists() else {}
+    """A small configuration file (JSON, or YAML where a parser is installed) over defaults, merged level by level; defaults alone if it is absent."""
+    given = {}
+    if path and Path(path).exists():
+        text = Path(path).read_text(encoding="utf-8")
+        if path.endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as missing:
+                raise RuntimeError("YAML settings need a YAML parser; JSON does not") from missing
+            given = yaml.safe_load(text) or {}
+        else:
+            given = json.loads(text)
 
     def merge(a: dict, b: dict) -> dict:
         return a | {k: merge(a[k], v) if isinstance(v, dict) and isinstance(a.get(k), dict) else v for k, v in b.items()}

@@ -322,3 +322,87 @@ def test_resume_helpers(spark):
     done = spark.createDataFrame([("b", 1), ("a", 2), ("z", 3)], "k string, v int")
     targets = spark.createDataFrame([("a", 10), ("b", 5), ("a", 11)], "k string, pos int")
     assert [r.k for r in dedupe.in_first_order(dedupe.still_wanted(done, targets, ["k"]), targets, "k").collect()] == ["b", "a"]
+
+
+def test_throttle_and_fallback_listing():
+    from corpusforge.sources import forum
+
+    now, tries = [0.0], []
+
+    def ask(x):
+        tries.append(now[0])
+        if len(tries) == 2:
+            raise forum.RateLimited(reset=100.0)
+        if len(tries) == 3:
+            raise forum.RateLimited()
+        return x
+
+    t = forum.Throttle(clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
+    assert [t.call(ask, 1), t.call(ask, 2)] == [1, 2] and tries == [0.0, 22.0, 100.0, 160.0]
+    fails = forum.Throttle(tries=1, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
+    with pytest.raises(forum.RateLimited):
+        fails.call(lambda: (_ for _ in ()).throw(forum.RateLimited()))
+    assert forum.first_nonempty([("a", lambda: []), ("b", lambda: 1 / 0), ("c", lambda: [3]), ("d", lambda: [4])]) == ([3], "c")
+    assert forum.first_nonempty([("a", lambda: [])]) == ([], "a") and forum.first_nonempty([]) == ([], "")
+
+
+def test_forum_dispatch(spark):
+    from corpusforge.sources import forum
+
+    assert [r.paper_id for r in forum.fetched(spark, [2024], ids=["paper_2023_4", "nope", "paper_2023_4", "paper_2024_1"]).orderBy("pos").collect()] == ["paper_2023_4", "paper_2024_1"]
+    kept = forum.fetched(spark, [2024], limit=3, client="corpusforge.sources.forum:StubClient", keep=lambda d: d.where("pos % 2 = 1"))
+    assert [r.pos for r in kept.collect()] == [1, 3, 5]
+    assert forum.fetched(spark, [2024], limit=4).count() == 4
+
+
+def test_small_files(tmp_path, spark):
+    from corpusforge.sources import files, search
+
+    path = str(tmp_path / "x" / "a.json")
+    assert files.json_object(path, optional=True) is None and files.judgements(path) == {"schema_version": 1, "judgments": {}}
+    files.save_object(path, {"ä": 1})
+    assert files.json_object(path) == {"ä": 1} and "ä" in (tmp_path / "x" / "a.json").read_text()
+    (tmp_path / "l.json").write_text("[1]")
+    with pytest.raises(ValueError):
+        files.json_object(str(tmp_path / "l.json"))
+    q = spark.createDataFrame([("a",), ("",), (None,)], "q string")
+    client = lambda text, n: ({"title": f"{text}{i}"} for i in range(99))
+    assert search.records_from_client(q, "q", client, 50).count() == 20 and search.records_from_client(q, "q", client, 50, most=None).count() == 50
+    spark.createDataFrame([(1, "a,b\nc")], "i int, t string").write.option("header", True).csv(str(tmp_path / "c"))
+    assert files.delimited(spark, str(tmp_path / "c"), "i int, t string").first().t == "a,b\nc"
+    files.write_artifact(spark.createDataFrame([(1, None)], "i int, t string"), str(tmp_path / "j"))
+    assert files.json_lines(spark, str(tmp_path / "j"), "i int, t string").collect()[0].asDict() == {"i": 1, "t": None}
+    kept = spark.createDataFrame([("A ", 2, "t2"), ("a", 1, "t1"), ("b", 1, "t3")], "search_query string, rank int, paper_title string")
+    assert [r.paper_title for r in search.from_table(spark.createDataFrame([("a",)], "q string"), kept, "q", 5).orderBy("rank").collect()] == ["t1", "t2"]
+
+
+def test_stages_run_and_resume(spark, tmp_path):
+    from corpusforge.plans import stages
+
+    papers = spark.createDataFrame([(f"p{i}", f"Paper {i} accepted", "figure one and table two", i) for i in range(6)], "paper_id string, title string, abstract string, pos int")
+    index = spark.createDataFrame([("w", 0, 7, "T", None, None, None, 2020, ["A B"], None, "https://x/y.pdf")], "search_query string, rank int, cand_id bigint, paper_title string, arxiv_id string, abstract string, venue string, year int, authors array<string>, url string, pdf_url string")
+    asked = []
+    s = stages.Settings(limit=4)
+    work = lambda p: stages.default_work(spark, p, index, s)
+    out = stages.run("0-4", work(papers), str(tmp_path))
+    rows = out.collect()
+    assert {r.paper_id for r in rows} == {"p0", "p1", "p2", "p3"} and all(r.decision in ("Keep", "Hard Reject") for r in rows)
+    assert [r.pos for r in rows] == sorted(r.pos for r in rows)
+    # a second run with more papers does only these; papers that are gone are dropped
+    s.limit, s.summary_model = None, lambda p: asked.append(p) or "none"
+    more = papers.where("pos > 0").unionByName(spark.createDataFrame([("p9", "New accepted", "figure, table", 9)], papers.schema))
+    again = stages.run("0-5", work(more), str(tmp_path))
+    assert again.columns and {r.paper_id for r in spark.read.parquet(f"{tmp_path}/02_summarize/part=*").collect()} == {"p0", "p1", "p2", "p3", "p4", "p5", "p9"}
+    assert len(list((tmp_path / "02_summarize").glob("part=*"))) == 2
+
+
+def test_reports():
+    from corpusforge.operators import reports
+
+    assert [reports.number(x) for x in (1.0, None, float("nan"), "x")] == ["1.000", "N/A", "N/A", "N/A"] and reports.percent(0.125) == "12.5%" and reports.whole(1234) == "1,234" and reports.cell("a|b\nc") == "a\\|b c"
+    m = {"query_count": 3, "avg_chars": 10.0, "avg_tokens": 2.0, "unmatched_ratio": 0.5}
+    text = reports.comparison("T", {"human": m, "made": m | {"query_count": 5}}, "human", {"made": {"hc_overall": 0.5}}, [{"human": "q|1", "made": None}])
+    assert "| Query count | 3 | 5 |" in text and "| hc_overall | - | 0.500 |" in text and "| 1 | q\\|1 |  |" in text and "| Unmatched templates | 50.0% | 50.0% |" in text
+    with pytest.raises(ValueError):
+        reports.comparison("T", {"made": m}, "human", {}, [])
+    assert reports.style_report("d", m | {"specificity_score": 3.0}, [("other", "q")]).endswith("- [other] q\n") and "| p | t | 2 | 1 |" in reports.analysis_report({"n_keep": 1}, [{"paper_id": "p", "title": "t", "n_queries": 2, "n_keep": 1}])
