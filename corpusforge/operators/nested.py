@@ -18,7 +18,7 @@ input are ignored. Of a field that occurs twice in one object the last holds.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -33,16 +33,22 @@ ARTIFACT_PATHS = {
     "papers.queries.hard_negative_context.positives": ("list", "record"),
     "papers.queries.hard_negative_context.keywords_extracted": ("list", "text"),
     "papers.queries.query_analysis": ("object", "record"),
+    "papers.openreview": ("object", "record"),
+    "papers.openreview.reviews": ("list", "record"),
+    "papers.openreview.rebuttals": ("list", "record"),
+    "papers.openreview.comments": ("list", "record"),
+    "papers.openreview.decision": ("object", "record"),
+    "papers.filter_status": ("object", "record"),
+    "papers.summary_views": ("list", "record"),
+    "papers.summary_views.bullet_points": ("list", "record"),
 }
 
 NODE_SCHEMA = "doc_key bigint, path string, dewey string, value string, fields map<string,string>"
 
-_MAX_WRAPPINGS = 32
-
 
 def plain(value):
-    """The value without wrappings: {"value": x} is x, JSON text of an object, list, string or null is that."""
-    for _ in range(_MAX_WRAPPINGS):
+    """The value without wrappings, however many: {"value": x} is x, JSON text of an object, list, string or null is that."""
+    while True:
         if isinstance(value, dict) and len(value) == 1 and "value" in value:
             value = value["value"]
             continue
@@ -55,7 +61,6 @@ def plain(value):
                 except (ValueError, RecursionError):
                     return value
         return value
-    return value
 
 
 def _scalar(value) -> str | None:
@@ -65,7 +70,8 @@ def _scalar(value) -> str | None:
     return json.dumps(value, ensure_ascii=False, sort_keys=True)
 
 
-def _children(tree: dict, record: dict, path: str, dewey: tuple, with_fields: bool) -> Iterator[tuple]:
+def _children(tree: dict, record: dict, path: str, dewey: tuple, with_fields: bool, wanted: frozenset) -> Iterator[tuple]:
+    """Nodes of the wanted paths below a record; the way to them is walked, but yields nothing itself."""
     for name, (shape, kind, below) in tree.items():
         if name not in record:
             continue
@@ -76,17 +82,20 @@ def _children(tree: dict, record: dict, path: str, dewey: tuple, with_fields: bo
             item = plain(item)
             label = (*dewey, at)
             if kind == "text":
-                if isinstance(item, str) and item.strip():
+                if where in wanted and isinstance(item, str) and item.strip():
                     yield where, label, item, None
             elif isinstance(item, dict):
-                fields = {k: _scalar(v) for k, v in item.items() if k not in below} if with_fields else None
-                yield where, label, None, fields
-                yield from _children(below, item, where, label, with_fields)
+                if where in wanted:
+                    yield where, label, None, {k: _scalar(v) for k, v in item.items() if k not in below} if with_fields else None
+                yield from _children(below, item, where, label, with_fields, wanted)
 
 
-def _tree(paths: dict) -> dict:
+def _tree(paths: dict, wanted: frozenset) -> dict:
+    """The paths that lead to wanted ones as nested names."""
     root: dict = {}
     for path, (shape, kind) in paths.items():
+        if not any(w == path or w.startswith(path + ".") for w in wanted):
+            continue
         *above, name = path.split(".")
         at = root
         for part in above:
@@ -95,13 +104,16 @@ def _tree(paths: dict) -> dict:
     return root
 
 
-def dewey_nodes(df: DataFrame, key: str, payload: str, paths: dict | None = None, with_fields: bool = True) -> DataFrame:
+def dewey_nodes(df: DataFrame, key: str, payload: str, paths: dict | None = None, with_fields: bool = True, only: Iterable[str] | None = None) -> DataFrame:
     """Rows (doc_key, path, dewey, value, fields), one per record or text element of the wanted schema paths.
 
     A narrow operator: each document is read where it lies, nothing is shuffled but the distinct
-    over the result. `paths` names the wanted paths as in ARTIFACT_PATHS; parents come first.
+    over the result. `paths` names the paths as in ARTIFACT_PATHS, parents first; `only` those to give
+    rows of (all without it), so a table of one path is made without the rows of the others.
     """
-    tree = _tree(ARTIFACT_PATHS if paths is None else paths)
+    known = ARTIFACT_PATHS if paths is None else paths
+    wanted = frozenset(known if only is None else only)
+    tree = _tree(known, wanted)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -114,7 +126,7 @@ def dewey_nodes(df: DataFrame, key: str, payload: str, paths: dict | None = None
                 except (ValueError, RecursionError):
                     continue
                 if isinstance(root, dict):
-                    rows += [(doc, p, ".".join(map(str, d)), v, f) for p, d, v, f in _children(tree, root, "", (), with_fields)]
+                    rows += [(doc, p, ".".join(map(str, d)), v, f) for p, d, v, f in _children(tree, root, "", (), with_fields, wanted)]
             yield pd.DataFrame(rows, columns=["doc_key", "path", "dewey", "value", "fields"])
 
     source = df.select(F.col(key).cast("bigint").alias("doc_key"), F.col(payload).alias("payload")).where("doc_key is not null and payload is not null")
@@ -156,12 +168,11 @@ QUERY_CHILDREN = {
 
 def query_children(df: DataFrame, key: str = "artifact_id", payload: str = "payload") -> DataFrame:
     """(artifact_id, paper_pos, query_pos, child, child_pos): one row per child of a query; parents by truncation."""
-    nodes = dewey_nodes(df, key, payload, with_fields=False)
+    nodes = dewey_nodes(df, key, payload, with_fields=False, only=QUERY_CHILDREN.values())
     label = F.col("dewey")
     kinds = F.create_map(*[F.lit(x) for kind, path in QUERY_CHILDREN.items() for x in (path, kind)])
     return (
-        nodes.where(F.col("path").isin(*QUERY_CHILDREN.values()))
-        .select(
+        nodes.select(
             F.col("doc_key").alias("artifact_id"),
             ordinal(label, 0).alias("paper_pos"),
             ordinal(label, 1).alias("query_pos"),

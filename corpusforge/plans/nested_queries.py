@@ -14,40 +14,50 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return nested.query_children(table(spark, folder, "pipeline_output"))
 
 
-def _nodes(spark: SparkSession, folder: str) -> DataFrame:
-    return nested.dewey_nodes(table(spark, folder, "pipeline_output"), "artifact_id", "payload")
+def _table(spark: SparkSession, folder: str, path: str, fields: list[str]) -> DataFrame:
+    """The flat table of one path, from its own records only."""
+    nodes = nested.dewey_nodes(table(spark, folder, "pipeline_output"), "artifact_id", "payload", only=[path])
+    return nested.node_table(nodes, path, fields)
 
 
 def p3_papers(spark: SparkSession, folder: str) -> DataFrame:
     """Flat papers."""
-    return nested.node_table(_nodes(spark, folder), "papers", ["paper_id", "paper_title"]).drop("value")
+    return _table(spark, folder, "papers", ["paper_id", "paper_title"]).drop("value")
 
 
 def p3_queries(spark: SparkSession, folder: str) -> DataFrame:
     """Flat queries, linked to their paper."""
-    return nested.node_table(_nodes(spark, folder), "papers.queries", ["query_text", "source_view", "related_bullet_justification"]).drop("value")
+    return _table(spark, folder, "papers.queries", ["query_text", "source_view", "is_multimodal", "related_bullet_justification"]).drop("value")
+
+
+FOUND = ["paper_title", "arxiv_id", "venue", "year", "authors", "abstract", "url", "pdf_url", "citations", "source_query"]
 
 
 def p3_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Flat hard negatives, linked to their context."""
-    path = nested.QUERY_CHILDREN["hard_negative"]
-    return nested.node_table(_nodes(spark, folder), path, ["paper_title", "arxiv_id", "venue", "year", "hard_negative_reason"]).drop("value")
+    return _table(spark, folder, nested.QUERY_CHILDREN["hard_negative"], [*FOUND, "hard_negative_reason"]).drop("value")
 
 
 def p3_positives(spark: SparkSession, folder: str) -> DataFrame:
     """Flat positives, linked to their context."""
-    path = nested.QUERY_CHILDREN["positive"]
-    return nested.node_table(_nodes(spark, folder), path, ["paper_title", "arxiv_id", "venue", "year", "positive_reason"]).drop("value")
+    return _table(spark, folder, nested.QUERY_CHILDREN["positive"], [*FOUND, "positive_reason"]).drop("value")
 
 
 def p3_keywords(spark: SparkSession, folder: str) -> DataFrame:
     """Flat keywords, linked to their context."""
-    return nested.node_table(_nodes(spark, folder), nested.QUERY_CHILDREN["keyword"]).withColumnRenamed("value", "keyword")
+    return _table(spark, folder, nested.QUERY_CHILDREN["keyword"], []).withColumnRenamed("value", "keyword")
 
 
 def p3_analyses(spark: SparkSession, folder: str) -> DataFrame:
-    """Flat analyses, linked to their query."""
-    return nested.node_table(_nodes(spark, folder), nested.QUERY_CHILDREN["analysis"], ["decision"]).drop("value")
+    """Flat analyses, linked to their query: decision, verdict, lengths, template, scores and counts."""
+    rows = _table(spark, folder, nested.QUERY_CHILDREN["analysis"], ["decision", "retrieval_evaluation", "style_evaluation"]).drop("value")
+    inside = lambda column, path, kind: F.try_variant_get(F.try_parse_json(column), path, kind)
+    rule, judged = "$.rule_based", "$.llm_based"
+    return rows.select(
+        "doc_key", "node", "parent_node", "position", "decision", inside("retrieval_evaluation", "$.full_paper_reliance", "string").alias("full_paper_reliance"),
+        inside("style_evaluation", f"{rule}.token_length", "int").alias("token_length"), inside("style_evaluation", f"{rule}.question_template", "string").alias("question_template"), inside("style_evaluation", f"{rule}.matched_template", "boolean").alias("matched_template"),
+        inside("style_evaluation", f"{judged}.specificity_calibration_score", "int").alias("specificity"), inside("style_evaluation", f"{judged}.lexical_naturalism_score", "int").alias("naturalism"), inside("style_evaluation", f"{judged}.semantic_constraint_count", "int").alias("constraint_count"),
+    )
 
 
 def p3_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,7 +68,7 @@ def p3_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def legacy_alias_resolution(spark: SparkSession, folder: str) -> DataFrame:
     """Queries of all artifacts with the number of their bullet, under whichever name it stands."""
-    queries = _nodes(spark, folder).where("path = 'papers.queries'")
+    queries = nested.dewey_nodes(table(spark, folder, "pipeline_output"), "artifact_id", "payload", only=["papers.queries"])
     return queries.select("doc_key", F.col("dewey").alias("node"), notes.bullet_number(F.col("fields")).alias("bullet")).distinct()
 
 
