@@ -87,7 +87,7 @@ def sentence_bounds(text: str, n_words: int) -> list[int]:
 class Items:
     """The items of one block: words, word numbers, seed table."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple]):
         read = [(i, t, fold_words(t)) for i, t in rows]
         self.words = [(i, w) for i, _, w in read if w]
         fills: dict[tuple[str, str], set[str]] = {}
@@ -109,9 +109,8 @@ class Items:
                 owner.append(np.full(len(s), k, np.int32))
                 place.append(np.arange(len(s), dtype=np.int32))
         self.lengths = np.array([len(x) for x in self.ids], np.int64)
-        self.matrix = np.zeros((len(self.ids), int(self.lengths.max(initial=0))), np.uint64)  # items as rows, 0 beyond their end
-        for k, ids in enumerate(self.ids):
-            self.matrix[k, : len(ids)] = ids
+        self.flat = np.concatenate(self.ids) if self.ids else np.zeros(0, np.uint64)  # all items one after the other
+        self.begin = np.cumsum(self.lengths) - self.lengths
         self.short = [k for k, ids in enumerate(self.ids) if len(ids) < max(map(len, MASKS))]
         self.seeds = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
         order = np.argsort(self.seeds, kind="stable")
@@ -162,20 +161,33 @@ def _context(words: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b(" ".join(words).encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _verify(words: list[str], ids: np.ndarray, items: Items, least_run: int) -> Iterator[tuple]:
+def _promising(ids: np.ndarray, items: Items, at_once: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """(item, diagonal) of the hits that agree in enough words: a passage of 14 words with two replaced agrees in 12.
+
+    Each diagonal is compared on its own length, many at a time; `at_once` bounds the words in memory.
+    """
     hits = sorted(items.diagonals(ids))
     if not hits:
         return
     ks, ds = (np.array(x, np.int64) for x in zip(*hits))
-    at = ds[:, None] + np.arange(items.matrix.shape[1])
-    own_rows = items.matrix[ks]
-    equal = (ids[np.clip(at, 0, len(ids) - 1)] == own_rows) & (at >= 0) & (at < len(ids)) & (own_rows != 0)
-    # A passage of 14 words with two replaced agrees in 12; all diagonals are counted at once, few are left.
-    for row in np.flatnonzero(equal.sum(1) >= np.minimum(12, items.lengths[ks])):
-        k, d = int(ks[row]), int(ds[row])
+    lo = np.maximum(0, -ds)
+    n = np.minimum(items.lengths[ks], len(ids) - ds) - lo
+    part = np.cumsum(n) // at_once
+    for p in np.unique(part):
+        own = np.flatnonzero(part == p)
+        step = np.arange(n[own].sum()) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
+        equal = ids[np.repeat(lo[own] + ds[own], n[own]) + step] == items.flat[np.repeat(items.begin[ks[own]] + lo[own], n[own]) + step]
+        count = np.add.reduceat(equal.astype(np.int64), np.cumsum(n[own]) - n[own])
+        for i in own[count >= np.minimum(12, items.lengths[ks[own]])]:
+            yield int(ks[i]), int(ds[i])
+
+
+def _verify(words: list[str], ids: np.ndarray, items: Items, least_run: int) -> Iterator[tuple]:
+    for k, d in _promising(ids, items):
         own = items.ids[k]
+        lo, hi = max(0, -d), min(len(own), len(ids) - d)
         same = np.zeros(len(own) + 2, np.int8)
-        same[1:-1] = equal[row, : len(own)]
+        same[1 + lo : 1 + hi] = ids[lo + d : hi + d] == own[lo:hi]
         edge = np.diff(same)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
         keep = [(a, b) for a, b in zip(starts.tolist(), ends.tolist()) if b - a + 1 >= least_run or len(own) < 14]
@@ -221,6 +233,28 @@ def _accept(runs: list[tuple[int, int]], swaps: dict[int, int], stock: set[int],
     return False
 
 
+def _pieces(batches: Iterator[pd.DataFrame], most: int, overlap: int) -> Iterator[pd.DataFrame]:
+    """Items in parts of at most `most` words that overlap: the words from `first` on, and how many the whole item has."""
+    for b in batches:
+        rows = []
+        for item, text in zip(b["item_id"], b["text"]):
+            n = len(fold_words(text))
+            if n <= most:
+                rows.append((item, 0, 0, text, n, n))
+                continue
+            words = fold_words(text)
+            for i, first in enumerate(range(0, n - overlap, most - overlap)):
+                own = words[first : first + most]
+                rows.append((item, i, first, " ".join(own), len(own), n))
+        yield pd.DataFrame(rows, columns=["item_id", "piece", "first", "text", "n_words", "whole_words"])
+
+
+def _placed(found: Iterator[tuple]) -> Iterator[tuple]:
+    """Finds of parts as finds of their items: places count from the item's start."""
+    for (item, first), diagonal, runs, swaps in found:
+        yield item, diagonal - first, [(a + first, b + first, *rest) for a, b, *rest in runs], [(q + first, kind) for q, kind in swaps]
+
+
 def leaked_pairs(
     docs: DataFrame,
     items: DataFrame,
@@ -234,13 +268,14 @@ def leaked_pairs(
     spark = docs.sparkSession
     source = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     wanted = items.select("item_id", "text").where("item_id is not null and text is not null").distinct()
-    # The number of a row's block follows from the words before it; blocks are read one after the other.
-    sizes = wanted.select("item_id", "text", (F.length("text") / 2 + 1).alias("most"))
-    n_blocks = max(1, -(-int(sizes.agg(F.sum("most")).first()[0] or 0) // block_words))
+    # Blocks of about `block_words` words by hash; an item longer than a block is taken in overlapping parts, so no block outgrows a worker.
+    overlap = 4 * least_words
+    pieces = materialize(wanted.mapInPandas(lambda batches: _pieces(batches, max(block_words, 4 * overlap), overlap), "item_id bigint, piece int, first int, text string, n_words int, whole_words int"), "pieces")
+    n_blocks = max(1, -(-int(pieces.agg(F.sum("n_words")).first()[0] or 0) // block_words))
     parts = []
     for block in range(n_blocks):
-        rows = wanted.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block)
-        table = spark.sparkContext.broadcast(Items([(r.item_id, r.text) for r in rows.toLocalIterator()]))
+        rows = pieces.where(F.pmod(F.xxhash64("item_id", "piece"), F.lit(n_blocks)) == block)
+        table = spark.sparkContext.broadcast(Items([((r.item_id, r["first"]), r.text) for r in rows.toLocalIterator()]))
 
         def scan(batches: Iterator[pd.DataFrame], table=table) -> Iterator[pd.DataFrame]:
             known = table.value
@@ -249,7 +284,7 @@ def leaked_pairs(
                 for doc, text in zip(batch["doc_id"], batch["text"]):
                     words = fold_words(text)
                     ids = np.fromiter((known.number.get(w, 0) for w in words), np.uint64, len(words))
-                    out += [(doc, *x) for x in _verify(words, ids, known, least_run)]
+                    out += [(doc, *x) for x in _placed(_verify(words, ids, known, least_run))]
                 yield pd.DataFrame(out, columns=["doc_id", "item_id", "diagonal", "runs", "swaps"])
 
         parts.append(source.mapInPandas(scan, RUN_SCHEMA))
@@ -257,17 +292,15 @@ def leaked_pairs(
     for part in parts[1:]:
         runs = runs.unionByName(part)
     runs = materialize(runs, "runs")
-    n_docs = source.agg(F.approx_count_distinct("doc_id")).first()[0]
+    n_docs = source.select("doc_id").distinct().count()
     most = max(stock_least, stock_share * n_docs)
     seen = runs.select("item_id", F.explode("runs").alias("r")).where("r.hi - r.lo >= 5 and r.said is not null").select("item_id", "r.*")
     common = (
-        seen.groupBy("said").agg(F.approx_count_distinct("context", 0.03).alias("n"), F.max("bounded").alias("bounded"), F.max("part").alias("part"))
+        seen.groupBy("said").agg(F.count_distinct("context").alias("n"), F.max("bounded").alias("bounded"), F.max("part").alias("part"))
         .where((F.col("n") > most) & F.col("bounded") & F.col("part")).select("said")
     )
     stock = seen.join(common, "said", "left_semi").select("item_id", F.explode(F.sequence("lo", "hi")).alias("at")).groupBy("item_id").agg(F.collect_set("at").alias("stock"))
-    lengths = wanted.select("item_id", "text").mapInPandas(
-        lambda batches: (pd.DataFrame({"item_id": b["item_id"], "n_words": [len(fold_words(t)) for t in b["text"]]}) for b in batches), "item_id bigint, n_words int"
-    ).groupBy("item_id").agg(F.max("n_words").alias("n_words"))
+    lengths = pieces.groupBy("item_id").agg(F.max("whole_words").alias("n_words"))
     per_item = lengths.join(stock, "item_id", "left")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -93,3 +93,11 @@ def test_blocks_nulls_short_items_and_empty_tables(spark):
     one = found(spark, docs, items)
     assert one == [(1, 1), (2, 2), (4, 4)] == found(spark, docs, items, block_words=10)
     assert found(spark, [], items) == [] and found(spark, docs, []) == []
+
+
+def test_a_very_long_item_is_taken_in_parts(spark):
+    words = [f"w{(i * 7919) % 99991}x{i % 13}" for i in range(100_000)]
+    at = [0, 943, 1950, 50_000, 99_980]  # among them places where a part ends
+    docs = [(i, "before it " + " ".join(words[p : p + 20]) + " after it") for i, p in enumerate(at)] + [(90, "nothing " * 300), (91, " ".join(words[100:110]))]
+    items = [(1, " ".join(words)), (2, " ".join(text(7, 30)))]
+    assert found(spark, docs, items, block_words=1000) == [(i, 1) for i in range(len(at))] == found(spark, docs, items)
