@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def assembled(papers: DataFrame, queries: DataFrame, candidates: DataFrame, most_negatives: int | None = None) -> DataFrame:
-    """One row per paper known to any side: paper_id, title, queries (array, in order), each with its hard negatives and positives.
+PAGE = 500
 
-    Sides are folded on their own key before they meet: candidates per query, queries per paper. A
+
+def assembled(papers: DataFrame, queries: DataFrame, candidates: DataFrame, most_negatives: int | None = None, page: int = PAGE) -> DataFrame:
+    """Rows (paper_id, page, title, queries): every paper known to any side with its queries (in order), each with its hard negatives and positives.
+
+    Queries stand in pages of `page` places, so a paper with a large part of all queries is several rows; most
+    papers are one, of page 0. Sides are folded on their own key before they meet: candidates per query, queries per page. A
     query without candidates has empty lists; a paper without queries an empty list; of a paper
     crawled twice the last title holds. Candidates that arrived twice count once.
     """
@@ -20,10 +24,10 @@ def assembled(papers: DataFrame, queries: DataFrame, candidates: DataFrame, most
     if most_negatives:
         folded = folded.withColumn("hard_negatives", F.slice("hard_negatives", 1, most_negatives))
     empty = lambda c: F.coalesce(F.col(c), F.array())
-    asked = queries.join(folded, key, "left").select("paper_id", F.struct("qpos", "query_text", "source_view", "is_multimodal", empty("hard_negatives").alias("hard_negatives"), empty("positives").alias("positives")).alias("q"))
-    per_paper = asked.groupBy("paper_id").agg(F.array_sort(F.collect_list("q")).alias("queries"))
-    titles = papers.groupBy("paper_id").agg(F.max_by("title", "pos").alias("title"))
-    return titles.join(per_paper, "paper_id", "full").where("paper_id is not null").select("paper_id", "title", empty("queries").alias("queries"))
+    asked = queries.join(folded, key, "left").select("paper_id", F.floor(F.coalesce("qpos", F.lit(0)) / page).cast("int").alias("page"), F.struct("qpos", "query_text", "source_view", "is_multimodal", empty("hard_negatives").alias("hard_negatives"), empty("positives").alias("positives")).alias("q"))
+    paged = asked.groupBy("paper_id", "page").agg(F.array_sort(F.collect_list("q")).alias("queries"))
+    last = papers.groupBy("paper_id").agg(F.max_by("title", "pos").alias("title"))
+    return last.join(paged, "paper_id", "full").where("paper_id is not null").select("paper_id", F.coalesce("page", F.lit(0)).alias("page"), "title", empty("queries").alias("queries"))
 
 
 def flattened(artifact: DataFrame) -> DataFrame:
@@ -36,7 +40,8 @@ def flattened(artifact: DataFrame) -> DataFrame:
 def totals(artifact: DataFrame) -> DataFrame:
     """(n_papers, n_queries, n_hard_negatives, n_positives) of an artifact, from its nested sizes."""
     inner = lambda label: F.aggregate("queries", F.lit(0), lambda acc, q: acc + F.size(q[f"{label}s"]))
-    return artifact.agg(F.count("*").alias("n_papers"), F.sum(F.size("queries")).alias("n_queries"), F.sum(inner("hard_negative")).alias("n_hard_negatives"), F.sum(inner("positive")).alias("n_positives"))
+    sizes = artifact.groupBy("paper_id").agg(F.sum(F.size("queries")).alias("q"), F.sum(inner("hard_negative")).alias("h"), F.sum(inner("positive")).alias("p"))
+    return sizes.agg(F.count("*").alias("n_papers"), F.sum("q").alias("n_queries"), F.sum("h").alias("n_hard_negatives"), F.sum("p").alias("n_positives"))
 
 
 def titles(downloaded: DataFrame, generated: DataFrame, analysed: DataFrame) -> DataFrame:

@@ -62,15 +62,24 @@ def parsed_json(c: Column) -> Column:
 
 
 def exported(rows: DataFrame) -> DataFrame:
-    """Nested export: one row per paper with its queries, their reviewers and items, counts and the latest change.
+    """(paper_forum_id, query_id, reviewer_username, items, latest): the export, one row per review with its items in order.
 
-    Groups are folded level by level on ever coarser keys; a level holds what the one below made.
+    Rows are written partitioned by paper, so the nesting paper, query, reviewer is that of the keys; a
+    paper with a large part of all feedback never becomes one row.
     """
-    items = rows.groupBy("paper_forum_id", "query_id", "reviewer_username").agg(
+    return rows.groupBy("paper_forum_id", "query_id", "reviewer_username").agg(
         F.array_sort(F.collect_list(F.struct("feedback_item_id", "id", "judgement", "reason_note"))).alias("items"), F.max("updated_at").alias("latest")
     )
-    queries = items.groupBy("paper_forum_id", "query_id").agg(F.array_sort(F.collect_list(F.struct("reviewer_username", "items", "latest"))).alias("reviewers"), F.max("latest").alias("latest"), F.sum(F.size("items")).alias("n"))
-    return queries.groupBy("paper_forum_id").agg(F.array_sort(F.collect_list(F.struct("query_id", "reviewers", "latest"))).alias("queries"), F.max("latest").alias("latest"), F.sum("n").alias("n_rows"))
+
+
+def export_counts(export: DataFrame) -> DataFrame:
+    """(paper_forum_id, n_queries, n_reviews, n_rows, latest) of an export."""
+    return export.groupBy("paper_forum_id").agg(F.count_distinct("query_id").alias("n_queries"), F.count_distinct(F.when(F.col("query_id").isNotNull() & F.col("reviewer_username").isNotNull(), F.struct("query_id", "reviewer_username"))).alias("n_reviews"), F.sum(F.size("items")).alias("n_rows"), F.max("latest").alias("latest"))
+
+
+def overview(rows: DataFrame) -> DataFrame:
+    """One row: distinct reviewers with a name, papers and queries."""
+    return rows.agg(F.count_distinct(F.nullif("reviewer_username", F.lit(""))).alias("n_reviewers"), F.count_distinct("paper_forum_id").alias("n_papers"), F.count_distinct("query_id").alias("n_queries"))
 
 
 # The full payload: what is kept of the answers besides the judgement.

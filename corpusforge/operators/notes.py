@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from corpusforge.operators.ranking import ranked
 
 #: Names of review fields in older and newer forms.
 REVIEW_FIELDS = {"summary": "review", "strengths": "pros", "weaknesses": "cons", "soundness": "quality", "presentation": "clarity", "contribution": "originality"}
@@ -43,9 +44,9 @@ def unwrapped(value: Column) -> Column:
 
 
 def ordered(notes: DataFrame, thread: str, created: str, note_id: str, number: str | None = None) -> DataFrame:
-    """notes with k: place in the thread by creation (nulls last), number and id, both compared as text."""
+    """notes with k: place in the thread by creation (nulls last), number and id, both compared as text. A hot thread is spread over tasks."""
     keys = [F.col(created).asc_nulls_last(), *([F.coalesce(F.nullif(F.col(number).cast("string"), F.lit("0")), F.lit(""))] if number else []), F.col(note_id).cast("string")]
-    return notes.withColumn("k", F.row_number().over(W.partitionBy(thread).orderBy(*keys)))
+    return ranked(notes, [thread], keys)
 
 
 def first_decision(notes: DataFrame, thread: str, pos: str) -> DataFrame:
@@ -54,13 +55,16 @@ def first_decision(notes: DataFrame, thread: str, pos: str) -> DataFrame:
     return notes.where("kind = 'decision'").groupBy(thread).agg(F.min_by(F.struct(*others), pos).alias("d")).select(thread, "d.*")
 
 
-def rendered(notes: DataFrame, thread: str, kind_column: str, note_id: str, text: str) -> DataFrame:
-    """(thread, thread text, n): '[kind/number] text' lines by kind and number."""
-    k = F.row_number().over(W.partitionBy(thread, kind_column).orderBy(note_id))
-    rows = notes.where(F.col(text).isNotNull()).withColumn("_k", k)
+def rendered(notes: DataFrame, thread: str, kind_column: str, note_id: str, text: str, page: int = 100) -> DataFrame:
+    """(thread, kind, page, text, n): '[kind/number] text' lines in pages of so many notes, by kind and number.
+
+    A thread is many rows, so none grows with it; its whole text is the pages of all kinds in order.
+    """
+    rows = ranked(notes.where(F.col(text).isNotNull()), [thread, kind_column], [F.col(note_id)], "_k")
     line = F.concat(F.lit("["), F.col(kind_column), F.lit("/"), F.col("_k").cast("string"), F.lit("] "), F.col(text))
-    pieces = F.array_sort(F.collect_list(F.struct(F.col(kind_column).alias("kind"), F.col("_k").alias("k"), line.alias("line"))))
-    return rows.groupBy(thread).agg(F.array_join(F.transform(pieces, lambda x: x["line"]), "\n").alias("thread"), F.count("*").alias("n"))
+    pieces = F.array_sort(F.collect_list(F.struct(F.col("_k").alias("k"), line.alias("line"))))
+    paged = rows.withColumn("page", F.floor((F.col("_k") - 1) / page).cast("int")).groupBy(thread, F.col(kind_column).alias("kind"), "page")
+    return paged.agg(F.array_join(F.transform(pieces, lambda x: x["line"]), "\n").alias("text"), F.count("*").alias("n"))
 
 
 def document_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -79,17 +83,18 @@ def referenced(refs: DataFrame, notes: DataFrame, thread: str, section: str, ent
 
     Both looks are equi-joins on (thread, section, entry); a decision takes the first whatever entry is given.
     """
-    order = W.partitionBy(thread, kind_column).orderBy(F.col(number).asc_nulls_last(), wanted)
-    placed = notes.where(F.col(thread).isNotNull()).withColumn("_place", F.row_number().over(order))
+    placed = ranked(notes.where(F.col(thread).isNotNull()), [thread, kind_column], [F.col(number).asc_nulls_last(), F.col(wanted)], "_place")
     by_number = placed.where(F.col(number).isNotNull()).groupBy(thread, F.col(kind_column).alias(section), F.col(number).cast("int").alias(entry)).agg(F.min_by(wanted, "_place").alias("_a"))
-    by_place = placed.select(thread, F.col(kind_column).alias(section), F.col("_place").alias(entry), F.col(wanted).alias("_b"))
+    by_place = placed.select(thread, F.col(kind_column).alias(section), F.col("_place").cast("int").alias(entry), F.col(wanted).alias("_b"))
     first = placed.where((F.col("_place") == 1) & (F.col(kind_column) == "decision")).select(thread, F.col(kind_column).alias(section), F.col(wanted).alias("_c"))
     keys = [thread, section, entry]
     return refs.join(by_number, keys, "left").join(by_place, keys, "left").join(first, [thread, section], "left").withColumn(wanted, F.coalesce("_c", "_a", "_b")).drop("_a", "_b", "_c")
 
 
 #: Older names of the field that gives a bullet's number, the newest first.
-BULLET_NUMBER = ("related_bullet_indice", "related_bullet_indices", "bullet_indice", "bullet_indices", "related_bullet_index", "bullet_index")
+BULLET_NUMBER = (
+    "related_bullet_indice", "related_bullet_indices", "related_bulletpoint_indices", "related_bullet_point_indices", "bullet_indice", "bullet_indices", "bullet_point_indices", "related_bullet_index", "bullet_index"
+)
 
 
 def bullet_number(fields: Column, names: tuple[str, ...] = BULLET_NUMBER) -> Column:

@@ -181,11 +181,18 @@ def feedback_unpivot(spark, folder):
     return feedback.unpivoted(feedback.pivoted(table(spark, folder, "human_feedback"), by, ["updated_at", "id"]), by)
 
 
-@query("select paper_forum_id, count(distinct query_id) as n_queries, count(*) as n_rows, epoch_us(max(updated_at)) as latest_us from human_feedback group by 1")
+@query("select paper_forum_id, count(distinct query_id) as n_queries, count(*) as n_rows, count(distinct (query_id, reviewer_username)) as n_reviews, epoch_us(max(updated_at)) as latest_us from human_feedback group by 1")
 def feedback_export_counts(spark, folder):
     """Counts of the nested export."""
     e = feedback.exported(table(spark, folder, "human_feedback"))
-    return e.select("paper_forum_id", F.size("queries").cast("bigint").alias("n_queries"), F.col("n_rows"), F.unix_micros(F.col("latest").cast("timestamp")).alias("latest_us"))
+    counts = feedback.export_counts(e)
+    return counts.select("paper_forum_id", "n_queries", "n_rows", "n_reviews", F.unix_micros(F.col("latest").cast("timestamp")).alias("latest_us"))
+
+
+@query("select count(distinct nullif(reviewer_username, '')) as n_reviewers, count(distinct paper_forum_id) as n_papers, count(distinct query_id) as n_queries from human_feedback")
+def feedback_overview(spark, folder):
+    """Reviewers, papers and queries of the whole store."""
+    return feedback.overview(table(spark, folder, "human_feedback"))
 
 
 @query("""with f as (select distinct paper_forum_id as paper_id, query_text from human_feedback where query_text is not null)
@@ -228,11 +235,11 @@ def classify_notes(spark, folder):
     return table(spark, folder, "documents").groupBy(notes.kind(inv).alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("""select paper_id, md5(string_agg('[' || kind || '/' || k || '] ' || text, chr(10) order by kind, k)) as digest, count(*) as n from (select paper_id, coalesce(note_kind, 'note') as kind, text, row_number() over (partition by paper_id, coalesce(note_kind, 'note') order by doc_id) as k from documents where paper_id is not null) group by 1""")
+@query("""select paper_id, kind, ((k - 1) // 100)::int as page, md5(string_agg('[' || kind || '/' || k || '] ' || text, chr(10) order by k)) as digest, count(*) as n from (select paper_id, coalesce(note_kind, 'note') as kind, text, row_number() over (partition by paper_id, coalesce(note_kind, 'note') order by doc_id) as k from documents where paper_id is not null and text is not null) group by 1, 2, 3""")
 def thread_render(spark, folder):
-    """Every thread as one text, as its digest."""
+    """Every thread as text in pages of a hundred notes, as their digests."""
     d = table(spark, folder, "documents").where("paper_id is not null").withColumn("kind", F.coalesce("note_kind", F.lit("note")))
-    return notes.rendered(d, "paper_id", "kind", "doc_id", "text").select("paper_id", F.md5("thread").alias("digest"), "n")
+    return notes.rendered(d, "paper_id", "kind", "doc_id", "text").select("paper_id", "kind", "page", F.md5("text").alias("digest"), "n")
 
 
 @query("""with p as (select paper_id, note_kind, doc_id, text, n_chars % 7 as num, row_number() over (partition by paper_id, note_kind order by n_chars % 7 nulls last, doc_id) as place from documents where paper_id is not null),

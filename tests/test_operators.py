@@ -406,3 +406,25 @@ def test_reports():
     with pytest.raises(ValueError):
         reports.comparison("T", {"made": m}, "human", {}, [])
     assert reports.style_report("d", m | {"specificity_score": 3.0}, [("other", "q")]).endswith("- [other] q\n") and "| p | t | 2 | 1 |" in reports.analysis_report({"n_keep": 1}, [{"paper_id": "p", "title": "t", "n_queries": 2, "n_keep": 1}])
+
+
+def test_ranked_agrees_with_a_window_in_hot_groups(spark):
+    from corpusforge.operators.ranking import ranked
+
+    rng = np.random.default_rng(2)
+    rows = [("hot" if rng.random() < 0.6 else rng.choice(["a", "b", None]), int(rng.integers(0, 40)), i) for i in range(600)]
+    df = spark.createDataFrame([(None if g is None else str(g), v, i) for g, v, i in rows], "g string, v int, i int").repartition(7)
+    order = [F.col("v").desc(), F.col("i")]
+    one = lambda most: {(r.i, r.k) for r in ranked(df, ["g"], order, most=most).collect()}
+    assert one(10_000) == one(50) and len(one(50)) == 600
+    assert ranked(df.limit(0), ["g"], order).count() == 0
+
+
+def test_a_large_paper_is_several_rows(spark):
+    from corpusforge.operators import artifact
+
+    papers = spark.createDataFrame([("p", "t", 1)], "paper_id string, title string, pos int")
+    queries = spark.createDataFrame([("p", i, f"q{i}", "v", False) for i in range(25)], "paper_id string, qpos int, query_text string, source_view string, is_multimodal boolean")
+    none = spark.createDataFrame([], "cand_id bigint, paper_id string, query_text string, source_view string, cand_pos int, label string, paper_title string, url string, reason string")
+    out = artifact.assembled(papers, queries, none, page=10)
+    assert sorted((r.page, len(r.queries)) for r in out.collect()) == [(0, 10), (1, 10), (2, 5)] and tuple(artifact.totals(out).first()) == (1, 25, 0, 0)
