@@ -56,6 +56,12 @@ def dataset_slug(c: Column) -> Column:
     return F.coalesce(F.nullif(out, F.lit("")), F.lit("generated_queries"))
 
 
+def safe_get(value: Column, path: str, kind: str = "string", default: object = None) -> Column:
+    """What stands at a path ('$.a.b[0]') of a variant, or the default."""
+    found = F.try_variant_get(value, path, kind)
+    return found if default is None else F.coalesce(found, F.lit(default))
+
+
 def short_hash(c: Column, length: int = 12) -> Column:
     return F.substring(F.sha1(c), 1, length)
 

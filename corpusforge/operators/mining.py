@@ -36,6 +36,21 @@ def pdf_link(pdf_url: Column, archive: Column, url: Column) -> Column:
     return F.coalesce(blank(pdf_url), F.concat(F.lit(ARCHIVE_PDF), blank(archive), F.lit(".pdf")), F.when(is_pdf_link(strip(url)), strip(url)))
 
 
+def download_state(link: Column, kept: Column, error: Column, size: Column, head: Column, content_type: Column, download: bool = True) -> tuple[Column, Column]:
+    """(status, error) of the text of a candidate: url_only or unavailable without downloads, else downloaded, failed or unavailable.
+
+    kept: the file is there already. error: of the request. size, head, content_type: of what came back; a text begins with
+    %PDF or is declared as a PDF.
+    """
+    none = F.lit("no link of a PDF")
+    if not download:
+        return F.when(link.isNotNull(), "url_only").otherwise("unavailable"), F.when(link.isNull(), none)
+    pdf = F.startswith(F.coalesce(head, F.lit("")), F.lit("%PDF")) | F.contains(F.lower(F.coalesce(content_type, F.lit(""))), F.lit("pdf"))
+    wrong = F.when(error.isNotNull(), error).when(F.coalesce(size, F.lit(0)) <= 0, "empty response").when(~pdf, F.concat(F.lit("no PDF: "), F.coalesce(content_type, F.lit("unknown"))))
+    have = F.coalesce(kept, F.lit(False))
+    return F.when(link.isNull(), "unavailable").when(have | wrong.isNull(), "downloaded").otherwise("failed"), F.when(link.isNull(), none).when(~have, wrong)
+
+
 def searched(queries: DataFrame, index: DataFrame, on: list[str], most: int) -> DataFrame:
     """(on, place, columns of index): candidates of every query (on, variants array<string>).
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusforge.functions import text as tx
 from corpusforge.operators import artifact, judging, mocks, textmodel
 from corpusforge.plans.base import Catalog
-from corpusforge.sources.forum import ForumSource
+from corpusforge.sources import forum
 from corpusforge.sources.tables import table
 from corpusforge.streaming.resume import windowed_counts
 
@@ -63,11 +63,10 @@ def style_judge_mock(spark, folder):
     return items.select("paper_id", "qpos", F.coalesce(F.try_variant_get("item", "$.score", "int"), F.lit(0)).alias("score"))
 
 
-@query("select 'paper_' || y || '_' || i as paper_id, 'Stub paper ' || i || ' of ' || y as title, '' as abstract, 'Stub' as venue, y::int as year, []::varchar[] as authors, ((2024 - y) * 10 + i)::bigint as pos from range(2023, 2025) a(y), range(10) b(i) where (2024 - y) * 10 + i < 12")
+@query("select 'paper_' || y || '_' || i as paper_id, 'Stub paper ' || i || ' of ' || y as title, '' as abstract, 'Stub' as venue, y::int as year, '' as authors, ((2024 - y) * 10 + i)::bigint as pos from range(2023, 2025) a(y), range(10) b(i) where (2024 - y) * 10 + i < 12")
 def forum_stub(spark, folder):
     """Stub papers of the offline forum client."""
-    spark.dataSource.register(ForumSource)
-    return spark.read.format("forum").option("years", "2023,2024").option("limit", "12").load()
+    return forum.fetched(spark, [2023, 2024], limit=12).withColumn("authors", F.array_join("authors", "|"))
 
 
 QUERIES, ORACLE = _C.queries, _C.oracle

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusforge.functions.text import heading_name
 from corpusforge.operators import layout, notes
 from corpusforge.plans.base import Catalog
 from corpusforge.sources.tables import table
@@ -196,4 +197,27 @@ def run_at_the_end(spark, folder):
     return layout.run_nearest_edge(d, ["doc"], False, 1)
 
 
+_NAME = rf"trim(regexp_replace({_SQUEEZE("regexp_replace(h, '^(?:[0-9]+|[A-Z])\s+', '')")}, '^[ .:-]+|[ .:-]+$', '', 'g'))"
+_TITLE = r"array_to_string(list_transform(regexp_extract_all(lower({0}), '\p{{L}}+|[^\p{{L}}]+'), lambda w: upper(w[1]) || substr(w, 2)), '')"
+
+
+@query(rf"""select doc, pos, case when n = '' then 'Untitled Section' else {_TITLE.format('n')} end as name, lower({_TITLE.format('n')}) in ('references', 'bibliography') as back_matter from (select doc, pos, {_NAME} as n from (select doc, pos, {_SQUEEZE("substr(raw, 4)")} as h from {_LINE_SQL} where raw like '## %'))""")
+def heading_names(spark, folder):
+    """Headings of the documents as names: without numbers, in title case."""
+    lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text").where("line like '## %'").withColumn("h", F.expr("substr(line, 4)"))
+    return lines.select(F.col("doc_id").cast("string").alias("doc"), "pos", heading_name(F.col("h")).alias("name"), layout.is_back_matter(F.col("h")).alias("back_matter"))
+
+
+@query("""with b as (select doc, page, block, case when cand_id % 5 = 0 then 'figure' else 'text' end as block_type, y0, y1, cand_id from """ + _BOX_SQL + """ where y0 is not null), r as (select distinct paper_id as doc, (year - 2000)::int as page, 500.0 as y0, 640.0 as y1 from papers where year is not null and rating is not null)
+select doc, page, cand_id, block_type from b where (block_type = 'figure' and not exists (select 1 from r where r.doc = b.doc and r.page = b.page)) or (block_type <> 'figure' and not exists (select 1 from r where r.doc = b.doc and r.page = b.page and greatest(0, least(b.y1, r.y1) - greatest(b.y0, r.y0)) * 60 / 1200.0 >= 0.35))
+union all select doc, page, null, 'region' from r""")
+def page_regions(spark, folder):
+    """Boxes of pages with the regions that are known: guesses and covered boxes give way."""
+    kind = F.when(F.col("cand_id") % 5 == 0, "figure").otherwise("text")
+    b = _boxes(spark, folder).where("y0 is not null").select("doc", "page", kind.alias("block_type"), F.lit(0.0).alias("x0"), "y0", F.lit(60.0).alias("x1"), "y1", "cand_id")
+    p = table(spark, folder, "papers").where("year is not null and rating is not null").select(F.col("paper_id").alias("doc"), (F.col("year") - 2000).cast("int").alias("page")).distinct()
+    r = p.select("doc", "page", F.lit("region").alias("block_type"), F.lit(0.0).alias("x0"), F.lit(500.0).alias("y0"), F.lit(60.0).alias("x1"), F.lit(640.0).alias("y1"))
+    return layout.with_regions(b, r).select("doc", "page", "cand_id", "block_type")
+
+
 QUERIES, ORACLE = _C.queries, _C.oracle

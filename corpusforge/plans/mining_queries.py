@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as tx
-from corpusforge.operators import dedupe, forum, mining, mocks
+from corpusforge.operators import dedupe, forum, mining, mocks, rules
+from corpusforge.operators.ranking import ranked
 from corpusforge.plans.base import Catalog
 from corpusforge.sources.tables import table
 
@@ -63,7 +64,7 @@ def mined_candidates(spark, folder):
     return _mined(spark, folder)[1].select("paper_id", "qpos", "label", "k", "cand_id", "reason")
 
 
-@query(rf"""select cand_id, title as paper_title, coalesce(link_id, bare_id) as arxiv_id, nullif({_STRIP('abstract')}, '') as abstract, site as venue, year, authors, pdf_url as url, citations from (select cand_id, {_STRIP('paper_title')} as title, abstract, pdf_url, citations,
+@query(rf"""select cand_id, title as paper_title, coalesce(link_id, bare_id) as arxiv_id, nullif({_STRIP('abstract')}, '') as abstract, site as venue, year, array_to_string(authors, '|') as authors, pdf_url as url, citations from (select cand_id, {_STRIP('paper_title')} as title, abstract, pdf_url, citations,
 nullif(regexp_extract(pdf_url, '(?i)[\w.-]+/(?:abs|pdf)/([0-9]+\.[0-9]+)', 1), '') as link_id, nullif(regexp_extract(pdf_url, '\b([0-9]{{4}}\.[0-9]{{4,5}})(?:v\d+)?\b', 1), '') as bare_id,
 'example.org' as site, year, list_filter(list_transform(list_filter(coalesce(authors, []), lambda a: a is not null), lambda a: {_STRIP('a')}), lambda a: a <> '') as authors from (select distinct cand_id, paper_title, abstract, pdf_url, citations, year, authors from candidates where year between 1900 and 2099)) where title <> ''""")
 def service_records(spark, folder):
@@ -72,17 +73,17 @@ def service_records(spark, folder):
     info = F.struct(F.transform("authors", lambda a: F.struct(a.alias("name"))).alias("authors"), F.concat(F.lit("A Writer - Venue, "), F.col("year").cast("string"), F.lit(" - example.org")).alias("summary"))
     record = F.struct(F.col("paper_title").alias("title"), F.col("pdf_url").alias("link"), F.col("abstract").alias("snippet"), info.alias("publication_info"), F.struct(F.struct(F.col("citations").alias("total")).alias("cited_by")).alias("inline_links"))
     raw = c.select("cand_id", F.parse_json(F.to_json(record)).alias("item"))
-    return mining.candidates_in(raw, "item", ["cand_id"]).drop("pdf_url", "source")
+    return mining.candidates_in(raw, "item", ["cand_id"]).drop("pdf_url", "source").withColumn("authors", F.array_join("authors", "|"))
 
 
-@query(rf"""select cand_id, {_STRIP('paper_title')} as paper_title, nullif({_STRIP('abstract')}, '') as abstract, nullif({_STRIP('venue')}, '') as venue, year, list_filter(list_transform(string_split(array_to_string(list_filter(authors, lambda a: a is not null), ' and '), ' and '), lambda a: {_STRIP('a')}), lambda a: a <> '') as authors, citations
+@query(rf"""select cand_id, {_STRIP('paper_title')} as paper_title, nullif({_STRIP('abstract')}, '') as abstract, nullif({_STRIP('venue')}, '') as venue, year, array_to_string(list_filter(list_transform(string_split(array_to_string(list_filter(authors, lambda a: a is not null), ' and '), ' and '), lambda a: {_STRIP('a')}), lambda a: a <> ''), '|') as authors, citations
 from (select distinct cand_id, paper_title, abstract, venue, year, coalesce(authors, []) as authors, citations from candidates) where {_STRIP('paper_title')} <> ''""")
 def library_records(spark, folder):
     """Raw publications of a search library as candidates."""
     c = table(spark, folder, "candidates").select("cand_id", "paper_title", "abstract", "venue", "year", "authors", "citations", "pdf_url").distinct()
     bib = F.struct(F.col("paper_title").alias("title"), F.array_join("authors", " and ").alias("author"), "abstract", "venue", F.col("year").cast("string").alias("pub_year"))
     raw = c.select("cand_id", F.parse_json(F.to_json(F.struct(bib.alias("bib"), F.col("pdf_url").alias("eprint_url"), F.col("citations").alias("num_citations")))).alias("item"))
-    return mining.candidates_in(raw, "item", ["cand_id"], mining.record_of_library).drop("pdf_url", "source", "url", "arxiv_id")
+    return mining.candidates_in(raw, "item", ["cand_id"], mining.record_of_library).drop("pdf_url", "source", "url", "arxiv_id").withColumn("authors", F.array_join("authors", "|"))
 
 
 # Raw notes of a forum made from the documents: names of fields, wrapped values and gaps as a forum has them.
@@ -133,7 +134,7 @@ def keep_reason_histogram(spark, folder):
     return thread_states(spark, folder).groupBy("state").agg(F.count("*").alias("n"))
 
 
-@query("""select paper_id as id, coalesce(title, '') as title, coalesce(abstract, '') as abstract, coalesce(list_filter(list_transform(string_split(array_to_string(keywords, ', '), ','), lambda k: trim(k)), lambda k: k <> ''), []) as keywords, coalesce(authors, []) as authors,
+@query("""select paper_id as id, coalesce(title, '') as title, coalesce(abstract, '') as abstract, array_to_string(coalesce(list_filter(list_transform(string_split(array_to_string(keywords, ', '), ','), lambda k: trim(k)), lambda k: k <> ''), []), '|') as keywords, array_to_string(coalesce(authors, []), '|') as authors,
 coalesce(nullif(trim(venue), ''), case when venueid is null then null else string_split(venueid, '/')[1] end, 'Fallback') as venue, coalesce(try_cast(nullif(regexp_extract(year::varchar, '((?:19|20)[0-9]{2})', 1), '') as int), try_cast(nullif(regexp_extract(venueid, '\\b((?:19|20)[0-9]{2})\\b', 1), '') as int), 1999) as year,
 'https://openreview.net/pdf?id=' || paper_id as pdf_url, 'https://openreview.net/forum?id=' || paper_id as forum_url, submission_number from papers""")
 def papers_built(spark, folder):
@@ -142,7 +143,7 @@ def papers_built(spark, folder):
     wrap = lambda c: F.struct(c.alias("value"))
     content = F.struct(wrap(F.col("title")).alias("title"), F.col("abstract").alias("abstract"), wrap(F.col("authors")).alias("authors"), F.array_join("keywords", ", ").alias("keywords"), wrap(F.col("venue")).alias("venue"), wrap(F.col("venueid")).alias("venueid"), wrap(F.col("year")).alias("year"))
     notes = p.select(F.col("paper_id").alias("id"), F.lit(None).cast("string").alias("invitation"), F.array().cast("array<string>").alias("invitations"), F.col("submission_number").cast("string").alias("number"), F.parse_json(F.to_json(content)).alias("content"))
-    return forum.papers_of(notes, "Fallback", 1999).drop("venueid")
+    return forum.papers_of(notes, "Fallback", 1999).drop("venueid").withColumns({c: F.array_join(c, "|") for c in ("authors", "keywords")})
 
 
 @query("""with d as (select * from documents where paper_id is not null), u as (select *, 0 as s from d where note_kind = 'review' union all select *, 1 from d) select paper_id as forum, doc_id::varchar as id, arg_min(note_kind, (s, doc_id)) as note_kind, arg_min(s, (s, doc_id)) as side from u group by 1, 2""")
@@ -178,4 +179,33 @@ def skip_filter(spark, folder):
     return forum.skipped_filter(table(spark, folder, "papers").select("paper_id", "pos"))
 
 
+@query("""select cand_id, case when pdf_url is null then 'unavailable' when source = 'google_scholar' or (citations is null and coalesce(year, 0) > 2000 and (cand_pos % 2 = 0 or contains(lower(venue), 'conf'))) then 'downloaded' else 'failed' end as status,
+case when pdf_url is null then 'no link of a PDF' when source = 'google_scholar' then null when citations is not null then 'error ' || citations when coalesce(year, 0) <= 2000 then 'empty response' when not (cand_pos % 2 = 0 or coalesce(contains(lower(venue), 'conf'), false)) then 'no PDF: ' || coalesce(case when contains(lower(venue), 'conf') then 'application/pdf' else venue end, 'unknown') end as error
+from (select distinct cand_id, pdf_url, source, citations, year, cand_pos, venue from candidates)""")
+def download_states(spark, folder):
+    """What became of fetching the text of every candidate, for made-up responses."""
+    c = table(spark, folder, "candidates").select("cand_id", "pdf_url", "source", "citations", "year", "cand_pos", "venue").distinct()
+    kind = F.when(F.contains(F.lower("venue"), F.lit("conf")), "application/pdf").otherwise(F.col("venue"))
+    status, error = mining.download_state(
+        F.col("pdf_url"), F.col("source") == "google_scholar", F.concat(F.lit("error "), F.col("citations").cast("string")), F.greatest(F.col("year") - 2000, F.lit(0)), F.when(F.col("cand_pos") % 2 == 0, "%PDF-1.7").otherwise("<html>"), kind
+    )
+    return c.select("cand_id", status.alias("status"), error.alias("error"))
+
+
+@query("select doc_id from documents where note_kind = 'review' and n_chars > 200 order by created_at nulls first, doc_id limit 50")
+def passed_limit(spark, folder):
+    """The first fifty documents that pass a rule, in order of time (a limit is the feature)."""
+    d = table(spark, folder, "documents").withColumn("passed", F.coalesce((F.col("note_kind") == "review") & (F.col("n_chars") > 200), F.lit(False)))
+    return rules.first_passed(d, ["created_at", "doc_id"], 50).select("doc_id")
+
+
+@query("with s as (select paper_id, min(pos) as pos from papers where venue is not null group by 1), r as (select paper_id, count(*) as n from queries group by 1) select r.paper_id, r.n, s.pos, row_number() over (order by s.pos, r.paper_id) as place from r join s on s.paper_id = r.paper_id")
+def restored_order(spark, folder):
+    """Results that are still wanted, in the order of the input."""
+    targets = table(spark, folder, "papers").where("venue is not null").select("paper_id", "pos")
+    results = table(spark, folder, "queries").groupBy("paper_id").agg(F.count("*").alias("n"))
+    out = dedupe.in_first_order(dedupe.still_wanted(results, targets, ["paper_id"]), targets, "paper_id")
+    return ranked(out.withColumn("_all", F.lit(1)), ["_all"], [F.col("pos"), F.col("paper_id")], "place").drop("_all")
+
+
 QUERIES, ORACLE = _C.queries, _C.oracle

@@ -134,13 +134,13 @@ def artifact_titles(spark, folder):
 @query("""with ids as (select paper_id from papers union select paper_forum_id from human_feedback union select 'unknown'), n as (select paper_id, count(*) as n from documents group by 1),
 d as (select paper_id, arg_max({'abstract': abstract, 'pdf_url': pdf_url, 'venue': venue, 'year': year, 'authors': authors}, pos) as r from papers where venue is not null group by 1), a as (select paper_id, arg_max({'abstract': abstract, 'pdf_url': pdf_url, 'venue': venue, 'year': year, 'authors': authors}, pos) as r from papers where abstract is not null group by 1)
 select ids.paper_id, 'https://openreview.net/forum?id=' || ids.paper_id as forum_url, case when d.r is not null then d.r.abstract else a.r.abstract end as abstract, case when d.r is not null then d.r.pdf_url else a.r.pdf_url end as pdf_url, case when d.r is not null then d.r.venue else a.r.venue end as venue, case when d.r is not null then d.r.year else a.r.year end as year,
-coalesce(case when d.r is not null then d.r.authors else a.r.authors end, []) as authors, case when d.r is not null then coalesce(n.n, 0) else 0 end as n_notes, case when d.r is not null then 'download' when a.r is not null then 'analysis' else 'none' end as origin from ids left join d on d.paper_id = ids.paper_id left join a on a.paper_id = ids.paper_id left join n on n.paper_id = ids.paper_id where ids.paper_id is not null""")
+array_to_string(coalesce(case when d.r is not null then d.r.authors else a.r.authors end, []), '|') as authors, case when d.r is not null then coalesce(n.n, 0) else 0 end as n_notes, case when d.r is not null then 'download' when a.r is not null then 'analysis' else 'none' end as origin from ids left join d on d.paper_id = ids.paper_id left join a on a.paper_id = ids.paper_id left join n on n.paper_id = ids.paper_id where ids.paper_id is not null""")
 def artifact_headers(spark, folder):
     """The header of every paper of an artifact and where it comes from."""
     p = table(spark, folder, "papers")
     ids = p.select("paper_id").unionByName(table(spark, folder, "human_feedback").select(F.col("paper_forum_id").alias("paper_id"))).unionByName(spark.createDataFrame([("unknown",)], "paper_id string"))
     n = table(spark, folder, "documents").groupBy("paper_id").agg(F.count("*").alias("n_notes"))
-    return artifact.headers(ids, p.where("venue is not null").join(n, "paper_id", "left"), p.where("abstract is not null"))
+    return artifact.headers(ids, p.where("venue is not null").join(n, "paper_id", "left"), p.where("abstract is not null")).withColumn("authors", F.array_join("authors", "|"))
 
 
 @query("with f as (select paper_id, bool_or(n_chars % 2 = 0) as passed, max(doc_id) as pos from documents where paper_id is not null and note_kind = 'review' group by 1) select p.paper_id, f.passed, null::varchar as reason, null::double as score from (select distinct paper_id from papers) p left join f on f.paper_id = p.paper_id")

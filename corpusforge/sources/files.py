@@ -49,6 +49,15 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def region_records(spark: SparkSession, path: str, optional: bool = True) -> DataFrame:
+    """(doc, item): the records of figure regions in whole JSON files, one file per document (its name up to the first dot), under `figures` or `regions`."""
+    if optional and not exists(spark, path):
+        return spark.createDataFrame([], "doc string, item string").select("doc", F.try_parse_json("item").alias("item"))
+    whole = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.input_file_name(), r"([^/.]+)[^/]*$", 1).alias("doc"), F.try_parse_json("value").alias("v"))
+    listed = F.coalesce(F.try_variant_get("v", "$.figures", "array<variant>"), F.try_variant_get("v", "$.regions", "array<variant>"))
+    return whole.select("doc", F.explode(listed).alias("item"))
+
+
 def json_object(path: str, optional: bool = False) -> dict | None:
     """The object of one small JSON file; None for an absent optional one; an error for any other top level."""
     file = Path(path)

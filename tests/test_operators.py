@@ -428,3 +428,15 @@ def test_a_large_paper_is_several_rows(spark):
     none = spark.createDataFrame([], "cand_id bigint, paper_id string, query_text string, source_view string, cand_pos int, label string, paper_title string, url string, reason string")
     out = artifact.assembled(papers, queries, none, page=10)
     assert sorted((r.page, len(r.queries)) for r in out.collect()) == [(0, 10), (1, 10), (2, 5)] and tuple(artifact.totals(out).first()) == (1, 25, 0, 0)
+
+
+def test_region_files(spark, tmp_path):
+    from corpusforge.sources import files
+
+    (tmp_path / "paper1.pdffigures.json").write_text('{"figures": [{"page": 1, "figureType": "Table", "caption": " A  b", "regionBoundary": {"x1": 10, "y1": 100, "x2": 60, "y2": 20}}, {"page": 9}, 7]}')
+    (tmp_path / "paper2.json").write_text('{"regions": [{"pageNumber": 2, "boundary": {"left": 1, "top": 2, "width": 3, "height": 4}}]}')
+    (tmp_path / "broken.json").write_text("{")
+    heights = spark.createDataFrame([("paper1", 1, 800.0), ("paper2", 2, 100.0)], "doc string, page int, height double")
+    got = sorted(tuple(r) for r in layout.regions_in(files.region_records(spark, str(tmp_path)), "item", heights).collect())
+    assert got == [("paper1", 1, "table", "A b", 10.0, 700.0, 60.0, 780.0), ("paper2", 2, "figure", "", 1.0, 94.0, 4.0, 98.0)]
+    assert files.region_records(spark, str(tmp_path / "none")).count() == 0
