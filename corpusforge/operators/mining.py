@@ -67,12 +67,12 @@ def searched(queries: DataFrame, index: DataFrame, on: list[str], most: int) ->
 
 
 def review_prompt(query: Column) -> Column:
-    """The prompt that a candidate (paper_title, authors, year, venue, abstract) is reviewed with."""
+    """The prompt that a candidate (paper_title, authors, year, venue, abstract, pdf_url) is reviewed with; it names the link of the text, for models that read it."""
     fields = {
         "query": query, "title": F.col("paper_title"), "authors": F.coalesce(F.nullif(F.array_join(F.slice("authors", 1, MOST_AUTHORS), ", "), F.lit("")), F.lit("unknown")),
-        "year": F.coalesce(F.col("year").cast("string"), F.lit("unknown")), "venue": F.coalesce("venue", F.lit("unknown")), "abstract": F.coalesce("abstract", F.lit("none")),
+        "year": F.coalesce(F.col("year").cast("string"), F.lit("unknown")), "venue": F.coalesce("venue", F.lit("unknown")), "abstract": F.coalesce("abstract", F.lit("none")), "link": F.col("pdf_url"),
     }
-    return rendered("Query: {{query}}\nTitle: {{title}}\nAuthors: {{authors}}\nYear: {{year}}\nVenue: {{venue}}\nAbstract: {{abstract}}\nAnswer as JSON with label and reason.", fields)
+    return rendered("Query: {{query}}\nTitle: {{title}}\nAuthors: {{authors}}\nYear: {{year}}\nVenue: {{venue}}\nAbstract: {{abstract}}\nText: {{link}}\nAnswer as JSON with label and reason.", fields)
 
 
 def reviewed(candidates: DataFrame, query: str, model: Model, **calls) -> DataFrame:

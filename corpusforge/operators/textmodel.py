@@ -7,6 +7,7 @@ that have no answer yet. Put filters before the call; the optimizer does not mov
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 from collections.abc import Callable, Iterator
@@ -85,6 +86,32 @@ class Keyed:
         return self.ring.call(lambda key: self.model(prompt, key))
 
 
+class ChatModel:
+    """A model behind an HTTP service of the usual chat form, as model(prompt, key). `send(url, headers, body)` gives the answer's JSON text; the default asks the network.
+
+    Small enough to be sent to workers. An answer without a text is an error, so that a ring of keys tries again.
+    """
+
+    def __init__(self, base_url: str, model: str, max_tokens: int = 4096, temperature: float = 0.0, seed: int | None = None, timeout: float = 120.0, send: Callable[[str, dict, str], str] | None = None):
+        self.url, self.model, self.max_tokens, self.temperature, self.seed, self.timeout, self.send = base_url.rstrip("/") + "/chat/completions", model, max_tokens, temperature, seed, timeout, send
+
+    def _post(self, url: str, headers: dict, body: str) -> str:
+        from urllib.request import Request, urlopen
+
+        with urlopen(Request(url, body.encode(), headers), timeout=self.timeout) as answer:  # noqa: S310
+            return answer.read().decode()
+
+    def __call__(self, prompt: str, key: str = "") -> str:
+        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "max_tokens": self.max_tokens, "temperature": self.temperature}
+        if self.seed is not None:
+            body["seed"] = self.seed
+        told = json.loads((self.send or self._post)(self.url, {"Content-Type": "application/json", "Authorization": f"Bearer {key}"}, json.dumps(body)))
+        text = told["choices"][0]["message"]["content"]
+        if not isinstance(text, str):
+            raise ValueError("an answer without text")
+        return text
+
+
 def rendered(template: str, fields: dict[str, Column]) -> Column:
     """The template with every {{name}} replaced; null values as empty text."""
     out = F.lit(template)

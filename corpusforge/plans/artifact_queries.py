@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as tx
@@ -9,7 +11,8 @@ from corpusforge.operators import artifact, judging, mocks, textmodel
 from corpusforge.plans.base import Catalog
 from corpusforge.sources import forum
 from corpusforge.sources.tables import table
-from corpusforge.streaming.resume import windowed_counts
+from corpusforge.session import shared_dir
+from corpusforge.streaming.resume import resumed, windowed_counts
 
 _C = Catalog()
 query = _C.query
@@ -69,4 +72,15 @@ def forum_stub(spark, folder):
     return forum.fetched(spark, [2023, 2024], limit=12).withColumn("authors", F.array_join("authors", "|"))
 
 
+@query("select source_view, count(*) as n, 0 as n_again from queries group by 1")
+def stream_resume(spark, folder):
+    """Queries worked off as a stream of files into the shared folder; a second run over the same input adds nothing."""
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    q = table(spark, folder, "queries")
+    run = lambda: resumed(spark, f"{folder}/queries.parquet*", q.schema.simpleString()[7:-1].replace(":", " "), lambda d: d.groupBy("source_view").agg(F.count("*").alias("n")), f"{at}/out", f"{at}/done")
+    run()
+    again = run()
+    return spark.read.parquet(f"{at}/out").groupBy("source_view").agg(F.sum("n").alias("n"), F.lit(again).alias("n_again"))
+
+
 QUERIES, ORACLE = _C.queries, _C.oracle

@@ -197,7 +197,8 @@ def run_at_the_end(spark, folder):
     return layout.run_nearest_edge(d, ["doc"], False, 1)
 
 
-_NAME = rf"trim(regexp_replace({_SQUEEZE("regexp_replace(h, '^(?:[0-9]+|[A-Z])\s+', '')")}, '^[ .:-]+|[ .:-]+$', '', 'g'))"
+_UNNUMBERED = r"regexp_replace(h, '^(?:[0-9]+|[A-Z])\s+', '')"
+_NAME = rf"trim(regexp_replace({_SQUEEZE(_UNNUMBERED)}, '^[ .:-]+|[ .:-]+$', '', 'g'))"
 _TITLE = r"array_to_string(list_transform(regexp_extract_all(lower({0}), '\p{{L}}+|[^\p{{L}}]+'), lambda w: upper(w[1]) || substr(w, 2)), '')"
 
 

@@ -55,7 +55,7 @@ def mining_runs(spark, folder):
 
 _LINK = r"coalesce(nullif(pdf_url, ''), 'https://arxiv.org/pdf/' || nullif(arxiv_id, '') || '.pdf', case when regexp_matches(url, '(?i)https?://\S+\.pdf(\?.*)?$') then trim(url) end)"
 _REVIEWED = f"""(select *, [ 'positive', 'hard_negative', 'ignored', 'unsure'][{_D(1)} % 4 + 1] as label, 'r' || substr(h, 2, 3) as reason from (select *, sha1('Query: ' || query_text || chr(10) || 'Title: ' || coalesce(paper_title, '') || chr(10) || 'Authors: ' || coalesce(nullif(array_to_string(list_filter(authors[1:6], lambda a: a is not null), ', '), ''), 'unknown') || chr(10) || 'Year: ' || coalesce(year::varchar, 'unknown')
-|| chr(10) || 'Venue: ' || coalesce(venue, 'unknown') || chr(10) || 'Abstract: ' || coalesce(abstract, 'none') || chr(10) || 'Answer as JSON with label and reason.') as h from {_FOUND} where {_LINK} is not null))"""
+|| chr(10) || 'Venue: ' || coalesce(venue, 'unknown') || chr(10) || 'Abstract: ' || coalesce(abstract, 'none') || chr(10) || 'Text: ' || {_LINK} || chr(10) || 'Answer as JSON with label and reason.') as h from {_FOUND} where {_LINK} is not null))"""
 
 
 @query(f"select paper_id, qpos, label, k, cand_id, reason from (select * exclude (k), row_number() over (partition by paper_id, qpos, label order by place) as k from {_REVIEWED} where label in ('positive', 'hard_negative')) where label = 'positive' or k <= 5")

@@ -440,3 +440,14 @@ def test_region_files(spark, tmp_path):
     got = sorted(tuple(r) for r in layout.regions_in(files.region_records(spark, str(tmp_path)), "item", heights).collect())
     assert got == [("paper1", 1, "table", "A b", 10.0, 700.0, 60.0, 780.0), ("paper2", 2, "figure", "", 1.0, 94.0, 4.0, 98.0)]
     assert files.region_records(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_chat_model_through_a_ring():
+    sent = []
+
+    def send(url, headers, body):
+        sent.append((url, headers["Authorization"], body))
+        return '{"choices": [{"message": {"content": null}}]}' if len(sent) == 1 else '{"choices": [{"message": {"content": "hello"}}]}'
+
+    model = textmodel.Keyed(textmodel.ChatModel("http://x/v1/", "m", seed=3, send=send), textmodel.KeyRing(["a", "b"]))
+    assert model("p") == "hello" and [s[1] for s in sent] == ["Bearer a", "Bearer b"] and sent[0][0] == "http://x/v1/chat/completions" and '"seed": 3' in sent[0][2]
