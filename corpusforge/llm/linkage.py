@@ -69,6 +69,7 @@ def _plain(text: str) -> str:
 # One pass over bytes: capitals to small, all but letters and digits of ASCII left out.
 _SMALL = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _OTHERS = bytes(c for c in range(256) if not chr(c).isascii() or not chr(c).isalnum())
+_OTHERS_THAN_NUL = _OTHERS.replace(b"\0", b"")
 
 
 def _bare(text: str) -> str:
@@ -80,14 +81,12 @@ def sentences(abstract: str) -> tuple[list[str], list[str]]:
     text = abstract.strip()
     if text[-1:] in ("…", "]", "."):
         text = text[:-24] + _MARK.sub("", text[-24:]) if len(text) > 24 else _MARK.sub("", text)
-    whole, starts, parts = [], [], _BREAK.split(text)
-    for n, part in enumerate(parts):
-        letters = _bare(part)
-        if len(letters) >= 30 and (n + 1 < len(parts) or part[-1:] in (".", "!", "?")):
-            whole.append(letters)
-        if len(letters) >= OPENING:
-            starts.append(letters[:OPENING])
-    return whole, starts
+    if "\0" in text:
+        text = text.replace("\0", " ")
+    # All sentences are brought to their letters at once, with NUL between them.
+    parts = _BREAK.sub("\0", text).encode("ascii", "ignore").translate(_SMALL, _OTHERS_THAN_NUL).decode().split("\0")
+    whole = [x for x in (parts if text[-1:] in (".", "!", "?") else parts[:-1]) if len(x) >= 30]
+    return whole, [x[:OPENING] for x in parts if len(x) >= OPENING]
 
 
 @lru_cache(maxsize=300_000)
@@ -135,30 +134,24 @@ def described(df: DataFrame, key: str, title: str, all_titles: bool) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: dict[str, list] = {c: [] for c in ("cut", "letters", "words", "marks", "system", "n_who", "who", "n_said", "said", "titled", "lead", "twin")}
+            rows = []
             for name, authors, abstract in zip(b["title"].to_pylist(), b["authors"].to_pylist(), b["abstract"].to_pylist()):
                 cut, letters, words, marks, system = _title_parts(name or "")
-                who = [k for k in (_author_keys(a) for a in authors if a) if k] if authors else []
+                who = [k for k in [_author_keys(a) for a in authors if a] if k] if authors else []
                 whole, starts = sentences(abstract) if abstract and (len(abstract) > 60 or _bare(abstract) not in PLACEHOLDERS) else ([], [])
                 # A found abstract without a whole sentence is met by how its sentences start; papers offer both.
                 said = [*whole, *["<" + x for x in starts]] if all_titles else whole or ["<" + x for x in starts]
                 keys = list(dict.fromkeys([k for ks in who for k in ks]))
-                start, end = letters[:10], letters[-10:]
-                first = who[0] if who and len(letters) >= 8 else ()
-                lead = [x for k in first for x in (f"s{start}|{k}", f"e{end}|{k}")]
-                full = [x for k in keys for x in (f"s{start}|{k}", f"e{end}|{k}")] if len(letters) >= 8 and (all_titles or not said) else []
-                out["cut"].append(cut)
-                out["letters"].append(letters)
-                out["words"].append(words)
-                out["marks"].append(marks)
-                out["system"].append(system)
-                out["n_who"].append(len(who))
-                out["who"].append(keys)
-                out["said"].append(said)
-                out["n_said"].append(len(set(whole or starts)))
-                out["titled"].append(full)
-                out["lead"].append([*lead, *(["t" + letters] if len(letters) >= 8 else [])])
-                out["twin"].append([f"w{letters}|{k}" for k in first] if len(letters) >= 12 else [])
+                known = len(letters) >= 8
+                start, end = "s" + letters[:10] + "|", "e" + letters[-10:] + "|"
+                first = who[0] if who and known else ()
+                lead = [x for k in first for x in (start + k, end + k)]
+                full = [x for k in keys for x in (start + k, end + k)] if known and (all_titles or not said) else []
+                if known:
+                    lead.append("t" + letters)
+                twin = [f"w{letters}|{k}" for k in first] if len(letters) >= 12 else []
+                rows.append((cut, letters, words, marks, system, len(who), keys, said, len(set(whole or starts)), full, lead, twin))
+            out = dict(zip(("cut", "letters", "words", "marks", "system", "n_who", "who", "said", "n_said", "titled", "lead", "twin"), map(list, zip(*rows)) if rows else [[] for _ in range(12)]))
             kinds = {"cut": pa.bool_(), "letters": pa.string(), "marks": pa.list_(pa.string()), "system": pa.string(), "n_who": pa.int32(), "n_said": pa.int32()}
             columns = {"id": b["id"], "year": b["year"]} | {c: pa.array(v, kinds[c]) if c in kinds else _hashes(v) for c, v in out.items()}
             yield pa.RecordBatch.from_pydict({c: columns[c] for c in (x.split()[0] for x in SHAPE.split(", "))})
