@@ -254,6 +254,8 @@ def judged_pairs(found: DataFrame, papers: DataFrame) -> DataFrame:
     with_lent = pairs.withColumnRenamed("n", "f_n_lent")
     voted = materialize(_votes(with_lent.join(side_p, "paper").join(side_f, "id")), "votes")
     patterns = voted.groupBy(*VOTES).agg(F.count("*").alias("n")).limit(labelmodel.MOST_PATTERNS + 1).toPandas()  # at most 4 * 4 * 4 * 4 * 4 * 3 * 2 * 2 patterns exist
+    if len(patterns) > labelmodel.MOST_PATTERNS:
+        raise ValueError("more vote patterns than the votes allow")
     votes = patterns[list(VOTES)].to_numpy(np.int64).reshape(-1, len(VOTES))
     posterior, _ = labelmodel.fit(votes, patterns["n"].to_numpy(float), _first_guess(votes))
     patterns["posterior"] = posterior[:, 3] if len(patterns) else []
