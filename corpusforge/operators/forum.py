@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from corpusforge.functions.text import is_fallback_venue, nonempty, strip, venue_of_path, year_in
 from corpusforge.operators.notes import kind, renamed_fields
+from corpusforge.operators.ranking import ranked
 
 # Addresses of a thread and of its text; the invitation of a note that has none.
 FORUM_URL, PDF_URL, NO_INVITATION = "https://openreview.net/forum?id=", "https://openreview.net/pdf?id=", "unknown_invitation"
@@ -125,7 +125,7 @@ def content_lines(split: DataFrame, sections: dict[str, str], page: int = 200) -
     sections: kind -> name. A thread is many rows, so none grows with the thread; decisions have no entry.
     """
     names = F.create_map(*[F.lit(x) for pair in sections.items() for x in pair])
-    rows = split.where(F.col("kind").isin(*sections)).withColumn("section", names[F.col("kind")]).withColumn("n", F.row_number().over(W.partitionBy("forum", "section").orderBy("pos", "id")))
+    rows = ranked(split.where(F.col("kind").isin(*sections)).withColumn("section", names[F.col("kind")]), ["forum", "section"], [F.col("pos"), F.col("id")], "n")
     where = F.when(F.col("kind") == "decision", F.col("section")).otherwise(F.concat(F.col("section"), F.lit("/Entry "), F.col("n").cast("string")))
     lines = F.transform(F.array_sort(F.map_entries("content")), lambda e: F.concat(F.lit("["), F.col("_w"), F.lit("/"), e["key"], F.lit("] "), e["key"], F.lit(": "), e["value"]))
     told = rows.withColumn("_w", where).select("forum", "section", F.floor((F.col("n") - 1) / page).cast("int").alias("page"), "n", F.array_join(lines, "\n").alias("text"))

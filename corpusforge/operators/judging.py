@@ -58,7 +58,7 @@ def analysis_totals(analysis: DataFrame) -> DataFrame:
     have one, and templates with their counts as a sorted array; means are null without rows.
     """
     a = F.col
-    templates = analysis.groupBy("question_template").agg(F.count("*").alias("n"), F.count_if(a("decision") == "Keep").alias("keep"))
+    templates = analysis.groupBy("question_template").agg(F.count("*").alias("n"))
     shown = templates.agg(F.array_sort(F.collect_list(F.struct("question_template", "n"))).alias("question_templates"))
     ends = lambda c: [F.avg(c).alias(f"{c}_mean"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
     one = analysis.agg(

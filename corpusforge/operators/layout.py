@@ -131,10 +131,7 @@ def is_visual_child(parent: Column) -> Column:
 
 def page_evidence(lines: DataFrame) -> DataFrame:
     """(doc, page, n_lines, n_url, n_venue, n_author, n_year, is_references): counts of lines that speak for a list of references, and the verdict."""
-    t = squeeze(F.col("text"))
-    low = F.lower(t)
-    kept = lines.withColumns({"_t": t, "_k": F.row_number().over(W.partitionBy("doc", "page").orderBy("line"))}).where("_t <> ''")
-    kept = kept.withColumn("_k", F.row_number().over(W.partitionBy("doc", "page").orderBy("line")))
+    kept = lines.withColumn("_t", squeeze(F.col("text"))).where("_t <> ''").withColumn("_k", F.row_number().over(W.partitionBy("doc", "page").orderBy("line")))
     low = F.lower("_t")
     out = kept.groupBy("doc", "page").agg(
         F.count("*").alias("n_lines"), F.count_if(_any(low, ("urlhttp",))).alias("n_url"), F.count_if(_any(low, VENUE_WORDS)).alias("n_venue"),
