@@ -83,26 +83,30 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
         alarm = [F.sum((1 - F.col(f"p{c}")) * is_class(c)).alias(f"a{c}") for c in range(n)]
         worth = materialize(state.groupBy("annotator").agg(F.count("*").alias("m"), *hit, *of, *alarm), "worth")
         pooled = worth.agg(*[F.sum(x).alias(x) for x in ["m"] + [f"{k}{c}" for k in "hta" for c in range(n)]]).first()
-        votes = []
+        # What of the rates is the same for all edges of an annotator is worked out once for it. The common rates are started from honest
+        # annotators: HONEST votes that any real number of them outweighs.
+        rates = ["annotator"]
         for c in range(n):
-            # The common rates, started from honest annotators: HONEST votes that any real number of them outweighs.
             mean_hit = (pooled[f"h{c}"] + 0.8 * HONEST) / (pooled[f"t{c}"] + HONEST)
             mean_alarm = (pooled[f"a{c}"] + 0.15 * HONEST) / (pooled["m"] - pooled[f"t{c}"] + HONEST)
-            p, own = F.col(f"p{c}"), is_class(c)
-            rate_hit = (F.col(f"h{c}") - p * own + weight * mean_hit) / (F.col(f"t{c}") - p + weight)
-            rate_alarm = (F.col(f"a{c}") - (1 - p) * own + weight * mean_alarm) / (F.col("m") - F.col(f"t{c}") - (1 - p) + weight)
+            rates += [(F.col(f"h{c}") + weight * mean_hit).alias(f"h{c}"), (F.col(f"t{c}") + weight).alias(f"t{c}"), (F.col(f"a{c}") + weight * mean_alarm).alias(f"a{c}"), (F.col("m") - F.col(f"t{c}") + weight).alias(f"f{c}")]
+        votes = []
+        for c in range(n):
+            p, own = F.col(f"p{c}"), F.col("label") == c
             bound = lambda x: F.greatest(F.lit(0.005), F.least(F.lit(0.995), x))
-            rate_hit, rate_alarm = bound(rate_hit), bound(rate_alarm)
-            votes.append(F.when(F.col("label") == c, F.log(rate_hit / rate_alarm)).otherwise(F.log((1 - rate_hit) / (1 - rate_alarm))).alias(f"v{c}"))
-        sent = _joined(state, worth, ["annotator"], broadcast_rows).select(*edges.columns, *[f"p{c}" for c in range(n)], *votes)
+            said = bound((F.col(f"h{c}") - p) / (F.col(f"t{c}") - p)), bound((F.col(f"a{c}") - 1 + p) / (F.col(f"f{c}") - 1 + p))
+            kept_from = bound(F.col(f"h{c}") / (F.col(f"t{c}") - p)), bound(F.col(f"a{c}") / (F.col(f"f{c}") - 1 + p))
+            votes.append(F.log(F.when(own, said[0] / said[1]).otherwise((1 - kept_from[0]) / (1 - kept_from[1]))).alias(f"v{c}"))
+        sent = _joined(state, worth.select(*rates), ["annotator"], broadcast_rows).select(*edges.columns, *[f"p{c}" for c in range(n)], *votes)
         sums = materialize(sent.groupBy(*item).agg(*[F.sum(f"v{c}").alias(f"s{c}") for c in range(n)]), "sums")
         back = _joined(sent, sums, item, broadcast_rows)
         prior = [min(0.999, max(0.001, (pooled[f"t{c}"] + HONEST * share[c]) / (pooled["m"] + HONEST))) for c in range(n)]
         logit = [math.log(q / (1 - q)) for q in prior]
         new = [1 / (1 + F.exp(-(F.lit(logit[c]) + F.col(f"s{c}") - F.col(f"v{c}")))) for c in range(n)]
         moves = Observation()
-        told = back.observe(moves, *[F.avg(F.abs(new[c] - F.col(f"p{c}"))).alias(f"d{c}") for c in range(n)])
-        after = materialize(told.select(*edges.columns, *[q.alias(f"p{c}") for c, q in enumerate(new)]), "beliefs")
+        told = back.select(*edges.columns, *[f"p{c}" for c in range(n)], *[q.alias(f"q{c}") for c, q in enumerate(new)])
+        told = told.observe(moves, *[F.avg(F.abs(F.col(f"q{c}") - F.col(f"p{c}"))).alias(f"d{c}") for c in range(n)])
+        after = materialize(told.select(*edges.columns, *[F.col(f"q{c}").alias(f"p{c}") for c in range(n)]), "beliefs")
         done = back.select(*edges.columns, *[q.alias(f"q{c}") for c, q in enumerate(new)], *[f"{k}{c}" for k in "vs" for c in range(n)])
         if turn + 1 == rounds or max(moves.get[f"d{c}"] for c in range(n)) < tolerance:
             break
