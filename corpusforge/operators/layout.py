@@ -10,8 +10,6 @@ counts as 8 points; a line without text is no part of a block.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
