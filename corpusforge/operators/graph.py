@@ -20,6 +20,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_roun
     edges = materialize(edges, "links")
     loops = edges.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
     now, old = edges.where("u <> v"), None
+    digest = lambda d: d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+    before = digest(now)
     for _ in range(most_rounds):
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -27,11 +29,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", most_roun
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lower, "u").select(F.greatest("v", "m").alias("x"), F.col("m").alias("y")).where("x <> y")
         after = materialize(small.select(F.col("x").alias("u"), F.col("y").alias("v")).unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "star")
-        sums = [d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first() for d in (now, after)]
+        last, before = before, digest(after)
         if old is not None:
             discard(old)  # a round needs the one before only
         now = old = after
-        if sums[0] == sums[1]:
+        if last == before:
             break
     roots = now.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     tops = roots.select(F.col("component").alias("node"), "component").distinct()
