@@ -60,8 +60,8 @@ def label_edges(df: DataFrame, item: list[str], annotator: str = "reviewer_usern
     return rows.groupBy(*item, "annotator").agg(F.max(F.struct("when", "row_id", "label"))["label"].alias("label"))
 
 
-def _joined(edges: DataFrame, sums: DataFrame, on: list[str], broadcast_rows: int) -> DataFrame:
-    return edges.join(F.broadcast(sums) if is_small(sums, broadcast_rows) else sums, on)
+def _joined(edges: DataFrame, sums: DataFrame, on: list[str], small: bool) -> DataFrame:
+    return edges.join(F.broadcast(sums) if small else sums, on)
 
 
 def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, tolerance: float = 2e-4, weight: float = 2.0, broadcast_rows: int = 200_000) -> DataFrame:
@@ -77,6 +77,7 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
     start = edges.join(item_votes, item)
     state = materialize(start.select(*edges.columns, *[((F.col(f"k{c}") - is_class(c) + prior[c]) / F.col("m")).alias(f"p{c}") for c in range(n)]), "beliefs")
     kept: list[DataFrame] = []
+    few: dict[str, bool] = {}  # whether annotators and items are few enough to broadcast; their numbers stay the same in all rounds
     for turn in range(rounds):
         hit = [F.sum(F.col(f"p{c}") * is_class(c)).alias(f"h{c}") for c in range(n)]
         of = [F.sum(f"p{c}").alias(f"t{c}") for c in range(n)]
@@ -97,9 +98,12 @@ def message_passing(edges: DataFrame, item: list[str], rounds: int = 25, toleran
             said = bound((F.col(f"h{c}") - p) / (F.col(f"t{c}") - p)), bound((F.col(f"a{c}") - 1 + p) / (F.col(f"f{c}") - 1 + p))
             kept_from = bound(F.col(f"h{c}") / (F.col(f"t{c}") - p)), bound(F.col(f"a{c}") / (F.col(f"f{c}") - 1 + p))
             votes.append(F.log(F.when(own, said[0] / said[1]).otherwise((1 - kept_from[0]) / (1 - kept_from[1]))).alias(f"v{c}"))
-        sent = _joined(state, worth.select(*rates), ["annotator"], broadcast_rows).select(*edges.columns, *[f"p{c}" for c in range(n)], *votes)
+        if not few:
+            few["annotators"] = is_small(worth, broadcast_rows)
+        sent = _joined(state, worth.select(*rates), ["annotator"], few["annotators"]).select(*edges.columns, *[f"p{c}" for c in range(n)], *votes)
         sums = materialize(sent.groupBy(*item).agg(*[F.sum(f"v{c}").alias(f"s{c}") for c in range(n)]), "sums")
-        back = _joined(sent, sums, item, broadcast_rows)
+        few["items"] = few["items"] if "items" in few else is_small(sums, broadcast_rows)
+        back = _joined(sent, sums, item, few["items"])
         prior = [min(0.999, max(0.001, (pooled[f"t{c}"] + HONEST * share[c]) / (pooled["m"] + HONEST))) for c in range(n)]
         logit = [math.log(q / (1 - q)) for q in prior]
         new = [1 / (1 + F.exp(-(F.lit(logit[c]) + F.col(f"s{c}") - F.col(f"v{c}")))) for c in range(n)]
