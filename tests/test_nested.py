@@ -52,3 +52,22 @@ def test_tables_link_to_their_parents(spark):
     analyses = nested.node_table(nodes, nested.QUERY_CHILDREN["analysis"], ["decision"]).collect()
     assert {r.parent_node for r in queries.values()} <= papers
     assert [queries[a.parent_node].query_text for a in analyses] == ["b"]
+
+
+def test_wrappings_of_any_depth():
+    value = {"a": 1}
+    for _ in range(200):
+        value = {"value": value}
+    assert nested.plain(value) == {"a": 1}
+    text = {"a": 1}
+    for _ in range(8):
+        text = {"value": json.dumps(text)}
+    assert nested.plain(text) == {"a": 1}
+
+
+def test_only_the_wanted_paths_give_rows(spark):
+    text = json.dumps({"papers": [{"paper_id": "p", "summary_views": [{"view_name": "v", "bullet_points": [{"text": "a"}]}], "queries": [{"query_text": "q"}]}]})
+    df = spark.createDataFrame([(1, text, "")], ROWS)
+    paths = lambda **kw: sorted(r.path for r in nested.dewey_nodes(df, "artifact_id", "payload", **kw).collect())
+    assert paths(only=["papers.queries"]) == ["papers.queries"]
+    assert paths() == ["papers", "papers.queries", "papers.summary_views", "papers.summary_views.bullet_points"]
