@@ -90,6 +90,6 @@ def test_label_model_learns_accuracies_and_correlation():
 
 def test_sentences_are_keyed_as_a_whole():
     start = "We study " + "a very long beginning of a sentence " * 12
-    a, b = L.sentences(start + "that ends in one way. And more words follow in another sentence here."), L.sentences(start + "that ends in quite another way. And more words follow in another sentence here.")
+    a, b = linkage.sentences(start + "that ends in one way. And more words follow in another sentence here."), linkage.sentences(start + "that ends in quite another way. And more words follow in another sentence here.")
     assert len(a[0][0]) > 300 and a[0][0] != b[0][0] and a[0][1] == b[0][1] and a[1][0] == b[1][0]
-    assert L.sentences("Odd \0 sign in this sentence, which is long enough to be kept as a key for all that follows it.")[0]
+    assert linkage.sentences("Odd \0 sign in this sentence, which is long enough to be kept as a key for all that follows it.")[0]
