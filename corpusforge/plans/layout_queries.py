@@ -177,7 +177,7 @@ def _items(spark, folder):
 
 @query(rf"""with f as (select *, kind = 'header' and upper(text) in ('REFERENCES', 'REFERENCE') as r, kind = 'header' and (starts_with(upper(text), 'APPENDIX') or regexp_matches(upper(text), '^[A-Z]\s+[A-Z]')) as a from {_ITEM_SQL}), s as (select *, bool_or(a) over w as late, bool_or(r) over w as ref from f window w as (partition by doc order by pos rows between unbounded preceding and current row)),
 n as (select *, sum((kind = 'header')::int) over (partition by doc order by pos rows between unbounded preceding and current row) as section_no from s where (late or not ref) and not r)
-select doc, section_no, max(case when late then 'appendix' else 'maintext' end) as container, max(case when kind = 'header' then text end) as heading, min(page) as start_page, max(page) as end_page, count(*) as n_items from n where section_no > 0 and (kind <> 'text' or not (text = '' or text in ('…', '.', ',', ':', ';', '[', ']', '(', ')', 'Web', '].') or (length(text) <= 2 and not regexp_matches(text, '[\p{{L}}\p{{N}}]')))) group by 1, 2""")
+select doc, section_no::bigint as section_no, max(case when late then 'appendix' else 'maintext' end) as container, max(case when kind = 'header' then text end) as heading, min(page) as start_page, max(page) as end_page, count(*) as n_items from n where section_no > 0 and (kind <> 'text' or not (text = '' or text in ('…', '.', ',', ':', ';', '[', ']', '(', ')', 'Web', '].') or (length(text) <= 2 and not regexp_matches(text, '[\p{{L}}\p{{N}}]')))) group by 1, 2""")
 def document_sections(spark, folder):
     """Sections of converted documents, without references."""
     return layout.sectioned_items(_items(spark, folder))

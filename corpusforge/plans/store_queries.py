@@ -261,7 +261,7 @@ _LINES = "(select doc_id, unnest(string_split(text, chr(10))) as line, unnest(ra
 
 
 @query(f"""with l as (select *, line like '## %' as h from {_LINES}), b as (select doc_id, pos, sum((h or coalesce(prev, true))::int) over (partition by doc_id order by pos) as b from (select *, lag(h) over (partition by doc_id order by pos) as prev from l))
-select doc_id, max(b) as n_blocks, count(*) as n_lines from b group by 1""")
+select doc_id, max(b)::bigint as n_blocks, count(*) as n_lines from b group by 1""")
 def line_blocks_islands(spark, folder):
     """Blocks of lines: one begins at a heading and after one (headings of the documents begin with number signs)."""
     lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text")
