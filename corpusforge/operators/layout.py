@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -56,7 +58,10 @@ def _sure(condition: Column) -> Column:
 
 
 def is_heading(text: Column) -> Column:
-    t = squeeze(text)
+    return _heading(squeeze(text))
+
+
+def _heading(t: Column) -> Column:
     return _sure(t.isin(*FULL_HEADINGS) | t.rlike(HEADING))
 
 
@@ -79,7 +84,11 @@ def names_institution(text: Column) -> Column:
 
 def is_noise(text: Column) -> Column:
     """Blank and null lines, page numbers, running heads and the marks of a table of contents."""
-    t = F.lower(squeeze(text))
+    return _noise(squeeze(text))
+
+
+def _noise(t: Column) -> Column:
+    t = F.lower(t)
     return F.coalesce((t == "") | F.startswith(t, F.lit(RUNNING_HEAD)) | t.isin(*NOISE) | t.rlike(r"^\d+$"), F.lit(True))
 
 
@@ -88,12 +97,15 @@ def is_visual_artifact(text: Column) -> Column:
     t = F.lower(text)
     labels = F.regexp_count(t, F.lit("task:")) + F.regexp_count(t, F.lit("query:"))
     words = F.regexp_count(text, F.lit(r"(?U)\w+"))
-    return _sure(F.contains(t, F.lit("<image")) | _any(t, PANEL_WORDS) | (labels >= 2) | ((words <= 8) & (F.regexp_count(text, F.lit("-")) >= 2)))
+    return _sure(F.contains(t, F.lit("<image")) | _any(t, PANEL_WORDS) | (labels >= 2) | ((F.regexp_count(text, F.lit("-")) >= 2) & (words <= 8)))
 
 
 def is_equation(text: Column) -> Column:
     """A line that is mostly formula: numbered, or few words with an assignment, a chain of operators, a call or several signs."""
-    t = squeeze(text)
+    return _equation(squeeze(text))
+
+
+def _equation(t: Column) -> Column:
     count = lambda p: F.regexp_count(t, F.lit(p))
     words, signs, digits = count("[A-Za-z]+"), count(MATH), count(r"\d")
     prose = F.exists(F.regexp_extract_all(F.lower(t), F.lit("([a-z]+)"), F.lit(1)), lambda w: w.isin(*PROSE_WORDS)) & (words > 5)
@@ -101,7 +113,7 @@ def is_equation(text: Column) -> Column:
         (t.rlike(r"[A-Za-z0-9_)\]}]\s*=\s*[^=]") & ((signs >= 2) | (digits >= 2))) | t.rlike(r"\d+\s*[+*/^]\s*\d+")
         | (t.rlike(r"[A-Za-z0-9_]+\([^)]*\)") & t.rlike("[=+*/^]") & (words <= 8)) | (t.rlike("[=≤≥≈∑∫√]") & (signs >= 3) & (words <= 6))
     )
-    no = (F.length(t) < 4) | is_heading(t) | F.contains(F.lower(t), F.lit("<image"))
+    no = (F.length(t) < 4) | _heading(t) | F.contains(F.lower(t), F.lit("<image"))
     return _sure(~no & (t.rlike(r"\(\d+\)$") | ((words <= 10) & ~prose & shape)))
 
 
@@ -162,8 +174,8 @@ def without_contents_pages(blocks: DataFrame) -> DataFrame:
 
 def cleaned_fragments(fragments: DataFrame) -> DataFrame:
     """Fragments with NUL as blank and outer blanks taken off; those without text or place are left out."""
-    text = F.trim(F.regexp_replace("text", "\x00", " "))
-    return fragments.withColumn("text", squeeze(text)).where("text <> '' and doc is not null and page is not null and x is not null and y is not null")
+    filled = F.col("text").rlike(r"(?U)[^\s\x00\x1c-\x1f]")
+    return fragments.where(filled & F.expr("doc is not null and page is not null and x is not null and y is not null")).withColumn("text", squeeze(F.replace("text", F.lit("\x00"), F.lit(" "))))
 
 
 def lines_of(fragments: DataFrame, tolerance: float = ROW_TOLERANCE) -> DataFrame:
@@ -175,29 +187,27 @@ def lines_of(fragments: DataFrame, tolerance: float = ROW_TOLERANCE) -> DataFram
     max(0.3 font, 4). A line has the height of its leftmost fragment and the mean font size. Ties go by frag.
     """
     font = F.coalesce(F.nullif("font_size", F.lit(0.0)), F.lit(DEFAULT_FONT))
-    piece = F.struct((-F.col("y")).alias("down"), "x", "frag", "text", font.alias("font"), F.coalesce("font_size", F.lit(0.0)).alias("size"))
-    pages = cleaned_fragments(fragments).groupBy("doc", "page").agg(F.array_sort(F.collect_list(piece)).alias("all"))
+    end = F.col("x") + F.greatest(font * GLYPH * F.greatest(F.length(F.replace(F.col("text"), F.lit(" "))), F.lit(1)), font)
+    piece = F.struct((-F.col("y")).alias("down"), "x", "frag", "text", font.alias("font"), F.coalesce("font_size", F.lit(0.0)).alias("size"), end.alias("end"))
+    pages = cleaned_fragments(fragments).groupBy("doc", "page").agg(F.sort_array(F.collect_list(piece)).alias("all"))
 
-    def numbered(acc: Column, f: Column) -> Column:
+    def begun(acc: Column, f: Column) -> Column:
         begins = acc["top"].isNull() | (F.abs(f["down"] - acc["top"]) > tolerance)
-        row = acc["row"] + begins.cast("int")
-        return F.struct(F.when(begins, f["down"]).otherwise(acc["top"]).alias("top"), row.alias("row"), F.concat(acc["rows"], F.array(row)).alias("rows"))
+        return F.struct(F.when(begins, f["down"]).otherwise(acc["top"]).alias("top"), (acc["i"] + 1).alias("i"), F.when(begins, F.concat(acc["at"], F.array(acc["i"]))).otherwise(acc["at"]).alias("at"))
 
-    start = F.struct(F.lit(None).cast("double").alias("top"), F.lit(-1).alias("row"), F.array().cast("array<int>").alias("rows"))
-    rows = pages.withColumn("rows", F.aggregate("all", start, numbered)["rows"]).select("doc", "page", F.inline(F.arrays_zip("all", "rows")))
-    lines = rows.groupBy("doc", "page", F.col("rows").alias("line")).agg(F.array_sort(F.collect_list(F.struct("all.x", "all.frag", "all.down", "all.text", "all.font", "all.size"))).alias("own"))
+    start = F.struct(F.lit(None).cast("double").alias("top"), F.lit(1).alias("i"), F.array().cast("array<int>").alias("at"))
+    row = lambda own: F.sort_array(F.transform(own, lambda f: F.struct(f["x"].alias("x"), f["frag"].alias("frag"), f["down"].alias("down"), f["text"].alias("text"), f["font"].alias("font"), f["size"].alias("size"), f["end"].alias("end"))))
+    cut = lambda at: F.transform(at, lambda a, k: row(F.slice("all", a, F.coalesce(F.get(at, k + 1), F.size("all") + 1) - a)))
+    rows = F.flatten(F.transform(F.array(F.aggregate("all", start, begun)["at"]), cut))
 
-    def set_together(acc: Column, f: Column) -> Column:
-        apart = f["x"] - acc["end"] > F.greatest(f["size"] * WORD_GAP_SHARE, F.lit(LEAST_WORD_GAP))
-        wide = F.greatest(f["font"] * GLYPH * F.greatest(F.length(F.replace(f["text"], F.lit(" "))), F.lit(1)), f["font"])
-        end = f["x"] + wide
-        return F.struct(F.concat(acc["text"], F.when(apart, " ").otherwise(""), f["text"]).alias("text"), end.alias("end"), F.greatest(acc["most"], end).alias("most"))
+    def line(own: Column, k: Column) -> Column:
+        apart = lambda f, i: (i > 0) & (f["x"] - F.get(own, i - 1)["end"] > F.greatest(f["size"] * WORD_GAP_SHARE, F.lit(LEAST_WORD_GAP)))
+        text = F.array_join(F.transform(own, lambda f, i: F.when(apart(f, i), F.concat(F.lit(" "), f["text"])).otherwise(f["text"])), "")
+        mean = F.aggregate(own, F.lit(0.0), lambda a, f: a + f["font"]) / F.size(own)
+        first = F.get(own, F.lit(0))
+        return F.struct(k.alias("line"), text.alias("text"), first["x"].alias("x_min"), F.array_max(own["end"]).alias("x_max"), (-first["down"]).alias("y"), mean.alias("font_size"))
 
-    empty = F.struct(F.lit("").alias("text"), F.lit(None).cast("double").alias("end"), F.lit(None).cast("double").alias("most"))
-    merged = F.aggregate("own", empty, set_together)
-    mean = F.aggregate("own", F.lit(0.0), lambda a, f: a + f["font"]) / F.size("own")
-    out = lines.withColumn("_m", merged)
-    return out.select("doc", "page", "line", squeeze(F.col("_m.text")).alias("text"), F.get("own", F.lit(0))["x"].alias("x_min"), F.col("_m.most").alias("x_max"), (-F.get("own", F.lit(0))["down"]).alias("y"), mean.alias("font_size"))
+    return pages.select("doc", "page", F.inline(F.transform(rows, line)))
 
 
 def line_box(prefix: str = "") -> dict[str, Column]:
@@ -247,12 +257,9 @@ def _caption_groups(text: list, head: np.ndarray, cap: np.ndarray, x: np.ndarray
     return groups
 
 
-_KINDS = {"_head": lambda: is_heading(F.col("text")), "_cap": lambda: is_caption(F.col("text")), "_noise": lambda: is_noise(F.col("text")), "_eq": lambda: is_equation(F.col("text"))}
-
-
 def captions(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
     """(doc, page, line, caption, n_lines): captions from their first line on, until another caption or a heading, a gap, four lines, 320 characters, a full stop after 50 characters, or (tables) an indent."""
-    marked = lines.where("text is not null").select("doc", "page", "line", "text", "y", *(["x_min"] if "x_min" in lines.columns else [F.lit(0.0).alias("x_min")]), _KINDS["_head"]().alias("_head"), _KINDS["_cap"]().alias("_cap"))
+    marked = lines.where("text is not null").select("doc", "page", "line", "text", "y", *(["x_min"] if "x_min" in lines.columns else [F.lit(0.0).alias("x_min")]), is_heading(F.col("text")).alias("_head"), is_caption(F.col("text")).alias("_cap"))
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
         page = page.sort_values("line")
@@ -265,6 +272,82 @@ def captions(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
 
 
 STRUCTURE = "doc string, page int, kind string, head int, caption_lines array<int>, content_lines array<int>"
+_FOUND = pa.list_(pa.struct([("kind", pa.string()), ("head", pa.int32()), ("caption", pa.list_(pa.int32())), ("content", pa.list_(pa.int32()))]))
+_PLAIN = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
+_PARTS = "struct<found: array<struct<kind: string, head: int, caption: array<int>, content: array<int>>>, plain: array<struct<at: int, n: int>>>"
+
+
+def _found(text: list, head: np.ndarray, cap: np.ndarray, noise: np.ndarray, eq: np.ndarray, x: np.ndarray, wide: np.ndarray, y: np.ndarray, gap: float) -> tuple[list[dict], np.ndarray]:
+    """Figures, tables and equations of a page by the places of their lines, and which lines they use. text is read only where there are captions."""
+    groups, stop, out = _caption_groups(text, head, cap, x, y, gap) if cap.any() else {}, head | cap, []
+    taken = np.zeros(len(head), bool)
+    for start, n in groups.items():
+        taken[start : start + n] = True
+    for start, n in groups.items():
+        table = text[start].lower().startswith("table")
+        if table:
+            below = np.arange(start + n, len(text))
+            content = below[: _reach(stop[below] | taken[below], y[below - 1] - y[below], np.inf, TABLE_GAP)]
+            taken[content] = True
+        else:
+            above = np.arange(start - 1, -1, -1)
+            above = above[: _reach(stop[above], np.zeros(len(above)), np.inf, np.inf)]
+            above = above[~(noise[above] | wide[above])]
+            content = above[: _reach(np.zeros(len(above), bool), y[above] - np.concatenate([[y[start]], y[above[:-1]]]) if len(above) else y[above], FIGURE_FIRST_GAP, FIGURE_GAP)][::-1]
+        out.append({"kind": "table" if table else "figure", "head": start, "caption": list(range(start, start + n)), "content": content.tolist()})
+    formula = np.flatnonzero(eq & ~taken)
+    if len(formula):
+        apart = (np.diff(formula) > 1) | (y[formula[:-1]] - y[formula[1:]] > gap)
+        for own in np.split(formula, np.flatnonzero(apart) + 1):
+            out.append({"kind": "equation", "head": int(own[0]), "caption": [], "content": own.tolist()})
+        taken[formula] = True
+    return out, taken
+
+
+def _parted(pages: DataFrame, gap: float) -> DataFrame:
+    """pages (`all`: lines by number) with `parts`: what is found on a page, and the runs of its other lines that are text blocks; lines by their places from 0.
+
+    Only numbers and marks go to Python, texts only of pages with a caption.
+    """
+
+    def run(y: pa.Array, x_min: pa.Array, x_max: pa.Array, marks: pa.Array, text: pa.Array) -> pa.Array:
+        flat = lambda a: pc.fill_null(a.flatten(), float("nan")).to_numpy(zero_copy_only=False)
+        y, x, wide, mark = flat(y), flat(x_min), flat(x_max) > 2000, marks.flatten().to_numpy(zero_copy_only=False)
+        begin = np.concatenate([[0], np.cumsum(marks.value_lengths().to_numpy(zero_copy_only=False))]).astype(int)
+        head, cap, noise, eq, used = ((mark & (1 << k)) != 0 for k in range(5))
+        found: list[list[dict]] = [[] for _ in range(len(marks))]
+        for k in np.unique(np.searchsorted(begin, np.flatnonzero(cap | eq), "right") - 1).tolist():
+            own = slice(begin[k], begin[k + 1])
+            found[k], taken = _found(text[k].as_py(), head[own], cap[own], noise[own], eq[own], x[own], wide[own], y[own], gap)
+            used[own] |= taken
+        alone = head | used
+        starts = np.ones(len(y), bool)
+        starts[1:] = alone[1:] | alone[:-1] | ~(y[:-1] - y[1:] <= gap)
+        starts[begin[:-1]] = True
+        starts = np.flatnonzero(starts)
+        n = np.diff(np.append(starts, len(y)))
+        kept = ~used[starts]
+        starts, n = starts[kept], n[kept]
+        page = np.searchsorted(begin, starts, "right") - 1
+        runs = pa.StructArray.from_arrays([pa.array(starts - begin[page], pa.int32()), pa.array(n, pa.int32())], fields=list(_PLAIN.value_type))
+        plain = pa.ListArray.from_arrays(pa.array(np.searchsorted(page, np.arange(len(marks) + 1)), pa.int32()), runs)
+        return pa.StructArray.from_arrays([pa.array(found, _FOUND), plain], ["found", "plain"])
+
+    text = F.when(F.exists("all.marks", lambda m: m.bitwiseAND(2) != 0), F.col("all.text"))
+    return pages.withColumn("parts", F.arrow_udf(run, _PARTS)("all.y", "all.x_min", "all.x_max", "all.marks", text))
+
+
+def _pages(lines: DataFrame, gap: float) -> DataFrame:
+    """(doc, page, all, parts) of lines with a text."""
+    c = F.col
+
+    def marked(t: Column) -> Column:
+        kinds = [_heading(t), is_caption(c("text")), _noise(t), _equation(t), t == ""]
+        return sum((F.when(kind, 1 << k).otherwise(0) for k, kind in enumerate(kinds)), F.lit(0))
+
+    marks = F.get(F.transform(F.array(squeeze(c("text"))), marked), F.lit(0))  # the squeezed text is made once
+    line = F.struct("line", "text", *[c(n).cast("double").alias(n) for n in ("x_min", "x_max", "y")], marks.alias("marks"), *[box.alias(n) for n, box in line_box().items() if n in ("y0", "y1")])
+    return _parted(lines.where("text is not null").groupBy("doc", "page").agg(F.sort_array(F.collect_list(line)).alias("all")), gap)
 
 
 def page_structure(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
@@ -273,63 +356,40 @@ def page_structure(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
     A table takes the lines below its caption, a figure those above it (noise in between is passed over), an
     equation the formulas that follow each other; each until a caption, a heading or a gap.
     """
-    marked = lines.where("text is not null").select("doc", "page", "line", "text", "x_min", "x_max", "y", *[make().alias(name) for name, make in _KINDS.items()])
-
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("line")
-        text, number = page["text"].tolist(), page["line"].to_numpy(int)
-        head, cap, noise, eq = (page[c].to_numpy(bool) for c in ("_head", "_cap", "_noise", "_eq"))
-        x, y, wide = page["x_min"].to_numpy(float), page["y"].to_numpy(float), page["x_max"].to_numpy(float) > 2000
-        groups, stop, rows = _caption_groups(text, head, cap, x, y, gap), head | cap, []
-        taken = np.zeros(len(text), bool)
-        for start, n in groups.items():
-            taken[start : start + n] = True
-        for start, n in groups.items():
-            own = np.arange(start, start + n)
-            if text[start].lower().startswith("table"):
-                below = np.arange(start + n, len(text))
-                content = below[: _reach(stop[below] | taken[below], y[below - 1] - y[below], np.inf, TABLE_GAP)]
-                taken[content] = True
-            else:
-                above = np.arange(start - 1, -1, -1)
-                above = above[: _reach(stop[above], np.zeros(len(above)), np.inf, np.inf)]
-                above = above[~(noise[above] | wide[above])]
-                content = above[: _reach(np.zeros(len(above), bool), y[above] - np.concatenate([[y[start]], y[above[:-1]]]) if len(above) else y[above], FIGURE_FIRST_GAP, FIGURE_GAP)][::-1]
-            rows.append(("table" if text[start].lower().startswith("table") else "figure", int(number[start]), number[own].tolist(), number[content].tolist()))
-        formula = np.flatnonzero(eq & ~taken)
-        if len(formula):
-            apart = np.concatenate([[True], (np.diff(formula) > 1) | (y[formula[:-1]] - y[formula[1:]] > gap)])
-            for own in np.split(formula, np.flatnonzero(apart)[1:]):
-                rows.append(("equation", int(number[own[0]]), [], number[own].tolist()))
-        out = pd.DataFrame(rows, columns=["kind", "head", "caption_lines", "content_lines"])
-        return out.assign(doc=page["doc"].iloc[0], page=page["page"].iloc[0])[["doc", "page", "kind", "head", "caption_lines", "content_lines"]]
-
-    return marked.groupBy("doc", "page").applyInPandas(run, STRUCTURE)
+    number = lambda i: F.get("all.line", i)
+    found = F.transform("parts.found", lambda s: F.struct(s["kind"].alias("kind"), number(s["head"]).alias("head"), F.transform(s["caption"], number).alias("caption_lines"), F.transform(s["content"], number).alias("content_lines")))
+    return _pages(lines, gap).select("doc", "page", F.inline(found))
 
 
 def page_blocks(lines: DataFrame, gap: float = BLOCK_GAP) -> DataFrame:
     """(doc, page, block, block_type, y, text, caption, x0, y0, x1, y1): all blocks of every page from the top down, headings before others of one height.
 
     Lines of captions, tables and equations are no text; the lines that a figure takes stay text as well. Noise and
-    artifacts of pictures are left out.
+    artifacts of pictures are left out. Lines are brought together by page once, without joins; the rest runs over a page's array.
     """
-    structure = page_structure(lines, gap).withColumn("s", F.concat_ws("-", "kind", F.col("head").cast("string")))
-    boxed = lines.where("text is not null").withColumns(line_box())
-    each = lambda column, role: structure.select("doc", "page", "s", "kind", F.lit(role).alias("role"), F.explode(column).alias("line"))
-    members = each("caption_lines", "caption").unionByName(each("content_lines", "content"))
-    shown = members.where("kind <> 'figure' or role = 'caption'").join(boxed, ["doc", "page", "line"])
-    told = lambda role, sep: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("line", "text")))), lambda r: r["text"]), sep)
-    box = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]
-    visual = shown.groupBy("doc", "page", "s", "kind").agg(told("content", "\n").alias("text"), squeeze(told("caption", " ")).alias("caption"), F.max("y").alias("_line"), *box)
-    visual = visual.select("doc", "page", F.col("kind").alias("block_type"), F.when(F.col("kind") == "equation", F.col("_line")).otherwise(F.col("y1")).alias("y"), F.nullif("text", F.lit("")).alias("text"), F.nullif("caption", F.lit("")).alias("caption"), "x0", "y0", "x1", "y1")
-    used = members.where("kind <> 'figure' or role = 'caption'").select("doc", "page", "line", F.lit(True).alias("_used")).distinct()
-    rest = boxed.join(used, ["doc", "page", "line"], "left").withColumn("_used", F.coalesce("_used", F.lit(False)) | (squeeze(F.col("text")) == ""))
-    numbered = blocks_of(rest, gap, F.col("_used")).where(~F.col("_used"))
-    plain = numbered.groupBy("doc", "page", "block").agg(squeeze(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda r: r["text"]), " ")).alias("text"), F.count("*").alias("n"), F.max("y").alias("y"), *box)
-    plain = plain.withColumn("block_type", F.when((F.col("n") == 1) & is_heading(F.col("text")), "heading").otherwise("text"))
-    plain = plain.where(~is_noise(F.col("text")) & ~((F.col("block_type") == "text") & is_visual_artifact(F.col("text")))).select("doc", "page", "block_type", "y", "text", F.lit(None).cast("string").alias("caption"), "x0", "y0", "x1", "y1")
-    order = W.partitionBy("doc", "page").orderBy(F.col("y").desc(), F.when(F.col("block_type") == "heading", 0).otherwise(1), "x0", "block_type", "text")
-    return plain.unionByName(visual).withColumn("block", F.row_number().over(order))
+    none = F.lit(None).cast("string")
+    box = lambda own: [F.array_min(own["x_min"]).alias("x0"), F.array_min(own["y0"]).alias("y0"), F.array_max(own["x_max"]).alias("x1"), F.array_max(own["y1"]).alias("y1")]
+    of = lambda places: F.transform(places, lambda i: F.get("all", i))
+    content = lambda s: F.when(s["kind"] != "figure", s["content"]).otherwise(F.array().cast("array<int>"))
+    found = F.transform("parts.found", lambda s: F.struct(s["kind"].alias("kind"), of(s["caption"]).alias("caption"), of(content(s)).alias("content")))
+
+    def visual(s: Column) -> Column:
+        own = F.concat(s["caption"], s["content"])
+        return F.struct(
+            s["kind"].alias("block_type"), F.when(s["kind"] == "equation", F.array_max(own["y"])).otherwise(F.array_max(own["y1"])).alias("y"),
+            F.nullif(F.array_join(s["content"]["text"], "\n"), F.lit("")).alias("text"), F.nullif(squeeze(F.array_join(s["caption"]["text"], " ")), F.lit("")).alias("caption"), *box(own), F.size(own).alias("n"),
+        )
+
+    def plain(own: Column) -> Column:
+        return F.struct(none.alias("block_type"), F.array_max(own["y"]).alias("y"), squeeze(F.array_join(own["text"], " ")).alias("text"), none.alias("caption"), *box(own), F.size(own).alias("n"))
+
+    runs = F.transform("parts.plain", lambda p: F.slice("all", p["at"] + 1, p["n"]))
+    blocks = _pages(lines, gap).select("doc", "page", F.inline(F.concat(F.transform(runs, plain), F.transform(found, visual))))
+    heading = (F.col("n") == 1) & _heading(F.col("text"))
+    blocks = blocks.where(F.col("block_type").isNotNull() | (~_noise(F.col("text")) & (heading | ~is_visual_artifact(F.col("text")))))
+    blocks = blocks.withColumn("block_type", F.coalesce("block_type", F.when(heading, "heading").otherwise("text")))
+    order = W.partitionBy("doc", "page").orderBy(F.col("y").desc(), F.when(F.col("block_type") == "heading", 0).otherwise(1), "x0", "block_type", "text", "caption", "y0", "x1", "y1")
+    return blocks.withColumn("block", F.row_number().over(order)).select("doc", "page", "block_type", "y", "text", "caption", "x0", "y0", "x1", "y1", "block")
 
 
 # Sections.

@@ -23,10 +23,12 @@ _PAGED_SQL = f"""(select *, row_number() over (partition by doc, page order by p
 
 def _fragments(spark, folder):
     lines = notes.document_lines(table(spark, folder, "documents"), "doc_id", "text")
-    words = F.filter(F.split(F.trim(F.regexp_replace("line", r"(?U)[\s\x1c-\x1f]+", " ")), " "), lambda w: w != "")
-    of = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size("words") - 1) / 3), F.lit(0)).cast("int")), lambda i: F.array_join(F.slice("words", i * 3 + 1, 3), " "))
-    each = lines.withColumn("words", words).where(F.size("words") > 0).select(F.col("doc_id").cast("string").alias("doc"), "pos", "words", F.posexplode(of).alias("k", "text"))
-    at = F.coalesce(F.length(F.array_join(F.slice("words", F.lit(1), F.col("k") * 3), " ")), F.lit(0)) + F.when(F.col("k") > 0, 1).otherwise(0)
+    threes = F.regexp_extract_all(F.trim(F.regexp_replace("line", r"(?U)[\s\x1c-\x1f]+", " ")), F.lit("[^ ]+(?: [^ ]+){0,2}"), F.lit(0))
+    place = lambda a, t: F.struct((a["at"] + F.length(t) + 1).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all"))
+    places = lambda of: F.aggregate(of, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")), place)["all"]
+    of = F.flatten(F.transform(F.array(threes), lambda of: F.zip_with(of, places(of), lambda text, at: F.struct(text.alias("text"), at.alias("at")))))
+    each = lines.select(F.col("doc_id").cast("string").alias("doc"), "pos", F.posexplode(of).alias("k", "f")).select("doc", "pos", "k", "f.*")
+    at = F.col("at")
     base = F.lit(TOP) - (F.col("pos") % PAGE_LINES) * F.lit(LEADING)
     return each.select(
         "doc", (F.floor(F.col("pos") / PAGE_LINES) + 1).cast("int").alias("page"), (F.col("pos") * 1000 + F.col("k")).cast("int").alias("frag"), "text", (F.lit(50.0) + at * 8.0).alias("x"),

@@ -267,6 +267,16 @@ def test_page_blocks_and_regions(spark):
     assert layout.without_contents_pages(spark.createDataFrame([("d", 1, "text", "Appendix Contents"), ("d", 1, "text", "a"), ("d", 2, "text", "b")], "doc string, page int, block_type string, text string")).count() == 1 and told.count() == 0
 
 
+def test_page_blocks_run_python_once_and_join_nothing(spark):
+    rows = [("d", p, i, t, 10.0, 90.0, 700.0 - 10 * i - 9 * (i > 3), 10.0) for p in (1, 2) for i, t in enumerate(["Figure 1: A", "Plain", "x = 3 + 4 = 7", "Table 2: B", "1 2 3"][: 5 - 3 * (p - 1)])]
+    blocks = layout.page_blocks(spark.createDataFrame(rows, LINE_ROWS))
+    plan = blocks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("ArrowEvalPython") == 1 and "FlatMapGroups" not in plan and "Join" not in plan
+    assert [(b.page, b.block_type, b.text, b.caption) for b in blocks.orderBy("page", "block").collect()] == [
+        (1, "figure", None, "Figure 1: A Plain x = 3 + 4 = 7"), (1, "table", "1 2 3", "Table 2: B"), (2, "figure", None, "Figure 1: A Plain"),
+    ]
+
+
 def test_document_metadata(spark):
     text = ["Published as a conference paper at X", "A STUDY OF", "LONG TITLES", "Jane Roe, John Doe", "University of Somewhere", "ABSTRACT", "We show", "some-", "thing.", "1 Introduction", "Body"]
     lines = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(text)] + [("e", 1, 0, "No title here"), ("f", 2, 0, "ONLY PAGE TWO")], "doc string, page int, line int, text string")
