@@ -277,6 +277,15 @@ def test_page_blocks_run_python_once_and_join_nothing(spark):
     ]
 
 
+def test_markdown_of_fragments_shuffles_twice(spark):
+    frags = [("d", p, k, t, 10.0 + 100 * (k % 2), 700.0 - 30 * (k // 2), 10.0) for p in (1, 2) for k, t in enumerate(["1", "Intro", "Body", "text", "42"])]
+    fragments = spark.createDataFrame(frags, "doc string, page int, frag int, text string, x double, y double, font_size double")
+    pages = layout.markdown(layout.page_blocks(layout.lines_of(fragments)), ["doc", "page"], ["block"])
+    plan = pages._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("ArrowEvalPython") == 1
+    assert {r.page: r.markdown for r in pages.collect()} == {p: "## 1 Intro\n\nBody text" for p in (1, 2)}
+
+
 def test_document_metadata(spark):
     text = ["Published as a conference paper at X", "A STUDY OF", "LONG TITLES", "Jane Roe, John Doe", "University of Somewhere", "ABSTRACT", "We show", "some-", "thing.", "1 Introduction", "Body"]
     lines = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(text)] + [("e", 1, 0, "No title here"), ("f", 2, 0, "ONLY PAGE TWO")], "doc string, page int, line int, text string")
