@@ -3,13 +3,15 @@
 Tables: fragments (doc, page, frag, text, x, y, font_size), lines (LINES), blocks (doc, page, block, block_type, y, text,
 caption, x0, y0, x1, y1), regions (doc, page, block_type, caption, x0, y0, x1, y1). y grows upwards. Steps with a fixed
 look-back are windows or array expressions; those that depend on how far a group has grown
-(`captions`, `page_blocks`) run per page over arrays. A page is the unit of work, so a document
-of any length never becomes one task. Nulls: a fragment without place or text is left out, one without a font size
+(`captions`, `page_blocks`) run per page over arrays; `markdown_of_sets` does all steps over sets (doc, page, set), a
+page's fragments in one row. A page is the unit of work, so a document of any length never becomes one task. Nulls: a fragment without place or text is left out, one without a font size
 counts as 8 points; a line without text is no part of a block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -210,6 +212,98 @@ def lines_of(fragments: DataFrame, tolerance: float = ROW_TOLERANCE) -> DataFram
     return pages.select("doc", "page", F.inline(F.transform(rows, line)))
 
 
+# Sets: all fragments of a page in one row. White space as `squeeze` has it, and NUL.
+SET = "struct<frag: array<int>, text: array<string>, x: array<double>, y: array<double>, font_size: array<double>>"
+_SET_LINE = pa.struct([("text", pa.string()), ("x_min", pa.float64()), ("x_max", pa.float64()), ("y", pa.float64()), ("font_size", pa.float64())])
+_PIECE = pa.struct([("piece", pa.string()), ("doubt", pa.bool_())])
+_PIECES = "array<struct<piece: string, doubt: boolean>>"
+_WHITE = r"\x{00}\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_UNTIDY = f"[{_WHITE.replace('{20}', '{1f}')}]|  |^ | $|^$"
+_SET_FIELDS, _SET_BYTES = ("frag", "text", "x", "y", "font_size"), 8_000_000
+
+
+def _above(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a > b as SQL has it, where NaN is above all numbers."""
+    return (a > b) | (np.isnan(a) & ~np.isnan(b))
+
+
+def _same(a: np.ndarray) -> np.ndarray:
+    """Which values equal the one before."""
+    return (a[1:] == a[:-1]) | (np.isnan(a[1:]) & np.isnan(a[:-1]))
+
+
+def _rows(page: np.ndarray, down: np.ndarray, tolerance: float) -> np.ndarray:
+    """The row of every fragment, counted over all pages; fragments by page and from the top down. The fold goes over distinct heights."""
+    new = np.ones(len(down), bool)
+    new[1:] = (page[1:] != page[:-1]) | (down[1:] != down[:-1]) | ~np.isfinite(down[1:])
+    heights = np.flatnonzero(new)
+    begins, last, top = [], -1, 0.0
+    for i, p, d in zip(heights.tolist(), page[heights].tolist(), down[heights].tolist()):
+        if p != last or not d - top <= tolerance:
+            begins.append(i)
+            last, top = p, d
+    row = np.zeros(len(down), int)
+    row[begins] = 1
+    return np.cumsum(row) - 1
+
+
+def _set_in_lines(frag: pa.Array, text: pa.Array, x: pa.Array, y: pa.Array, font_size: pa.Array, tolerance: float) -> pa.Array:
+    """Lists of lines of lists of fragments, a list a page, by the rules of `lines_of`."""
+    numbers = lambda a, filler: pc.fill_null(pc.cast(a, pa.float64()), filler).to_numpy(zero_copy_only=False)
+    n_pages = len(text)
+    page = np.repeat(np.arange(n_pages), pc.fill_null(text.value_lengths(), 0).to_numpy(zero_copy_only=False))
+    frag, text, x, y, font_size = (a.flatten() for a in (frag, text, x, y, font_size))
+    untidy = pc.fill_null(pc.match_substring_regex(text, _UNTIDY), False)
+    if pc.any(untidy).as_py():
+        text = pc.if_else(untidy, pc.utf8_trim(pc.replace_substring_regex(text, f"[{_WHITE}]+", " "), " "), text)
+    kept = pc.and_(pc.and_(x.is_valid(), y.is_valid()), pc.fill_null(pc.not_equal(text, ""), False))
+    if not pc.all(kept).as_py():
+        page = page[kept.to_numpy(zero_copy_only=False)]
+        frag, text, x, y, font_size = (a.filter(kept) for a in (frag, text, x, y, font_size))
+    places = np.zeros(n_pages + 1, np.int32)
+    if not len(text):
+        return pa.ListArray.from_arrays(places, pa.array([], _SET_LINE))
+    down, x, frag, size = -numbers(y, np.nan), numbers(x, np.nan), numbers(frag, -np.inf), numbers(font_size, 0.0)
+    font = np.where(size == 0, DEFAULT_FONT, size)
+    letters = np.maximum(pc.subtract(pc.utf8_length(text), pc.count_substring(text, " ")).to_numpy(zero_copy_only=False), 1)
+    end = x + np.maximum(font * GLYPH * letters, font)
+
+    fall = np.lexsort((down, page))
+    row = np.empty(len(down), int)
+    row[fall] = _rows(page[fall], down[fall], tolerance)
+    order = np.lexsort((frag, x, row))
+    if (_same(row[order]) & _same(x[order]) & _same(frag[order])).any():
+        order = np.lexsort((end, size, font, pc.rank(text, tiebreaker="dense").to_numpy(zero_copy_only=False), down, frag, x, row))
+    down, x, size, font, end, row, text = down[order], x[order], size[order], font[order], end[order], row[order], text.take(pa.array(order))
+
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    apart = np.zeros(len(row), bool)
+    apart[1:] = _above(x[1:] - end[:-1], np.maximum(size[1:] * WORD_GAP_SHARE, LEAST_WORD_GAP))
+    apart[starts] = False
+    pieces = pc.binary_join_element_wise(pc.if_else(pa.array(apart), " ", ""), text, "")
+    lengths = np.diff(np.append(starts, len(row)))
+    lines = pa.ListArray.from_arrays(pa.array(np.append(starts, len(row)), pa.int32()), pieces)
+    mean = np.bincount(row, weights=font) / lengths
+    own = pa.StructArray.from_arrays([pc.binary_join(lines, ""), pa.array(x[starts]), pa.array(np.maximum.reduceat(end, starts)), pa.array(-down[starts]), pa.array(mean)], fields=list(_SET_LINE))
+    places[1:] = np.cumsum(np.bincount(page[order][starts], minlength=n_pages))
+    return pa.ListArray.from_arrays(places, own)
+
+
+def in_parts(f: Callable[..., pa.Array], texts: pa.Array, *columns: pa.Array) -> pa.Array:
+    """f of columns of lists, over runs of rows with some 8 MB of texts (or one row) at a time, so that no batch needs much memory."""
+    upto = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts.flatten()), 0).to_numpy(zero_copy_only=False), dtype=int)])
+    part = upto[np.cumsum(pc.fill_null(texts.value_lengths(), 0).to_numpy(zero_copy_only=False))] // _SET_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    return pa.concat_arrays([f(*[c.slice(a, b - a) for c in columns]) for a, b in zip(cuts, cuts[1:])])
+
+
+def set_pages(fragments: DataFrame) -> DataFrame:
+    """(doc, page, set): the fragments of every page as SET, in no order."""
+    piece = F.struct("frag", "text", *[F.col(n).cast("double").alias(n) for n in _SET_FIELDS[2:]])
+    pages = fragments.where("doc is not null and page is not null").groupBy("doc", "page").agg(F.collect_list(piece).alias("all"))
+    return pages.select("doc", "page", F.struct(*[F.col("all")[n].alias(n) for n in _SET_FIELDS]).alias("set"))
+
+
 def line_box(prefix: str = "") -> dict[str, Column]:
     """The box of a line, from its ends, height and font size."""
     c = lambda n: F.col(prefix + n)
@@ -304,6 +398,22 @@ def _found(text: list, head: np.ndarray, cap: np.ndarray, noise: np.ndarray, eq:
     return out, taken
 
 
+def _split(begin: np.ndarray, y: np.ndarray, x_min: np.ndarray, x_max: np.ndarray, mark: np.ndarray, text: Callable[[int], list], gap: float) -> tuple[list[list[dict]], np.ndarray, np.ndarray, np.ndarray]:
+    """Of the lines of many pages, a page beginning at each place of `begin` (none is empty): what is found on every page, the first lines and lengths of all runs, and which lines are no text. text: the lines of a page."""
+    head, cap, noise, eq, used = ((mark & (1 << k)) != 0 for k in range(5))
+    found: list[list[dict]] = [[] for _ in begin[1:]]
+    for k in np.unique(np.searchsorted(begin, np.flatnonzero(cap | eq), "right") - 1).tolist():
+        own = slice(begin[k], begin[k + 1])
+        found[k], taken = _found(text(k), head[own], cap[own], noise[own], eq[own], x_min[own], x_max[own] > 2000, y[own], gap)
+        used[own] |= taken
+    alone = head | used
+    starts = np.ones(len(y), bool)
+    starts[1:] = alone[1:] | alone[:-1] | ~(y[:-1] - y[1:] <= gap)
+    starts[begin[:-1]] = True
+    starts = np.flatnonzero(starts)
+    return found, starts, np.diff(np.append(starts, len(y))), used
+
+
 def _parted(pages: DataFrame, gap: float) -> DataFrame:
     """pages (`all`: lines by number) with `parts`: what is found on a page, and the runs of its other lines that are text blocks; lines by their places from 0.
 
@@ -312,20 +422,8 @@ def _parted(pages: DataFrame, gap: float) -> DataFrame:
 
     def run(y: pa.Array, x_min: pa.Array, x_max: pa.Array, marks: pa.Array, text: pa.Array) -> pa.Array:
         flat = lambda a: pc.fill_null(a.flatten(), float("nan")).to_numpy(zero_copy_only=False)
-        y, x, wide, mark = flat(y), flat(x_min), flat(x_max) > 2000, marks.flatten().to_numpy(zero_copy_only=False)
         begin = np.concatenate([[0], np.cumsum(marks.value_lengths().to_numpy(zero_copy_only=False))]).astype(int)
-        head, cap, noise, eq, used = ((mark & (1 << k)) != 0 for k in range(5))
-        found: list[list[dict]] = [[] for _ in range(len(marks))]
-        for k in np.unique(np.searchsorted(begin, np.flatnonzero(cap | eq), "right") - 1).tolist():
-            own = slice(begin[k], begin[k + 1])
-            found[k], taken = _found(text[k].as_py(), head[own], cap[own], noise[own], eq[own], x[own], wide[own], y[own], gap)
-            used[own] |= taken
-        alone = head | used
-        starts = np.ones(len(y), bool)
-        starts[1:] = alone[1:] | alone[:-1] | ~(y[:-1] - y[1:] <= gap)
-        starts[begin[:-1]] = True
-        starts = np.flatnonzero(starts)
-        n = np.diff(np.append(starts, len(y)))
+        found, starts, n, used = _split(begin, flat(y), flat(x_min), flat(x_max), marks.flatten().to_numpy(zero_copy_only=False), lambda k: text[k].as_py(), gap)
         kept = ~used[starts]
         starts, n = starts[kept], n[kept]
         page = np.searchsorted(begin, starts, "right") - 1
@@ -582,3 +680,125 @@ def markdown(blocks: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     piece = F.when(is_heading(F.col("text")), F.concat(F.lit("## "), F.col("text"))).otherwise(F.col("text"))
     pieces = F.array_sort(F.collect_list(F.struct(*order, piece.alias("piece"))))
     return blocks.where("text is not null").groupBy(*by).agg(F.array_join(F.transform(pieces, lambda x: x["piece"]), "\n\n").alias("markdown"))
+
+
+def _has(text: pa.Array, pattern: str) -> np.ndarray:
+    return pc.match_substring_regex(text, pattern).to_numpy(zero_copy_only=False)
+
+
+def _count(text: pa.Array, pattern: str) -> np.ndarray:
+    return pc.count_substring_regex(text, pattern).to_numpy(zero_copy_only=False)
+
+
+def _low(text: pa.Array) -> pa.Array:
+    """Small letters as Spark makes them, as far as they can make ASCII letters."""
+    return pc.utf8_lower(pc.replace_substring(text, "\u0130", "i\u0307"))
+
+
+def _in(text: pa.Array, words: tuple[str, ...]) -> np.ndarray:
+    return pc.is_in(text, pa.array(words)).to_numpy(zero_copy_only=False)
+
+
+# The predicates on lines for squeezed texts, in Arrow's pattern language (whose \s and (?i) are others than Java's; here blanks are the only white space).
+_ARROW_CAPTION = r"^([Ff][Ii][Gg][Uu][Rr][Ee]|[Ff][Ii][Gg]\.?|[Tt][Aa][Bb][Ll][Ee]) +[A-Za-z]?[0-9]+ *[:.\-] *.+$"
+_ARROW_SHAPES = (r"[A-Za-z0-9_)\]}] *= *[^=]", r"[0-9]+ *[+*/^] *[0-9]+", r"[A-Za-z0-9_]+\([^)]*\)", "[=+*/^]", "[=≤≥≈∑∫√]")
+
+
+def _heads(text: pa.Array) -> np.ndarray:
+    return _in(text, FULL_HEADINGS) | _has(text, HEADING.replace(r"\s", " "))
+
+
+def _noises(text: pa.Array, low: pa.Array) -> np.ndarray:
+    return pc.equal(text, "").to_numpy(zero_copy_only=False) | pc.starts_with(low, RUNNING_HEAD).to_numpy(zero_copy_only=False) | _in(low, NOISE) | _has(text, "^[0-9]+$")
+
+
+def _equations(text: pa.Array, low: pa.Array, head: np.ndarray) -> np.ndarray:
+    """`is_equation`; what is costly is looked up only in lines with a sign of operation."""
+    out = _has(text, r"\([0-9]+\)$")
+    signed = np.flatnonzero(_has(text, "[=≤≥≈∑∫√+*/^]") & ~out)
+    t, small = text.take(pa.array(signed)), low.take(pa.array(signed))
+    words, signs, digits = _count(t, "[A-Za-z]+"), _count(t, MATH), _count(t, "[0-9]")
+    prose = _has(small, "(?:^|[^a-z])(?:" + "|".join(PROSE_WORDS) + ")(?:$|[^a-z])") & (words > 5)
+    assigned, chained, called, operated, signal = (_has(t, p) for p in _ARROW_SHAPES)
+    shape = (assigned & ((signs >= 2) | (digits >= 2))) | chained | (called & operated & (words <= 8)) | (signal & (signs >= 3) & (words <= 6))
+    out[signed] = (words <= 10) & ~prose & shape
+    return out & (pc.utf8_length(text).to_numpy(zero_copy_only=False) >= 4) & ~head & ~pc.match_substring(low, "<image").to_numpy(zero_copy_only=False)
+
+
+def _artifacts(text: pa.Array, low: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What is surely `is_visual_artifact`, and what is if it has eight words at most (which is certain not to be where nine ASCII words end at blanks)."""
+    sure = _has(low, "|".join(("<image", *PANEL_WORDS))) | (_count(low, "task:|query:") >= 2)
+    return sure, (_count(text, "-") >= 2) & (_count(text, "[A-Za-z0-9_] ") < 9)
+
+
+def _pieces(lines: pa.Array, gap: float) -> pa.Array:
+    """The pieces of `markdown` of lists of lines, a list a page, in order; doubt: to be left out if it has eight words at most."""
+    n_pages, n_lines = len(lines), lines.value_lengths().to_numpy(zero_copy_only=False)
+    flat = lines.flatten()
+    text, x_min, x_max, y, font = (flat.field(k) for k in range(5))
+    places = np.zeros(n_pages + 1, np.int32)
+    if not len(flat):
+        return pa.ListArray.from_arrays(places, pa.array([], _PIECE))
+    x_min, x_max, y, font = (a.to_numpy(zero_copy_only=False) for a in (x_min, x_max, y, font))
+    low_edge, high_edge = np.maximum(y - 2.0, 0.0), y + np.maximum(font, DEFAULT_FONT)
+    low, head = _low(text), _heads(text)
+    noise = _noises(text, low)
+    kinds = [head, _has(text, _ARROW_CAPTION), noise, _equations(text, low, head), np.zeros(len(head), bool)]
+    mark = sum(kind.astype(int) << k for k, kind in enumerate(kinds))
+    filled = np.flatnonzero(n_lines)
+    begin = np.concatenate([[0], np.cumsum(n_lines[filled])]).astype(int)
+    found, starts, n, used = _split(begin, y, x_min, x_max, mark, lambda k: text.slice(begin[k], begin[k + 1] - begin[k]).to_pylist(), gap)
+
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts, len(y)), pa.int32()), text), " ")
+    low, head = _low(joined), _heads(joined)
+    sure, doubt = _artifacts(joined, low)
+    heading = head & (n == 1)
+    kept = ~used[starts] & ~_noises(joined, low) & (heading | ~sure)
+    page = filled[np.searchsorted(begin, starts, "right") - 1][kept]
+    reach = [f.reduceat(a, starts)[kept] for f, a in ((np.maximum, y), (np.fmin, x_min), (np.fmin, low_edge), (np.maximum, x_max), (np.maximum, high_edge))]
+    texts, kind, caption = joined.filter(pa.array(kept)), np.where(heading[kept], "heading", "text"), pa.nulls(int(kept.sum()), pa.string())
+    head, doubt = head[kept], (doubt & ~heading)[kept]
+
+    visual = []
+    for k in [k for k, own in enumerate(found) if own]:
+        for s in found[k]:
+            if s["kind"] != "figure" and s["content"]:
+                own = begin[k] + np.array(s["caption"] + s["content"])
+                top = y if s["kind"] == "equation" else high_edge
+                taken = [text[int(begin[k] + i)].as_py() for i in s["caption"] + s["content"]]
+                cut = len(s["caption"])
+                visual.append((filled[k], [top[own].max(), np.fmin.reduce(x_min[own]), np.fmin.reduce(low_edge[own]), x_max[own].max(), high_edge[own].max()], s["kind"], "\n".join(taken[cut:]), " ".join(taken[:cut]) or None))
+    if visual:
+        pages, reaches, kinds, own, captions_ = zip(*visual)
+        page, kind = np.concatenate([page, pages]), np.concatenate([kind, kinds])
+        reach = [np.concatenate([a, b]) for a, b in zip(reach, np.array(reaches).T)]
+        more = pa.array(own, pa.string())
+        texts, caption = pa.concat_arrays([texts, more]), pa.concat_arrays([caption, pa.array(captions_, pa.string())])
+        head, doubt = np.concatenate([head, _heads(pc.replace_substring(more, "\n", " "))]), np.concatenate([doubt, np.zeros(len(own), bool)])
+
+    top, x0, y0, x1, y1 = reach
+    keys = (x0, kind != "heading", -top, ~np.isnan(top), page)
+    order = np.lexsort(keys)
+    if len(order) > 1 and np.logical_and.reduce([_same(k[order].astype(float)) for k in keys]).any():
+        rank = lambda a: pc.rank(a, tiebreaker="dense", null_placement="at_start").to_numpy(zero_copy_only=False)
+        order = np.lexsort((y1, x1, y0, rank(caption), rank(texts), kind, *keys))
+    pieces = pc.binary_join_element_wise(pc.if_else(pa.array(head), "## ", ""), texts, "").take(pa.array(order))
+    places[1:] = np.cumsum(np.bincount(page, minlength=n_pages))
+    return pa.ListArray.from_arrays(places, pa.StructArray.from_arrays([pieces, pa.array(doubt[order])], fields=list(_PIECE)))
+
+
+def markdown_of_sets(pages: DataFrame, tolerance: float = ROW_TOLERANCE, gap: float = BLOCK_GAP) -> DataFrame:
+    """(doc, page, markdown): `markdown` of `page_blocks` of `lines_of`, for pages (doc, page, set) of `set_pages`.
+
+    A page stays one row from its fragments to its text: nothing is exploded or shuffled, and numpy and Arrow work on all pages
+    of a batch at once. Texts of fragments are squeezed before they are joined by single blanks, so lines and texts need no squeezing.
+    """
+
+    def run(sets: pa.Array) -> pa.Array:
+        columns = [sets.field(n) for n in _SET_FIELDS]
+        return in_parts(lambda *own: _pieces(_set_in_lines(*own, tolerance), gap), columns[1], *columns)
+
+    once = F.arrow_udf(run, _PIECES).asNondeterministic()  # else the condition below would run it a second time
+    words = lambda p: F.regexp_count(p["piece"], F.lit(r"(?U)\w+"))
+    kept = pages.select("doc", "page", once("set").alias("all")).select("doc", "page", F.filter("all", lambda p: ~(p["doubt"] & (words(p) <= 8))).alias("kept"))
+    return kept.where(F.size("kept") > 0).select("doc", "page", F.array_join("kept.piece", "\n\n").alias("markdown"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from corpusforge.functions.text import heading_name
@@ -36,6 +39,37 @@ def _fragments(spark, folder):
     )
 
 
+def _laid(pos: pa.Array, line: pa.Array) -> pa.Array:
+    """What `_fragments` lays down, for lists of lines, a list a page."""
+    upto = lambda a: np.concatenate([[0], np.cumsum(a)]).astype(int)
+    place, split = pos.flatten().to_numpy(zero_copy_only=False).astype(int), pc.utf8_split_whitespace(line.flatten())
+    filled = pc.not_equal(split.flatten(), "")
+    words, of_line = split.flatten().filter(filled), upto(filled.to_numpy(zero_copy_only=False))[upto(split.value_lengths())]
+    n = -(np.diff(of_line) // -3)
+    pieces = upto(n)  # where the fragments of a line begin
+    own = np.repeat(np.arange(len(n)), n)
+    k = np.arange(len(own)) - pieces[own]
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(of_line[own] + 3 * k, len(words)), pa.int32()), words), " ")
+    far = upto(pc.utf8_length(text).to_numpy(zero_copy_only=False) + 1)
+    at, down = far[:-1] - far[pieces[own]], place[own]
+    y = TOP - (down % PAGE_LINES) * LEADING - (k % 3) * 0.8
+    pages = pa.array(pieces[upto(line.value_lengths())], pa.int32())
+    columns = [pa.array(down * 1000 + k, pa.int32()), text, pa.array(50.0 + at * 8.0), pa.array(y), pa.array(np.full(len(k), 10.0), mask=k % 5 == 4)]
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pages, c) for c in columns], ["frag", "text", "x", "y", "font_size"])
+
+
+def _set_pages(spark, folder):
+    """The fragments of every page as `layout.set_pages` has them, but lines come together before they are laid down: a page is one small row in the shuffle."""
+    lines = F.split("text", "\n")
+    starts = F.sequence(F.lit(0), F.size(lines) - 1, F.lit(PAGE_LINES))
+    each = table(spark, folder, "documents").where("doc_id is not null and text is not null").select(F.col("doc_id").cast("string").alias("doc"), lines.alias("lines"), F.explode(starts).alias("start"))
+    cut = F.transform(F.slice("lines", F.col("start") + 1, PAGE_LINES), lambda line, k: F.struct((F.col("start") + k).alias("pos"), line.alias("line")))
+    pages = each.groupBy("doc", (F.floor(F.col("start") / PAGE_LINES) + 1).cast("int").alias("page")).agg(F.flatten(F.collect_list(cut)).alias("all"))
+    laid = lambda pos, line: layout.in_parts(_laid, line, pos, line)
+
+    return pages.select("doc", "page", F.arrow_udf(laid, layout.SET)("all.pos", "all.line").alias("set"))
+
+
 def _lines(spark, folder):
     return layout.lines_of(_fragments(spark, folder))
 
@@ -114,7 +148,7 @@ def page_blocks(spark, folder):
 @query()
 def page_markdown(spark, folder):
     """Every page as marked-up text, as its digest."""
-    return layout.markdown(layout.page_blocks(_lines(spark, folder)), ["doc", "page"], ["block"]).select("doc", "page", F.md5("markdown").alias("digest"))
+    return layout.markdown_of_sets(_set_pages(spark, folder)).select("doc", "page", F.md5("markdown").alias("digest"))
 
 
 @query()

@@ -1,12 +1,14 @@
 import hashlib
 import math
+import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusforge.operators import dedupe, feedback, graph, layout, notes, rules, stats, textmodel
-from corpusforge.plans import artifact_queries
+from corpusforge.plans import artifact_queries, layout_queries
 
 
 def test_first_place_last_value(spark):
@@ -286,6 +288,46 @@ def test_markdown_of_fragments_shuffles_twice(spark):
     assert {r.page: r.markdown for r in pages.collect()} == {p: "## 1 Intro\n\nBody text" for p in (1, 2)}
 
 
+def _digests(pages):
+    return sorted((r.doc, r.page, r.markdown) for r in pages.collect())
+
+
+def test_markdown_of_sets_is_that_of_its_steps(spark):
+    words = ["1", "A", "2.1", "Intro", "x", "=", "3", "+", "y_1", "^", "Figure", "fig.", "Table", "TABLE", "2:", "7", "where", "as\u212aing", "(12)", "f(x)", "≤", "∑", "-", "well-known", "a-b-c", "task:", "Query:", "<image", "<\u0130mage", "ſ",
+        "ABSTRACT", "Appendix Contents", "bac\u212a to appendix table of contents", "positive docs", "word.", "\x00", " ", "a\x00b", " z", "p  q", "\u24b6-b-c", "\u0928\u093f-\u0915\u093e-x", "\u4e2d-\u6587-x", "", "\u3000k", "\x1cq", "²-³-½", "42"]
+    r, nan, rows = random.Random(5), float("nan"), []
+    for page in range(150):
+        for k in range(r.choice([1, 3, 10, 40])):
+            text = " ".join(r.choice(words) for _ in range(r.choice([1, 1, 2, 3, 6]))) if r.random() > 0.03 else None
+            y = r.choice([700.0 - 12 * (k // 3) - r.choice([0, 0.8, 1.6]), 700.0 - r.randint(0, 60) * 10, 700.0 - 18 * k]) if r.random() > 0.01 else r.choice([None, nan, 0.0, -0.0, float("inf"), -float("inf")])
+            x = r.choice([50.0, 50.0 + 60 * (k % 3), 2100.0]) if r.random() > 0.01 else r.choice([None, nan, -0.0])
+            rows.append(("d", page if r.random() > 0.01 else None, r.choice([k, k, 0, None]), text, x, y, r.choice([10.0, 8.0, 0.0, None, 12.0])))
+            rows += [rows[-1][:3] + (r.choice(words),) + rows[-1][4:]] * (r.random() < 0.05)
+    fragments = spark.createDataFrame(rows, "doc string, page int, frag int, text string, x double, y double, font_size double")
+    steps = _digests(layout.markdown(layout.page_blocks(layout.lines_of(fragments)), ["doc", "page"], ["block"]))
+    assert len(steps) > 100 and _digests(layout.markdown_of_sets(layout.set_pages(fragments))) == steps
+    assert _digests(layout.markdown_of_sets(layout.set_pages(fragments.limit(0)))) == []
+
+
+def test_texts_of_a_batch_go_in_parts(monkeypatch):
+    texts = pa.array([["ab", "c"], [], None, ["defg"], [None, "h"], []], pa.list_(pa.string()))
+    monkeypatch.setattr(layout, "_SET_BYTES", 3)
+    sizes = []
+    out = layout.in_parts(lambda own: (sizes.append(len(own)), own)[1], texts.slice(0, 6), texts)
+    assert out.equals(texts) and len(sizes) > 1 and layout.in_parts(lambda own: own, texts.slice(0, 0), texts.slice(0, 0)).equals(texts.slice(0, 0))
+
+
+def test_page_markdown_shuffles_lines_once(spark, tmp_path):
+    long = "\n".join(f"{k} Part\nline {k} of a text that goes on\n\n x\u00a0 =  {k} + 1 = 2" for k in range(30))
+    texts = [(1, "1 Intro\n\nBody\x00text of this"), (1, "Other text of the same key\nTable 1: A b\n1 2 3 4"), (2, ""), (3, None), (None, "lost"), (4, long), (5, " \u2003\n\t"), (6, "Table 3: A\nq w e r t y")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    pages = layout_queries.page_markdown(spark, str(tmp_path))
+    plan = pages._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("ArrowEvalPython") == 1 and "Window" not in plan
+    steps = layout.markdown(layout.page_blocks(layout_queries._lines(spark, str(tmp_path))), ["doc", "page"], ["block"]).select("doc", "page", F.md5("markdown").alias("digest"))
+    assert sorted(map(tuple, pages.collect())) == sorted(map(tuple, steps.collect())) and steps.count() == 4
+
+
 def test_document_metadata(spark):
     text = ["Published as a conference paper at X", "A STUDY OF", "LONG TITLES", "Jane Roe, John Doe", "University of Somewhere", "ABSTRACT", "We show", "some-", "thing.", "1 Introduction", "Body"]
     lines = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(text)] + [("e", 1, 0, "No title here"), ("f", 2, 0, "ONLY PAGE TWO")], "doc string, page int, line int, text string")
