@@ -219,7 +219,7 @@ _PIECE = pa.struct([("piece", pa.string()), ("doubt", pa.bool_())])
 _PIECES = "array<struct<piece: string, doubt: boolean>>"
 _WHITE = r"\x{00}\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _UNTIDY = f"[{_WHITE.replace('{20}', '{1f}')}]|  |^ | $|^$"
-_SET_FIELDS, _SET_BYTES = ("frag", "text", "x", "y", "font_size"), 8_000_000
+_SET_FIELDS, _SET_BYTES = ("frag", "text", "x", "y", "font_size"), 2_000_000
 
 
 def _above(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -290,7 +290,7 @@ def _set_in_lines(frag: pa.Array, text: pa.Array, x: pa.Array, y: pa.Array, font
 
 
 def in_parts(f: Callable[..., pa.Array], texts: pa.Array, *columns: pa.Array) -> pa.Array:
-    """f of columns of lists, over runs of rows with some 8 MB of texts (or one row) at a time, so that no batch needs much memory."""
+    """f of columns of lists, over runs of rows with some 2 MB of texts (or one row) at a time, so that no batch needs much memory."""
     upto = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts.flatten()), 0).to_numpy(zero_copy_only=False), dtype=int)])
     part = upto[np.cumsum(pc.fill_null(texts.value_lengths(), 0).to_numpy(zero_copy_only=False))] // _SET_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
